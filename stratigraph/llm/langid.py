@@ -95,8 +95,10 @@ def fit(docs: DataFrame, train: Column | None = None, sample: int = SAMPLE, cent
     if not kinds:
         return Centroids([], np.zeros(0, int), np.ones(buckets), np.zeros((0, buckets)), np.zeros(0))
     each = max(1, sample // len(kinds))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    chosen = labelled.select("id", "lang").withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= each).select("id", "lang")
+    order = [F.xxhash64("id"), F.col("id")]
+    parts = labelled.select("id", "lang", F.pmod(F.xxhash64("id", "lang"), F.lit(64)).alias("part"))  # a frequent language isn't one task's work
+    first = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= each)
+    chosen = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= each).select("id", "lang")
     rows = labelled.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("id", "lang", "text")  # at most `sample` ids
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

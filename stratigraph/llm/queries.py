@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, langid, topk
+from . import chat, decontamination, html_text, langid, line_dedup, minhash, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", F.col("line_dedup_total").alias("n_lines"), F.col("line_dedup_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -25,6 +30,10 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(table.unionByName(probe)))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=2, percent=80)
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = decontamination.find_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return decontamination.contamination(matches).drop("row_key")
@@ -42,7 +51,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_main_text, op4_chat_format, op6_decontaminate, op9_language, op10_top_k)}
+    return {f.__name__: f for f in (op1_line_dedup, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op9_language, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
