@@ -3,7 +3,7 @@
 `LineRuns` is a log-structured set of line keys. A batch is summed to one row per key (hash, number of documents,
 largest document), merge-anti-joined with every run to leave out the keys whose fate is already settled, and added as a
 sorted run of level 0. Where a level holds `fanout` runs they are merged into one run of the next level. Runs are
-bucketed by hash, so the anti-join and the compaction read them without a shuffle.
+bucketed by hash, so the anti-join reads them without a shuffle.
 
 `drop_repeated` feeds documents in batches of falling doc_id: a key that earlier batches have met in `min_docs`
 documents is settled (every later occurrence goes), so frequent lines leave after the first batch. Sums are made before
@@ -77,7 +77,7 @@ class LineRuns:
         level = 0
         while level < len(self.levels) and len(self.levels[level]) >= self.fanout:
             full, self.levels[level] = self.levels[level], []
-            self._write(self._merged([self.spark.table(name) for name, _ in full]), level + 1)
+            self._write(self._merged([path for _, path in full]), level + 1)
             self._drop(full)
             level += 1
 
@@ -85,18 +85,14 @@ class LineRuns:
         for name, _ in runs:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    @staticmethod
-    def _merged(runs: list[DataFrame]) -> DataFrame:
-        rows = runs[0]
-        for run in runs[1:]:
-            rows = rows.unionByName(run)
+    def _merged(self, paths: list[str]) -> DataFrame:
+        """One row per key. Read as plain files: a union of bucketed scans is summed wrongly here, bucket by bucket."""
+        rows = self.spark.read.parquet(*paths)
         return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("top_doc").alias("top_doc"))
 
     def keys(self) -> DataFrame:
         """Every key once: h1, h2, n_docs (exact below `settled_at`), top_doc."""
-        paths = [path for level in self.levels for _, path in level]
-        rows = [self.spark.read.parquet(path) for path in paths]
-        return self._merged(rows) if len(rows) > 1 else rows[0]
+        return self._merged([path for level in self.levels for _, path in level])
 
     def close(self) -> None:
         """Forgets the tables' names; the files stay in the shared folder."""
