@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, langid, line_dedup, minhash, topk
+from . import chat, decontamination, html_text, langid, line_dedup, lm_score, minhash, sentencepiece_fst, suffix_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", F.col("line_dedup_total").alias("n_lines"), F.col("line_dedup_dropped").alias("n_dropped"), F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return lm_score.cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
+
+
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_table(spark, sf_dir, "pages"))
 
@@ -39,6 +44,14 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contamination(matches).drop("row_key")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_table(spark, sf_dir, "documents"), length=100).drop("kept")
+
+
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_fst.encode_decode(_table(spark, sf_dir, "documents"), sentencepiece_fst.read_model(spark))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     held = langid.held_out(F.col("doc_id"))
@@ -51,7 +64,7 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op9_language, op10_top_k)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_lm_score, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op7_suffix_dedup, op8_sentencepiece, op9_language, op10_top_k)}
 
 
 def oracle_sql() -> dict[str, str]:
