@@ -35,7 +35,7 @@ from .common import text_batches, written
 LENGTH = 100
 GRAM = 24
 PIECE = 1 << 22  # longer texts are read in overlapping pieces
-LOCAL_BYTES = 4 << 20  # contexts that are indexed together, if no single anchor has more
+LOCAL_BYTES = 2 << 20  # contexts that are indexed together, if no single anchor has more
 
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -146,36 +146,35 @@ def sort_out(found: DataFrame) -> DataFrame:
 
 
 def suffix_array(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order of the suffixes at `starts` by group and first `length` bytes, and how many bytes each shares with the one
-    before it in its group: counted up to the end of its context if at least `length`, else 0."""
+    """The suffixes at `starts`, each up to its context's end, that share `length` bytes with another of their group:
+    their order by group and bytes, and how many bytes each shares with the one before it (0: under `length`)."""
     padded = np.concatenate((raw, np.zeros(2 * length, np.uint8)))
     n = len(raw) + length
     rank = np.zeros(n, dtype=np.uint64)
     for k in range(8):
         rank = (rank << np.uint64(8)) | padded[k : k + n].astype(np.uint64)
     _, rank = np.unique(rank, return_inverse=True)
-    levels, reach = [(8, rank)], 8
-    while 2 * reach <= length:
+    reach = 8
+    while 2 * reach <= length:  # prefix doubling
         after = np.concatenate((rank[reach:], np.zeros(reach, rank.dtype)))
         _, rank = np.unique(rank.astype(np.uint64) << np.uint64(32) | after.astype(np.uint64), return_inverse=True)
         reach *= 2
-        levels.append((reach, rank))
-    rest = length - reach
-    key = rank[starts].astype(np.uint64) << np.uint64(32) | rank[starts + rest].astype(np.uint64)
-    order = np.lexsort((starts, key, groups))
-    same = np.concatenate(([False], (key[order][1:] == key[order][:-1]) & (groups[order][1:] == groups[order][:-1])))
-    shared = np.where(same, length, 0)
-    at = np.flatnonzero(same)
-    p, q = starts[order[at]], starts[order[at - 1]]
-    room = np.minimum(ends[order[at]] - p, ends[order[at - 1]] - q)
-    far = np.full(len(at), length)
-    for reach, rank in [*levels[::-1], *[(1, padded[:n])]]:
-        for _ in range(8 if reach == 1 else 1 + (reach == 64)):
-            ok = far + reach <= room
-            i, j = np.minimum(p + far, n - 1), np.minimum(q + far, n - 1)
-            far = np.where(ok & (rank[i] == rank[j]), far + reach, far)
-    shared[at] = far
-    return order, shared
+    key = rank[starts].astype(np.uint64) << np.uint64(32) | rank[starts + length - reach].astype(np.uint64)
+    order = np.lexsort((key, groups))
+    same = (key[order][1:] == key[order][:-1]) & (groups[order][1:] == groups[order][:-1])
+    some = order[np.concatenate(([False], same)) | np.concatenate((same, [False]))]
+    if not len(some):
+        return some, np.zeros(0, dtype=np.int64)
+    # beyond `length`, byte by byte up to the context's end, which sorts first (no byte of UTF-8 is 255)
+    width = max(1, int((ends[some] - starts[some]).max()) - length)
+    places = starts[some, None] + length + np.arange(width)
+    tail = np.where(places < ends[some, None], padded[np.minimum(places, n)] + np.uint8(1), np.uint8(0))
+    fine = np.lexsort((np.ascontiguousarray(tail).view(f"S{width}").ravel(), key[some], groups[some]))
+    some, tail = some[fine], tail[fine]
+    same = (key[some][1:] == key[some][:-1]) & (groups[some][1:] == groups[some][:-1])
+    differ = (tail[1:] != tail[:-1]) | (tail[1:] == 0)
+    more = np.where(differ.any(axis=1), differ.argmax(axis=1), width)
+    return some, np.concatenate(([0], np.where(same, length + more, 0)))
 
 
 def maximal_repeats(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray, ends: np.ndarray, opens: np.ndarray, length: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -189,7 +188,6 @@ def maximal_repeats(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray, end
     # the suffixes in intervals of at least `length`, as blocks of neighbours
     cut = np.flatnonzero(np.diff(some) > 1)
     lows, highs = some[np.concatenate(([0], cut + 1))] - 1, some[np.concatenate((cut, [len(some) - 1]))]
-    plain = np.maximum.reduceat(shared, lows + 1) if len(lows) else np.zeros(0)
     for low, high in zip(lows.tolist(), highs.tolist()):
         lengths = shared[low + 1 : high + 1].tolist()
         left = before[low : high + 1].tolist()
@@ -208,7 +206,6 @@ def maximal_repeats(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray, end
                     stack[-1][2] = stack[-1][2] if stack[-1][2] == one else None
                 else:
                     stack.append([here, first, one])
-    del plain
 
 
 def local_repeats(rows: list[tuple[int, int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
