@@ -1,0 +1 @@
+"""All operators are batch plans; this package has no operators of its own."""
