@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 #: Letters that decomposition alone would lose or shorten.
 TRANSLITERATION = {
@@ -20,12 +21,12 @@ TRANSLITERATION = {
 _ASCII = "^[\\x00-\\x7F]*$"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFC", x), na_action="ignore")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def nfkd(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKD", x), na_action="ignore")
 

@@ -32,7 +32,8 @@ ROW_MEASURES = [("uncStartYears", "unc_start_years", INTEGER), ("uncEndYears", "
 #: Constants of the figure.
 FIGURE_CONSTANTS = {"padYears": 60, "extremeStubYears": 10, "rowHeight": 36, "svgWidth": 1200, "marginLeft": 400, "marginRight": 260, "marginTop": 40, "marginBottom": 120, "bandPadding": 0.4, "colourRamp": "interpolateRdYlGn", "rowOrder": "avg_datemin ASC"}
 
-_NONE = F.lit(None).cast("string")
+def _none() -> Column:
+    return F.lit(None).cast("string")
 
 
 def _s(x) -> Column:
@@ -40,7 +41,7 @@ def _s(x) -> Column:
 
 
 def node(s, p: str, o) -> Column:
-    return F.struct(_s(s).alias("s"), F.lit(p).alias("p"), _s(o).alias("o"), F.lit("iri").alias("o_kind"), _NONE.alias("o_dt"), _NONE.alias("o_lang"))
+    return F.struct(_s(s).alias("s"), F.lit(p).alias("p"), _s(o).alias("o"), F.lit("iri").alias("o_kind"), _none().alias("o_dt"), _none().alias("o_lang"))
 
 
 def text(s, p: str, o, dt: str | None = None, lang: str | None = None) -> Column:
@@ -63,7 +64,7 @@ def build_keys(dated: DataFrame, mode: str = "hash", check: bool = True) -> Data
 
 
 def _has(df: DataFrame, name: str) -> Column:
-    return F.col(name) if name in df.columns else _NONE
+    return F.col(name) if name in df.columns else _none()
 
 
 def _iris(names: Names) -> dict[str, Column]:
