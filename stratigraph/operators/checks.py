@@ -124,7 +124,8 @@ def pearson(x: Column, y: Column) -> Column:
     """Correlation over complete pairs; null under three pairs or without variance."""
     both = x.isNotNull() & y.isNotNull()
     x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
-    return F.when((F.count(x) >= 3) & (F.var_samp(x) > 0) & (F.var_samp(y) > 0), F.corr(x, y))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)  # corr itself divides by it, an error where it is zero
+    return F.when((F.count(x) >= 3) & (spread > 0), F.covar_pop(x, y) / F.nullif(spread, F.lit(0.0)))
 
 
 def median_where(x: Column, cond: Column, approximate: bool = False) -> Column:
