@@ -91,7 +91,6 @@ class _Lines(HTMLParser):
                 self.flush()
             self.tags += 1
             if tag in NEVER or attrs and tag not in ("html", "body") and _marked(attrs):
-                self.flush()
                 self.left_out = len(self.open)
             elif tag in CONTAINER or any(k == "role" and v in ("main", "article") for k, v in attrs):
                 if not self.containers:

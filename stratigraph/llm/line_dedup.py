@@ -87,7 +87,7 @@ class LineRuns:
 
     def _merged(self, paths: list[str]) -> DataFrame:
         """One row per key. Read as plain files: a union of bucketed scans is summed wrongly here, bucket by bucket."""
-        rows = self.spark.read.parquet(*paths)
+        rows = self.spark.read.schema("h1 bigint, h2 bigint, n_docs bigint, top_doc bigint").parquet(*paths)
         return rows.groupBy("h1", "h2").agg(F.sum("n_docs").alias("n_docs"), F.max("top_doc").alias("top_doc"))
 
     def keys(self) -> DataFrame:

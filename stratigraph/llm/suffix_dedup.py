@@ -148,6 +148,8 @@ def sort_out(found: DataFrame) -> DataFrame:
 def suffix_array(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     """The suffixes at `starts`, each up to its context's end, that share `length` bytes with another of their group:
     their order by group and bytes, and how many bytes each shares with the one before it (0: under `length`)."""
+    if length < 8:
+        raise ValueError("length must be 8 bytes at least")
     padded = np.concatenate((raw, np.zeros(2 * length, np.uint8)))
     n = len(raw) + length
     rank = np.zeros(n, dtype=np.uint64)
@@ -260,6 +262,8 @@ def indexed(found: DataFrame, length: int, local_bytes: int = LOCAL_BYTES) -> Da
 
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if held and row[:3] == held[-1][:3]:  # a row that repeats a document
+                    continue
                 if size >= local_bytes and row[0] != held[-1][0]:
                     yield out()
                     held, size = [], 0
