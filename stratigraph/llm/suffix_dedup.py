@@ -6,7 +6,8 @@ an earlier start) is a repeat, and every byte under a repeat goes; matches never
 No task sees the whole corpus. Every window of `length` bytes has an anchor, the least hash of the `GRAM`-byte strings
 in it (the leftmost of equals); equal windows have equal anchors in the same place. So windows are dealt out by anchor:
 
-1. The windows of one anchor occurrence are a run of starts; with the bytes under them they are a context. Occurrences
+1. The windows of one anchor occurrence are a run of starts; with the bytes under them they are a context. An occurrence
+   after another of its context in one slice of a task is a repeat and needs no further meeting. The other occurrences
    are sorted by (anchor hash, context hash, doc_id, start), and read in that order with constant memory: all but the
    first of one context are repeats at once.
 2. What is left are first contexts of anchors that have several. Their bytes are dealt out by anchor; locally, a suffix
@@ -93,8 +94,24 @@ def contexts(raw: np.ndarray, length: int, gram: int = GRAM) -> tuple[np.ndarray
     return hashes[at], g.of(first, last + length) + _mixed((at - first).astype(np.uint64)), first, last
 
 
+def _later(a: np.ndarray, c: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Which occurrences have an earlier one of the same context among those given."""
+    both = a.view(np.uint64) ^ _mixed(c.view(np.uint64))
+    order = np.lexsort((first, ids, both))
+    a, c, ids, first = a[order], c[order], ids[order], first[order]
+    new = np.concatenate(([True], (a[1:] != a[:-1]) | (c[1:] != c[:-1])))[: len(a)]
+    lead = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
+    out = np.zeros(len(a), dtype=bool)
+    out[order] = ~new & ((ids != ids[lead]) | (first != first[lead]))
+    return out
+
+
 def anchors(docs: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
-    """anchor, context, doc_id, first, last (window starts) over whole texts."""
+    """anchor, context, doc_id, first, last (window starts), known over whole texts.
+
+    known: an earlier occurrence of the context is in the same slice of a task, so this one is a repeat whatever else
+    there is. It no longer has to meet the others and gets a key of its own, so a frequent passage sends one row a
+    slice to its anchor's task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_batches(batches, 4 << 20):
@@ -105,11 +122,13 @@ def anchors(docs: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
                     a, c, first, last = contexts(raw[start : start + PIECE + length - 1], length, gram)
                     found.append((a.view(np.int64), c.view(np.int64), np.full(len(a), doc_id), first + start, last + start))
             a, c, ids, first, last = (np.concatenate(x) for x in zip(*found))
+            known = _later(a, c, ids, first)
+            a[known] = _mixed(ids[known].astype(np.uint64) * np.uint64(_BASE) + first[known].astype(np.uint64)).view(np.int64)
             for i in range(0, len(a), 50_000):
                 j = slice(i, i + 50_000)
-                yield pa.RecordBatch.from_arrays([pa.array(a[j]), pa.array(c[j]), pa.array(ids[j]), pa.array(first[j].astype(np.int32)), pa.array(last[j].astype(np.int32))], names=["anchor", "context", "doc_id", "first", "last"])
+                yield pa.RecordBatch.from_arrays([pa.array(a[j]), pa.array(c[j]), pa.array(ids[j]), pa.array(first[j].astype(np.int32)), pa.array(last[j].astype(np.int32)), pa.array(known[j])], names=["anchor", "context", "doc_id", "first", "last", "known"])
 
-    return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, "anchor bigint, context bigint, doc_id bigint, first int, last int")
+    return docs.where("doc_id is not null and text is not null").select("doc_id", "text").mapInArrow(run, "anchor bigint, context bigint, doc_id bigint, first int, last int, known boolean")
 
 
 def sort_out(found: DataFrame) -> DataFrame:
@@ -120,15 +139,15 @@ def sort_out(found: DataFrame) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            a, c, ids, first, last = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
+            a, c, ids, first, last, known = (x.to_numpy(zero_copy_only=False) for x in batch.columns)
             told = False
             if head is not None:
-                a, c, ids, first, last = (np.concatenate(([h], x)) for h, x in zip(head, (a, c, ids, first, last)))
+                a, c, ids, first, last, known = (np.concatenate(([h], x)) for h, x in zip((*head[:5], False), (a, c, ids, first, last, known)))
                 told = head[5]
             same_anchor = np.concatenate(([False], a[1:] == a[:-1]))
             new = ~(same_anchor & np.concatenate(([False], c[1:] == c[:-1])))
             lead = np.maximum.accumulate(np.where(new, np.arange(len(a)), 0))
-            repeat = ~new & ((ids != ids[lead]) | (first != first[lead]))
+            repeat = known | ~new & ((ids != ids[lead]) | (first != first[lead]))
             heads = np.flatnonzero(new)
             shares_before = np.concatenate(([False], a[heads[1:]] == a[heads[:-1]]))
             shares = shares_before | np.concatenate((shares_before[1:], [False]))
