@@ -41,7 +41,7 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     matches = decontamination.find_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
-    return decontamination.contamination(matches).drop("row_key")
+    return decontamination.contamination(matches).drop("row_key", "items")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,5 +67,50 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_line_dedup, op2_lm_score, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op7_suffix_dedup, op8_sentencepiece, op9_language, op10_top_k)}
 
 
+_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+
+_LINES = f"""
+WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS pos FROM documents),
+k AS (SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), '{_UPPER}', '{_UPPER.lower()}') AS key FROM l),
+s AS (SELECT key, max(doc_id) AS top FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+d AS (SELECT k.*, s.top IS NOT NULL AND k.doc_id <> s.top AS gone FROM k LEFT JOIN s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM d GROUP BY doc_id
+"""
+
+#: A turn's template has 8 + 8 + 7 characters; each control string and backslash in a text gets one more.
+_CHAT = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT *, len(regexp_extract_all(role || chr(1) || text, '\\|<\||<s>|</s>|\[INST\]|\[/INST\]|<<SYS>>|<</SYS>>')) AS more FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(23 + length(role) + length(text) + more) AS BIGINT) AS formatted_chars
+FROM e GROUP BY conv_id
+"""
+
+_LEAKS = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+windows AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS win FROM b WHERE len(w) > 0),
+places AS (SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, w FROM w, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n),
+found AS (SELECT doc_id, i, p.n, item_id FROM (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM places) p JOIN windows USING (n, win)),
+hits AS (SELECT doc_id, count(DISTINCT h) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS h FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hits USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_TOP = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings WHERE embedding IS NOT NULL),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INT) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """The others aren't expressible in SQL; tests/llm holds them to brute force, round trips or held-out rows."""
+    return {"op1_line_dedup": _LINES, "op4_chat_format": _CHAT, "op6_decontaminate": _LEAKS, "op10_top_k": _TOP}
