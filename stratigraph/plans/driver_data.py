@@ -518,7 +518,7 @@ def qry_provenance(spark, sf_dir):
     return Q.provenance(graph(spark, sf_dir)).drop("model")
 
 
-@_query()
+@_query("PLAIN SELECT " + ", ".join(f"'{v}' AS \"{k}\"" for k, v in G.FIGURE_CONSTANTS.items()))
 def qry_figure_constants(spark, sf_dir):
     return Q.figure_constants(graph(spark, sf_dir))
 
@@ -533,7 +533,13 @@ def qry_link_counts(spark, sf_dir):
     return Q.link_counts(graph(spark, sf_dir))
 
 
-@_query()
+def _gyear_sql(c: str) -> str:
+    y = f"CAST(round_even({c}, 0) AS BIGINT)"
+    z = f"(CASE WHEN {y} < 0 THEN {y} + 1 ELSE {y} END)"
+    return f"(CASE WHEN {z} < 0 THEN '-' ELSE '' END) || lpad(CAST(abs({z}) AS VARCHAR), 4, '0')"
+
+
+@_query(f'SELECT the_site AS place, the_findspot AS findspot, {_gyear_sql("eff_start")} AS "from", {_gyear_sql("eff_end")} AS "to" FROM dated')
 def qry_crm_only(spark, sf_dir):
     """Over the bundle: data, vocabulary and inferred types."""
     from ..operators.vocabulary import build_vocabulary, iri
