@@ -46,6 +46,13 @@ def text_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.R
             yield batch.slice(start, step)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Texts can be long: unless the session has a setting of its own, fewer rows go to Python at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, "2000")
+
+
 def row_key(text: str = "text"):
     """Tells rows of one doc_id with different texts apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import small_batches, text_batches, written
 
 WINDOW = 10
 SEGMENT_BYTES = 8 << 20
@@ -120,22 +120,36 @@ _NONE = np.zeros(0, dtype=np.int64)
 
 def build_index(docs: DataFrame, phrases: TestPhrases, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """Stores the postings of all test terms in all whole texts."""
+    small_batches(docs.sparkSession)
     term = phrases.term
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        doc_ids: list = []
+        keys: list = []
+        ids: list[np.ndarray] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            n_words, terms, sizes, postings = Segment.pack(ids)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([doc_ids], pa.list_(pa.int64())), pa.array([keys], pa.list_(pa.int64())), pa.array([n_words], pa.list_(pa.int32())), pa.array([terms], pa.list_(pa.int32())), pa.array([sizes], pa.list_(pa.int32())), pa.array([postings], pa.binary())],
+                names=["doc_ids", "keys", "n_words", "terms", "sizes", "postings"],
+            )
+
+        get = term.get
         for part in text_batches(batches, segment_bytes):
-            get = term.get
-            ids = []
             for text in part.column("text").to_pylist():
                 words = words_of(text)
                 ids.append(np.fromiter((get(w, -1) for w in words), np.int64, len(words)))
-            n_words, terms, sizes, postings = Segment.pack(ids)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([part.column("doc_id").to_pylist()], pa.list_(pa.int64())), pa.array([part.column("row_key").to_pylist()], pa.list_(pa.int64())), pa.array([n_words], pa.list_(pa.int32())), pa.array([terms], pa.list_(pa.int32())), pa.array([sizes], pa.list_(pa.int32())), pa.array([postings], pa.binary())],
-                names=["doc_ids", "keys", "n_words", "terms", "sizes", "postings"],
-            )
+            doc_ids += part.column("doc_id").to_pylist()
+            keys += part.column("row_key").to_pylist()
+            size += part.nbytes
+            if size >= segment_bytes:
+                yield out()
+                doc_ids, keys, ids, size = [], [], [], 0
+        if doc_ids:
+            yield out()
 
-    # one Arrow batch holds few rows of the index: each is a whole segment
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row_key"), F.col("text").cast("string").alias("text")).mapInArrow(build, INDEX_SCHEMA)
 
 

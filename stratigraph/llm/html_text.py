@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import small_batches, text_batches
 
 #: Fixed word lists: elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -201,6 +201,7 @@ def main_text(html: str | None, sigma: float = 1.0, gap: int = 3) -> str:
 
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars: one row for each row of `pages`."""
+    small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_batches(batches, 16 << 20):

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import small_batches, text_batches
 
 BUCKETS = 4096
 CENTROIDS = 4
@@ -90,13 +90,14 @@ def _clusters(vectors: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
 
 def fit(docs: DataFrame, train: Column | None = None, sample: int = SAMPLE, centroids: int = CENTROIDS, buckets: int = BUCKETS) -> Centroids:
     """Fits on rows with text and lang for which `train` holds."""
+    small_batches(docs.sparkSession)
     labelled = docs.select(F.col("doc_id").alias("id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), (F.lit(True) if train is None else train).alias("train")).where("train and lang is not null and text is not null")
     kinds = [r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()]
     if not kinds:
         return Centroids([], np.zeros(0, int), np.ones(buckets), np.zeros((0, buckets)), np.zeros(0))
     each = max(1, sample // len(kinds))
     order = [F.xxhash64("id"), F.col("id")]
-    parts = labelled.select("id", "lang", F.pmod(F.xxhash64("id", "lang"), F.lit(64)).alias("part"))  # a frequent language isn't one task's work
+    parts = labelled.select("id", "lang", F.pmod(F.xxhash64("id", "lang"), F.lit(16)).alias("part"))  # a frequent language isn't one task's work
     first = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= each)
     chosen = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= each).select("id", "lang")
     rows = labelled.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("id", "lang", "text")  # at most `sample` ids
@@ -125,6 +126,7 @@ def fit(docs: DataFrame, train: Column | None = None, sample: int = SAMPLE, cent
 
 def predict(docs: DataFrame, model: Centroids, reach: float = REACH) -> DataFrame:
     """doc_id, row_key, lang_pred, score, rejected: one row for each row of `docs`."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_batches(batches, 16 << 20):

@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import small_batches, text_batches, written
 from .components import connected_components
 
 SHINGLE = 5
@@ -200,6 +200,7 @@ def prints_of(texts: DataFrame, shingle: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY, halves: int = HALVES, half_rows: int = HALF_ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of `docs`."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marks = written(sketches(docs, shingle, Sketch(halves, half_rows)), "sketches")
     some = marks.where("n_shingles > 0 and doc_id is not null")

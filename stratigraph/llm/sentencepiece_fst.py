@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches
+from .common import small_batches, text_batches
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -310,6 +310,7 @@ def transducer(model: bytes) -> Transducer:
 
 def encode_decode(docs: DataFrame, model: bytes, text: str = "text") -> DataFrame:
     """doc_id, n_pieces, ids, exact (decoding the ids gives the text again): one row for each row of `docs`."""
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = transducer(model)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import small_batches, text_batches, written
 
 LENGTH = 100
 GRAM = 24
@@ -322,6 +322,7 @@ def cut(docs: DataFrame, repeats: DataFrame) -> DataFrame:
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """Cuts every repeated string of at least `length` bytes out of all but its first place."""
+    small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sorted_out = written(sort_out(anchors(docs, length, gram)), "repeat-runs")
     runs = sorted_out.where("anchor is null").select("doc_id", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
