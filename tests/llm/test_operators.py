@@ -106,6 +106,36 @@ def test_lm_losses_sum_to_one():
     assert np.allclose((2.0**-table).sum(axis=1), 1, atol=1e-5)
 
 
+def test_lm_score_whole_vocabulary(spark):
+    """Every word counts: rare words tell documents apart, and no two slices or parts change a loss."""
+    rows = [(i, f"the {'cat' if i % 2 else 'dog'} rare{i} word{i % 7} the end") for i in range(1500)] + [(2000, "the cat rare1 word1 the end"), (2001, "the cat unseen word1 the end"), (2002, ""), (None, "the the")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    target = spark.createDataFrame([(i,) for i in range(0, 1500, 3)], "doc_id bigint")
+    words = [(i, t.split()) for i, t in rows]
+    size = len({w for _, ws in words for w in ws}) + 1
+    assert size > 1024
+
+    def model(part):
+        pairs = collections.Counter(p for ws in part for p in itertools.pairwise([None, *ws]))
+        one, total, kinds = collections.Counter(), collections.Counter(), collections.Counter(a for a, _ in pairs)
+        for (a, b), n in pairs.items():
+            one[b] += n
+            total[a] += n
+        every = sum(one.values())
+        return lambda a, b: -np.log2((pairs[a, b] + max(1, kinds[a]) * (one[b] + 1) / (every + size)) / (total[a] + max(1, kinds[a])))
+
+    good, all_ = model([ws for i, ws in words if i is not None and i < 1500 and i % 3 == 0]), model([ws for _, ws in words])
+    for options in ({}, {"size": 5000, "part": 700}):
+        found = {r.doc_id: r for r in lm_score.cross_entropy_difference(df, target, **options).collect()}
+        assert len(found) == len(rows) and found[2002].score is None
+        for i, ws in words:
+            if ws:
+                pairs = list(itertools.pairwise([None, *ws]))
+                a, b = np.mean([good(*p) for p in pairs]), np.mean([all_(*p) for p in pairs])
+                assert np.allclose((found[i].target_bits, found[i].background_bits, found[i].score), (a, b, a - b), atol=1e-9)
+        assert found[2000].background_bits != found[2001].background_bits
+
+
 # 3
 PAGES = [
     (None, ""), ("", ""), ("plain &amp; text", "plain & text"), ("<p>", ""),
