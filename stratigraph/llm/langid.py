@@ -2,7 +2,9 @@
 
 Texts become vectors of hashed 1- to 3-grams of lower-cased letters (runs of anything else are one space). Each
 language is described by several centroids (spherical k-means over its labelled rows), a text gets the language of the
-centroid with the highest cosine, and it is rejected where it has no letter or lies too far from every centroid.
+centroid with the highest cosine, and it is rejected where it has no letter or lies too far from every centroid: below
+`reach` times a low quantile of the cosines that the language's own rows have at that length. As short texts lie further
+off, the rows' beginnings of each length are measured too, in bands that double.
 
 The model is fitted on a bounded sample of labelled rows: at most `sample` rows in all, the same number for each
 language, chosen by hash of the id. Prediction reads every whole text and nothing but the text.
@@ -27,8 +29,10 @@ from .common import small_batches, text_batches
 BUCKETS = 4096
 CENTROIDS = 4
 SAMPLE = 2000
-#: A text whose cosine to its nearest centroid is below this share of the least cosine met in fitting is rejected.
-REACH = 0.2
+#: A text whose cosine to its nearest centroid is below this share of the low quantile of its language and length is rejected.
+REACH = 0.8
+QUANTILE = 0.01
+BANDS = 14  # of length: distinct n-grams, by powers of two up to the buckets
 
 _OTHER = re.compile(r"[\W\d_]+")
 
@@ -37,7 +41,10 @@ def counts_of(text: str | None, buckets: int) -> np.ndarray | None:
     """Hashed n-gram counts of a whole text; None without letters."""
     if not text:
         return None
-    letters = _OTHER.sub(" ", text.lower()).strip()
+    return _grams(_OTHER.sub(" ", text.lower()).strip(), buckets)
+
+
+def _grams(letters: str, buckets: int) -> np.ndarray | None:
     if not letters or not (letters[0].isalpha() or any(map(str.isalpha, letters))):
         return None
     c = np.frombuffer(f" {letters} ".encode("utf-32-le", "surrogatepass"), dtype="<u4").astype(np.uint64)
@@ -47,27 +54,44 @@ def counts_of(text: str | None, buckets: int) -> np.ndarray | None:
     return np.bincount((grams >> np.uint64(40)).astype(np.int64) % buckets, minlength=buckets)
 
 
+def band_of(counts: np.ndarray) -> int:
+    return min(BANDS - 1, int(np.count_nonzero(counts)).bit_length())  # one word over and over is as short as the word
+
+
+def beginnings(text: str | None, buckets: int) -> Iterator[np.ndarray]:
+    """Counts of a text and of its first words, once at each band of length."""
+    letters = _OTHER.sub(" ", (text or "").lower()).strip()
+    cuts = {len(letters)}
+    for band in range(1, BANDS):
+        end = letters.find(" ", 1 << (band - 1))
+        if end < 0:
+            break
+        cuts.add(end)
+    for end in sorted(cuts):
+        if (counts := _grams(letters[:end], buckets)) is not None:
+            yield counts
+
+
 @dataclass
 class Centroids:
     langs: list[str]
     of: np.ndarray  # language of each centroid
     idf: np.ndarray
     at: np.ndarray  # centroids, one to a row, of length 1
-    least: np.ndarray  # least cosine that each language's own rows had in fitting
+    least: np.ndarray  # by language and band of length, the low quantile of its own rows' cosines
 
-    def vector(self, text: str | None) -> np.ndarray | None:
-        counts = counts_of(text, len(self.idf))
-        return None if counts is None else _unit(np.log1p(counts) * self.idf)
+    def vector(self, counts: np.ndarray) -> np.ndarray:
+        return _unit(np.log1p(counts) * self.idf)
 
     def predict(self, text: str | None, reach: float) -> tuple[str, float, bool]:
         """Language, cosine in 0..1, rejected."""
-        v = self.vector(text)
-        if v is None or not self.langs:
+        counts = counts_of(text, len(self.idf))
+        if counts is None or not self.langs:
             return "und", 0.0, True
-        cosines = self.at @ v
+        cosines = self.at @ self.vector(counts)
         best = int(np.argmax(cosines))
         score = float(min(1.0, max(0.0, cosines[best])))
-        return self.langs[self.of[best]], score, score < reach * float(self.least[self.of[best]])
+        return self.langs[self.of[best]], score, score < reach * float(self.least[self.of[best], band_of(counts)])
 
 
 def _unit(x: np.ndarray) -> np.ndarray:
@@ -94,7 +118,7 @@ def fit(docs: DataFrame, train: Column | None = None, sample: int = SAMPLE, cent
     labelled = docs.select(F.col("doc_id").alias("id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), (F.lit(True) if train is None else train).alias("train")).where("train and lang is not null and text is not null")
     kinds = [r.lang for r in labelled.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample).collect()]
     if not kinds:
-        return Centroids([], np.zeros(0, int), np.ones(buckets), np.zeros((0, buckets)), np.zeros(0))
+        return Centroids([], np.zeros(0, int), np.ones(buckets), np.zeros((0, buckets)), np.zeros((0, BANDS)))
     each = max(1, sample // len(kinds))
     order = [F.xxhash64("id"), F.col("id")]
     parts = labelled.select("id", "lang", F.pmod(F.xxhash64("id", "lang"), F.lit(16)).alias("part"))  # a frequent language isn't one task's work
@@ -114,14 +138,36 @@ def fit(docs: DataFrame, train: Column | None = None, sample: int = SAMPLE, cent
     idf = np.log((1 + len(found)) / (1 + (counts > 0).sum(axis=0))) + 1
     vectors = _unit(np.log1p(counts) * idf)
     langs = sorted({r.lang for r in found})
-    at, of, least = [], [], []
+    at, of = [], []
     for j, lang in enumerate(langs):
         own = vectors[[i for i, r in enumerate(found) if r.lang == lang]]
         centres = _clusters(own, centroids)
         at.append(centres)
         of += [j] * len(centres)
-        least.append(float((own @ centres.T).max(axis=1).min()))
-    return Centroids(langs, np.array(of, dtype=int), idf.astype(np.float32), np.concatenate(at).astype(np.float32) if at else np.zeros((0, buckets)), np.array(least))
+    model = Centroids(langs, np.array(of, dtype=int), idf.astype(np.float32), np.concatenate(at).astype(np.float32) if at else np.zeros((0, buckets)), np.zeros((len(langs), BANDS)))
+    model.least = _least(rows, model)
+    return model
+
+
+def _least(rows: DataFrame, model: Centroids) -> np.ndarray:
+    """The low quantile of the rows' cosines to their own language, by language and band."""
+    number = {lang: j for j, lang in enumerate(model.langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [model.at[model.of == j] for j in range(len(number))]
+        for part in text_batches(batches, 16 << 20):
+            out = [(number[lang], band_of(c), float((own[number[lang]] @ model.vector(c)).max())) for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()) if lang in number for c in beginnings(text, len(model.idf))]
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.int32(), pa.int32(), pa.float64()))], names=["lang", "band", "cosine"])
+
+    found = rows.select("lang", "text").mapInArrow(run, "lang int, band int, cosine double").groupBy("lang", "band").agg(F.percentile("cosine", QUANTILE).alias("low"))
+    least = np.full((len(number), BANDS), np.nan)
+    for r in found.collect():  # BANDS rows a language at most
+        least[r.lang, r.band] = r.low
+    for row in least:  # a length not met is judged like the next shorter one, else the next longer
+        met = np.flatnonzero(~np.isnan(row))
+        for band in range(BANDS if len(met) else 0):
+            row[band] = row[met[max(0, np.searchsorted(met, band, "right") - 1)]]
+    return np.nan_to_num(least)
 
 
 def predict(docs: DataFrame, model: Centroids, reach: float = REACH) -> DataFrame:

@@ -350,6 +350,25 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.predict(docs.limit(5), blank).collect()} == {"und"}
 
 
+def test_language_rejects_what_was_not_learnt(spark):
+    import base64
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    held = langid.held_out(F.col("doc_id"))
+    model = langid.fit(docs, ~held)
+    clean = langid.predict(docs.where(held), model).where("lang_pred <> 'und'").collect()
+    assert np.mean([r.rejected for r in clean]) < 0.01
+    noise = np.random.default_rng(1).bytes(600)
+    others = [
+        noise.hex(), base64.b64encode(noise).decode(),
+        "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+    ]
+    far = spark.createDataFrame(list(enumerate(others)), "doc_id bigint, text string")
+    found = langid.predict(far, model).collect()
+    assert all(r.rejected for r in found), found
+
+
 def hash_fold(doc_id):
     import zlib
 
