@@ -2,10 +2,12 @@
 
 The standard library's streaming parser turns a page into lines (block elements, in page order). Parts that are never
 content (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out by their
-element, role or class. Of each remaining line the ratio of unlinked characters to tags is taken, smoothed with a
-Gaussian over the neighbouring lines, and split by a two-means threshold into content and the rest. Where the page has
-`article` or `main` containers, a container with a content line is a content region and keeps all its lines; elsewhere a
-region runs from the first to the last content line of a cluster, with short lines between two content lines kept.
+element, role or class. Of each remaining line the ratio of unlinked characters to tags is taken (its logarithm, beyond
+`FULL` characters a tag no more, so that one long paragraph doesn't outweigh the others), smoothed with a Gaussian over
+the neighbouring lines, and split by a two-means threshold into content and the rest; lines that lie close together are
+all content. `article` and `main` containers are a prior: lines outside count as fewer characters. A region is a whole
+container with a content line; elsewhere it runs from the first to the last content line of a cluster, with short lines
+between two content lines and the headings before it kept.
 
 Nothing is dropped or capped inside a region. Defined cases: a null, empty or markup-free html works like any other
 (plain text is one line); unclosed elements end with their parent or the page; a page without text gives "".
@@ -34,14 +36,19 @@ MARKS = frozenset("ad ads advert adverts advertisement advertising aside banner
 #: Start tags that end an open p, as in the HTML standard's list.
 ENDS_P = BLOCK - {"caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "body", "html", "legend"}
 
+FULL = 100  # unlinked characters a tag of a line that is surely text
+PRIOR = math.log(4)  # so many times fewer characters a line outside of a page's containers counts for
+APART = math.log(3)  # content and the rest differ by this factor at least
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _marked(attrs: list[tuple[str, str | None]]) -> bool:
+def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
     for name, value in attrs:
-        if value and name in ("class", "id", "role"):
+        if value and tag not in CONTAINER and name in ("class", "id", "role"):
             if not MARKS.isdisjoint(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
                 return True
         elif name == "hidden" or name == "aria-hidden" and value == "true":
@@ -50,11 +57,11 @@ def _marked(attrs: list[tuple[str, str | None]]) -> bool:
 
 
 class _Lines(HTMLParser):
-    """lines: (text, characters outside links, tags, number of the container or -1)."""
+    """lines: (text, characters outside links, tags, number of the container or -1, in a heading)."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int]] = []
+        self.lines: list[tuple[str, int, int, int, bool]] = []
         self.open: list[str] = []
         self.left_out: int | None = None  # depth at which a part that isn't content began
         self.links = 0
@@ -70,7 +77,7 @@ class _Lines(HTMLParser):
         if self.text:
             text = _SPACE.sub(" ", "".join(self.text)).strip()
             if text:
-                self.lines.append((text, self.plain, self.tags, self.containers[-1][1] if self.containers else -1))
+                self.lines.append((text, self.plain, self.tags, self.containers[-1][1] if self.containers else -1, not HEADING.isdisjoint(self.open)))
                 self.start()
             else:
                 self.text = []
@@ -90,7 +97,7 @@ class _Lines(HTMLParser):
             if tag in BLOCK:
                 self.flush()
             self.tags += 1
-            if tag in NEVER or attrs and tag not in ("html", "body") and _marked(attrs):
+            if tag in NEVER or attrs and tag not in ("html", "body") and _marked(tag, attrs):
                 self.left_out = len(self.open)
             elif tag in CONTAINER or any(k == "role" and v in ("main", "article") for k, v in attrs):
                 if not self.containers:
@@ -134,7 +141,7 @@ class _Lines(HTMLParser):
             if not self.links:
                 self.plain += len(data)
 
-    def finish(self, html: str) -> list[tuple[str, int, int, int]]:
+    def finish(self, html: str) -> list[tuple[str, int, int, int, bool]]:
         self.feed(html)
         self.close_input()
         self.flush()
@@ -155,8 +162,9 @@ def smoothed(ratios: list[float], sigma: float) -> list[float]:
     return out
 
 
-def threshold(values: list[float]) -> float:
-    """Where two-means splits the values; content is at or above it. All alike: all content."""
+def threshold(values: list[float], apart: float = 0.0) -> float:
+    """Where two-means splits the values; content is at or above it. Means no more than `apart` apart: all content."""
+    least = min(values)
     low, high = min(values), max(values)
     if high <= low:
         return low
@@ -169,7 +177,7 @@ def threshold(values: list[float]) -> float:
         if now == (low, high):
             break
         low, high = now
-    return (low + high) / 2
+    return (low + high) / 2 if high - low > apart else least
 
 
 def main_text(html: str | None, sigma: float = 1.0, gap: int = 3) -> str:
@@ -182,21 +190,23 @@ def main_text(html: str | None, sigma: float = 1.0, gap: int = 3) -> str:
     lines = _Lines().finish(html)
     if not lines:
         return ""
-    scores = smoothed([plain / max(1, tags) for _, plain, tags, _ in lines], sigma)
-    if any(container >= 0 for *_, container in lines):
-        inside = [i for i, x in enumerate(lines) if x[3] >= 0]
-        best: dict[int, float] = {}
-        for i in inside:
-            best[lines[i][3]] = max(best.get(lines[i][3], 0.0), scores[i])
-        least = threshold(list(best.values()))
-        return "\n\n".join(lines[i][0] for i in inside if best[lines[i][3]] >= least)
-    least = threshold(scores)
+    contained = any(line[3] >= 0 for line in lines)
+    ratios = [math.log1p(min(FULL, plain / max(1, tags))) for _, plain, tags, _, _ in lines]
+    scores = [max(0.0, x - PRIOR) if contained and line[3] < 0 else x for x, line in zip(smoothed(ratios, sigma), lines)]
+    least = threshold(scores, APART)
     content = [i for i, x in enumerate(scores) if x >= least]
-    kept = set(content)
-    for a, b in zip(content, content[1:]):
+    whole = {lines[i][3] for i in content} - {-1}
+    kept = {i for i, line in enumerate(lines) if line[3] in whole}
+    loose = [i for i in content if lines[i][3] < 0]
+    for i in loose:
+        kept.add(i)
+        while i and lines[i - 1][4] and lines[i - 1][3] < 0:
+            i -= 1
+            kept.add(i)
+    for a, b in zip(loose, loose[1:]):
         if b - a <= gap + 1:
             kept.update(range(a, b))
-    return "\n\n".join(lines[i][0] for i in sorted(kept) if lines[i][1] or len(lines) == 1)
+    return "\n\n".join(lines[i][0] for i in sorted(kept) if lines[i][1] or lines[i][3] >= 0 or len(lines) == 1)
 
 
 def extract(pages: DataFrame) -> DataFrame:

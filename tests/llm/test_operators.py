@@ -159,6 +159,17 @@ def test_html_without_containers_clusters_by_ratio():
     assert found.count("long sentence of content number") == 30 and "item" not in found
 
 
+def test_html_keeps_what_is_text():
+    menu = "<ul>" + "".join(f"<li><a href='/{i}'>item {i}</a></li>" for i in range(8)) + "</ul>"
+    text = lambda n, word: f"<p>{(word + ' ') * n}</p>"
+    both = html_text.main_text(f"<body>{menu}<article>{text(50, 'first')}</article><article>{text(48, 'second')}</article>{menu}</body>")
+    assert both.count("first") == 50 and both.count("second") == 48 and "item" not in both
+    beside = html_text.main_text(f"<body>{menu}<div><h2>Heading</h2>{text(20, 'normal')}{text(2000, 'long')}{text(20, 'after')}</div>{menu}</body>")
+    assert beside.startswith("Heading") and beside.count("normal") == 20 and beside.count("after") == 20 and "item" not in beside
+    assert html_text.main_text(f"<article class='post ad share'>{text(30, 'marked')}</article>").count("marked") == 30
+    assert html_text.main_text(f"<main><p><a href=x>go</a></p></main><div>{text(100, 'body')}{text(90, 'body')}</div>").count("body") == 190
+
+
 def test_html_table(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     found = {r.page_id: r for r in html_text.extract(pages).collect()}
