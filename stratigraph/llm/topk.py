@@ -1,8 +1,8 @@
 """Exact top-k inner-product search as a Voronoi kNN join.
 
-Data vectors are grouped by their nearest pivot. The summary of a group is its pivot, its size, its radius, and the
-distances of its members nearest to the pivot. From the summaries each query gets a score that its k-th best partner
-reaches at least, and for each group a score that no member exceeds; it is sent only to groups that may hold one of
+Rows that repeat an id and a vector become one with a count. Data vectors are grouped by their nearest pivot. The summary of a group is its pivot, its size, its radius, and the
+distances of its nearest members to the pivot, of unlike ids. From the summaries each query gets a score that its k-th
+best partner reaches at least, and for each group a score that no member exceeds; it is sent only to groups that may hold one of
 its partners. Groups are cut into blocks of bounded size, queries into blocks too, and each pair of blocks is solved
 locally and exactly; the local lists are merged by rank.
 
@@ -47,7 +47,7 @@ def _rows(column: pa.Array, width: int) -> np.ndarray:
 
 
 def _cells(data: DataFrame, pivots: np.ndarray) -> DataFrame:
-    """vec_id, cell, distance, v (bytes)."""
+    """vec_id, n, cell, distance, v (bytes) from vec_id, v, count."""
     width = pivots.shape[1]
     half = (pivots**2).sum(axis=1) / 2
 
@@ -56,9 +56,9 @@ def _cells(data: DataFrame, pivots: np.ndarray) -> DataFrame:
             x = _rows(batch.column(1), width)
             cell = np.argmax(x @ pivots.T - half, axis=1) if len(x) else np.zeros(0, int)
             distance = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(cell.astype(np.int32)), pa.array(distance), pa.array([r.tobytes() for r in x], pa.binary())], names=["vec_id", "cell", "distance", "v"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(cell.astype(np.int32)), pa.array(distance), pa.array([r.tobytes() for r in x], pa.binary())], names=["vec_id", "n", "cell", "distance", "v"])
 
-    return data.mapInArrow(run, "vec_id bigint, cell int, distance double, v binary")
+    return data.mapInArrow(run, "vec_id bigint, n bigint, cell int, distance double, v binary")
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS, block: int = BLOCK, scale: int = SCALE) -> DataFrame:
@@ -74,19 +74,21 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS
     for i, r in enumerate(chosen):
         at[i, : len(r.v)] = r.v
     at = np.unique(at, axis=0)
-    cells = written(_cells(data, at), "cells")
+    cells = written(_cells(data.groupBy("vec_id", "v").count(), at), "cells")
 
     # summaries: a row or k+1 rows for each pivot
     sums = {r.cell: r for r in cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("distance").alias("radius")).collect()}
     near = Window.partitionBy("cell", "part").orderBy("distance")
-    parts = cells.select("cell", "distance", F.pmod(F.xxhash64("vec_id"), F.lit(32)).alias("part")).withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1)
+    ids = cells.groupBy("cell", "vec_id").agg(F.min("distance").alias("distance"))  # an id counts once, as it may be the query's own
+    parts = ids.select("cell", "vec_id", "distance", F.pmod(F.xxhash64("vec_id"), F.lit(32)).alias("part")).withColumn("r", F.row_number().over(near)).where(F.col("r") <= k + 1)
     over = Window.partitionBy("cell").orderBy("distance")  # 32 * (k + 1) rows a group at most
-    nearest: dict[int, list[float]] = {}
+    nearest: dict[int, list[tuple[float, int]]] = {}
     for r in parts.withColumn("r", F.row_number().over(over)).where(F.col("r") <= k + 1).collect():
-        nearest.setdefault(r.cell, []).append(r.distance)
+        nearest.setdefault(r.cell, []).append((r.distance, r.vec_id))
     used = sorted(sums)
     radius = np.array([sums[c].radius for c in used])
-    first = [np.array(sorted(nearest[c])[: k + 1]) for c in used]
+    first = [np.array([d for d, _ in sorted(nearest[c])[: k + 1]]) for c in used]
+    owner = np.array([i for c in used for _, i in sorted(nearest[c])[: k + 1]])
     centre = at[used]
     slices = np.array([max(1, -(-sums[c].n // block)) for c in used])
 
@@ -97,8 +99,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS
             base, length = q @ centre.T, np.linalg.norm(q, axis=1)
             slack = 1e-9 * (1 + np.abs(base).max(initial=0) + length.max(initial=0) * radius.max(initial=0))
             surely = np.concatenate([base[:, [j]] - length[:, None] * first[j][None, :] for j in range(len(used))], axis=1)
-            n = min(k + 1, surely.shape[1])  # the query itself may be one of them
-            least = -np.partition(-surely, n - 1, axis=1)[:, n - 1] - slack if surely.shape[1] >= k + 1 else np.full(len(q), -np.inf)
+            surely[batch.column("vec_id").to_numpy()[:, None] == owner[None, :]] = -np.inf  # the query's own rows are no partners
+            least = -np.partition(-surely, k - 1, axis=1)[:, k - 1] - slack if surely.shape[1] >= k else np.full(len(q), -np.inf)
             i, j = np.nonzero(base + length[:, None] * radius[None, :] + slack >= least[:, None])
             ids = batch.column("vec_id").take(pa.array(i))
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.array(used)[j].astype(np.int32)), pa.array(slices[j].astype(np.int32)), batch.column("v").take(pa.array(i))], names=["query_id", "cell", "slices", "q"])
@@ -108,14 +110,15 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS
     query_blocks = max(1, -(-n_queries // block))
     sent = queries.mapInArrow(send, "query_id bigint, cell int, slices int, q binary").select("query_id", "cell", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int").alias("query_block"), "q")
     of = F.create_map(*[F.lit(int(x)) for c, n in zip(used, slices) for x in (c, n)])
-    dealt = cells.select("vec_id", "cell", F.pmod(F.xxhash64("vec_id", "v"), of[F.col("cell")]).cast("int").alias("slice"), F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("query_block"), "v")
+    asked = sent.groupBy("cell").agg(F.collect_set("query_block").alias("query_blocks"))  # a row a pivot
+    dealt = cells.join(F.broadcast(asked), "cell").select("vec_id", "n", "cell", F.pmod(F.xxhash64("vec_id", "v"), of[F.col("cell")]).cast("int").alias("slice"), F.explode("query_blocks").alias("query_block"), "v")
 
     def solve(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         names = ["query_id", "vec_id", "score"]
         if left.empty or right.empty:
             return pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
         right = right.sort_values("vec_id")
-        ids = right.vec_id.to_numpy()
+        ids, times = right.vec_id.to_numpy(), np.minimum(right.n.to_numpy(), k)
         x = np.frombuffer(b"".join(right.v), dtype=np.float64).reshape(-1, width)
         out = []
         for start in range(0, len(left), 512):
@@ -127,7 +130,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, pivots: int = PIVOTS
             least = -np.partition(-score, n - 1, axis=1)[:, n - 1]
             for i in range(len(part)):
                 found = np.flatnonzero((score[i] >= least[i]) & (score[i] > -np.inf))
-                best = found[np.argsort(-score[i, found], kind="stable")[:k]]
+                best = np.repeat(found, times[found])  # each row of an id is a candidate
+                best = best[np.argsort(-score[i, best], kind="stable")[:k]]
                 out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[best], "score": score[i, best].astype(np.int64)}))
         return pd.concat(out) if out else pd.DataFrame({c: pd.Series(dtype="int64") for c in names})
 

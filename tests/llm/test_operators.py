@@ -405,3 +405,18 @@ def test_top_k(spark):
     few = topk.top_k(df.where("vec_id < 3"), F.col("vec_id") == 0).collect()
     assert [r["rank"] for r in sorted(few, key=lambda r: r["rank"])] == [1, 2]
     assert topk.top_k(df.limit(0), F.col("vec_id") == 0).count() == 0
+
+
+def test_top_k_with_repeated_query_rows(spark):
+    """Many rows of the query's own id, exact copies or near ones, hide none of its partners in other cells."""
+    rng = np.random.default_rng(4)
+    others = [(i, [float(x) for x in rng.normal(size=2)]) for i in range(1, 60)] + [(7, [3.0, 0.5])] * 3
+    for own in ([(100, [5.0, 0.0])] * 30, [(100, [5.0, j / 64]) for j in range(9)]):
+        rows = others + own
+        df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+        for query in (7, 100):
+            queries = {tuple(v) for i, v in rows if i == query}
+            pairs = ((int(np.floor(256 * np.array(q)) @ np.floor(256 * np.array(x))), i) for q in queries for i, x in rows if i != query)
+            wanted = sorted(pairs, key=lambda p: (-p[0], p[1]))[:5]
+            found = topk.top_k(df, F.col("vec_id") == query, pivots=60, block=8).collect()
+            assert [(r.score, r.vec_id) for r in sorted(found, key=lambda r: r["rank"])] == wanted
