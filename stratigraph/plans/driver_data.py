@@ -259,7 +259,7 @@ def slugs(spark, sf_dir):
 
 @_query()
 def document_slugs(spark, sf_dir):
-    return _table(spark, sf_dir, "documents").select("doc_id", slug(F.substring_index("text", "\n", 1)).alias("slug"))
+    return _table(spark, sf_dir, "documents").select("doc_id", slug(F.col("text")).alias("slug"))
 
 
 @_query("PLAIN SELECT c_custkey, lower(trim('  ' || c_name || ' ')) AS key, CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE c_acctbal END AS number, CASE c_custkey % 4 WHEN 0 THEN TRUE WHEN 1 THEN FALSE END AS flag, CASE WHEN length(trim(c_name || '  ' || c_mktsegment)) > 0 THEN (CASE WHEN length(regexp_replace(c_name || '  ' || c_mktsegment, '\\s+', ' ', 'g')) > 20 THEN substr(regexp_replace(c_name || '  ' || c_mktsegment, '\\s+', ' ', 'g'), 1, 19) || '…' ELSE regexp_replace(c_name || '  ' || c_mktsegment, '\\s+', ' ', 'g') END) END AS short FROM customer")

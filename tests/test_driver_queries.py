@@ -56,3 +56,10 @@ def test_same_as_sql(spark, db, name):
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_runs(spark, name):
     assert QUERIES[name](spark, SF).count() > 0
+
+
+def test_document_slugs_read_whole_texts(spark, tmp_path):
+    rows = [(1, "First line\nSecond line\n\nthird"), (2, "\nafter an empty line"), (3, None)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r.doc_id: r.slug for r in driver_data.document_slugs(spark, str(tmp_path)).collect()}
+    assert found == {1: "first_line_second_line_third", 2: "after_an_empty_line", 3: None}
