@@ -2,37 +2,42 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import SUBCLASS, TYPE
+from ..sources.scratch import stored
 from .compare import distinct_triples, merge_graphs
 
 
 def superclass_closure(edges: DataFrame) -> DataFrame:
-    """(cls, sup): every superclass over any number of steps, itself excluded; safe on cycles. The class table is small
-    in relation to the data; each round adds one step and stops when nothing is new."""
-    step = edges.select(F.col("sub").alias("cls"), "sup").where("cls <> sup").distinct()
-    known = frontier = step
-    while not frontier.isEmpty():
-        next_step = frontier.join(step.select(F.col("cls").alias("sup"), F.col("sup").alias("above")), "sup").select("cls", F.col("above").alias("sup")).where("cls <> sup").distinct()
-        frontier = next_step.join(known, ["cls", "sup"], "left_anti").cache()
-        known = known.unionByName(frontier).cache()
+    """(cls, sup): every superclass over any number of steps, itself excluded; safe on cycles. Each round doubles the
+    number of steps and is stored, so the plan stays short and a tree of depth d takes log2(d) + 1 rounds."""
+    known = stored(edges.select(F.col("sub").alias("cls"), "sup").where("cls <> sup").distinct(), "closure")
+    n = known.count()
+    while n:
+        above = known.select(F.col("cls").alias("sup"), F.col("sup").alias("above"))
+        further = known.join(above, "sup").select("cls", F.col("above").alias("sup")).where("cls <> sup")
+        known, before = stored(known.unionByName(further).distinct(), "closure"), n
+        n = known.count()
+        if n == before:
+            break
     return known
 
 
 def superclass_paths(edges: DataFrame) -> DataFrame:
-    """(cls, path): every way from a class up to a root, as an array that begins with the class."""
-    step = edges.select("sub", "sup").where("sub <> sup").distinct()
-    walks = step.select(F.col("sub").alias("cls"), F.array("sub", "sup").alias("path"), F.col("sup").alias("top"))
-    done = None
+    """(cls, path): every way from a class up to a root, as an array that begins with the class. Each round is stored."""
+    step = stored(edges.select(F.col("sub").alias("top"), F.col("sup").alias("above")).where("top <> above").distinct(), "steps")
+    walks = step.select(F.col("top").alias("cls"), F.array("top", "above").alias("path"), F.col("above").alias("top"))
+    done = []
     while True:
-        longer = walks.join(step.select(F.col("sub").alias("top"), F.col("sup").alias("above")), "top", "left").where(F.col("above").isNull() | ~F.array_contains("path", F.col("above"))).cache()
-        ended = longer.where("above is null").select("cls", "path")
-        done = ended if done is None else done.unionByName(ended)
+        longer = stored(walks.join(step, "top", "left").where(F.col("above").isNull() | ~F.array_contains("path", F.col("above"))), "walks")
+        done.append(longer.where("above is null").select("cls", "path"))
         walks = longer.where("above is not null").select("cls", F.array_append("path", F.col("above")).alias("path"), F.col("above").alias("top"))
         if walks.isEmpty():
-            return done
+            return reduce(DataFrame.unionByName, done)
 
 
 def _type_triples(df: DataFrame) -> DataFrame:
@@ -86,10 +91,10 @@ def describe_graph(t: DataFrame, classes: list[str], about: str, vocab: str) ->
 
 def build_bundle(data: DataFrame, vocab: DataFrame, prefix: str, site_class: str, about: str, classes: list[str], stats_vocab: str = "http://rdfs.org/ns/void#") -> DataFrame:
     """Data and vocabulary, untyped sites typed, all inferred types written out, and the graph's own counts."""
-    merged = merge_graphs(data, vocab)
-    typed = distinct_triples(merged.unionByName(type_referenced_sites(merged, prefix, site_class)))
+    merged = stored(merge_graphs(data, vocab), "merged")
+    typed = stored(distinct_triples(merged.unionByName(type_referenced_sites(merged, prefix, site_class))), "typed")
     closure = superclass_closure(typed.where(F.col("p") == SUBCLASS).select(F.col("s").alias("sub"), F.col("o").alias("sup")))
-    full = materialise_types(typed, closure)
+    full = stored(materialise_types(typed, closure), "full")
     return full.unionByName(describe_graph(full, classes, about, stats_vocab))
 
 

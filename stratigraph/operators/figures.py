@@ -6,17 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import year_label
+from ..sources.scratch import carried, in_ranges
 
 
 def row_position(df: DataFrame) -> DataFrame:
-    """0-based row by avg_datemin, site and spot. Ranks are given within ranges of avg_datemin and moved by the number
-    of rows before each range, so no task orders all rows."""
+    """0-based row by avg_datemin, site and spot. Ranks are given within ranges of all three and moved by the number of
+    rows before each range, so no task orders all rows."""
     keys = ["avg_datemin", "the_site", "the_findspot"]
-    parts = df.repartitionByRange("avg_datemin").withColumn("_part", F.spark_partition_id())
+    parts = in_ranges(df, *keys)
     ranked = parts.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy(*keys)))
-    sizes = ranked.groupBy("_part").agg(F.count("*").alias("_n"))  # one row for each range
-    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    return ranked.join(before.select("_part", "_before"), "_part").withColumn("row", (F.col("_before") + F.col("_rank") - 1).cast("int")).drop("_part", "_rank", "_before")
+    before = carried(parts, F.count("*"), F.sum)
+    return ranked.join(before, "_part").withColumn("row", (F.coalesce("carried", F.lit(0)) + F.col("_rank") - 1).cast("int")).drop("_part", "_rank", "carried")
 
 
 def whisker_geometry(df: DataFrame, stub: float = 10) -> DataFrame:

@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import decimal_lexical, external_id, gyear, integer_lexical, round_half_even, wkt_point
 from ..functions.text import short_hash, slug
 from ..params import CRM, CRMDIG, DCAT, DCTERMS, GEO, LABEL, OWL, PROV, RDFS, SKOS, TIME, TYPE, XSD, DatingParams, Names
+from ..sources.scratch import stored
 from .compare import distinct_triples
 from .vocabulary import TRIPLE
 
@@ -88,9 +89,10 @@ def emit_places(keyed: DataFrame, names: Names, geometry: bool = False) -> DataF
 
 
 def group_statements(names: Names) -> list[Column]:
+    """`_slug`: the slug of the findspot's name."""
     i = _iris(names)
     return [
-        node(i["spot"], TYPE, names.vocab + "Findspot"), text(i["spot"], LABEL, F.col("the_findspot")), text(i["spot"], SKOS + "notation", slug(F.col("the_findspot"))),
+        node(i["spot"], TYPE, names.vocab + "Findspot"), text(i["spot"], LABEL, F.col("the_findspot")), text(i["spot"], SKOS + "notation", F.col("_slug")),
         node(i["spot"], CRM + "P89_falls_within", i["place"]), node(i["spot"], CRM + "P4_has_time-span", i["span"]),
     ]
 
@@ -156,8 +158,8 @@ def resolve_references(keyed: DataFrame, references: DataFrame, names: Names) ->
 
 
 def singletons(spark: SparkSession, p: DatingParams, names: Names, era: str, figure: str, dataset: str, generated_at: str, about: dict[str, str] | None = None) -> DataFrame:
-    """Agent, year scale, model, dataset and figure. `about`: title, source, license, rights, creator, publisher,
-    contact and calibration basis, as far as they are given."""
+    """Agent, year scale, model, dataset and figure. `about`: the model's label, title, source, license, rights, creator,
+    publisher, contact, calibration basis and identifier scheme, as far as they are given."""
     about, v, d = about or {}, names.vocab, names.data
     rows: list[tuple] = []
     iri = lambda s, q, o: rows.append((s, q, o, "iri", None, None))
@@ -166,7 +168,7 @@ def singletons(spark: SparkSession, p: DatingParams, names: Names, era: str, fig
     iri(agent, TYPE, PROV + "SoftwareAgent"); iri(agent, TYPE, CRMDIG + "D14_Software"); lit(agent, LABEL, "exporter", lang="en")  # noqa: E702
     iri(scale, TYPE, TIME + "TRS"); iri(scale, TYPE, v + "YearScale"); lit(scale, LABEL, "signed year scale", lang="en")  # noqa: E702
     iri(scale, SKOS + "closeMatch", "http://www.opengis.net/def/uom/ISO-8601/0/Gregorian")
-    iri(model, TYPE, v + "DatingModel"); lit(model, LABEL, "Virtual fuzzy year, volume-based k (v1)", lang="en")  # noqa: E702
+    iri(model, TYPE, v + "DatingModel"); lit(model, LABEL, about.get("model", "dating model"), lang="en")  # noqa: E702
     for name, value in (("kMin", p.k_min), ("kMax", p.k_max), ("tau", p.tau), ("volumeWeight", p.w), ("referenceLength", p.t0)):
         lit(model, v + name, float(value), DECIMAL)
     lit(model, v + "fuzzinessDivisor", 12, INTEGER)
@@ -178,8 +180,7 @@ def singletons(spark: SparkSession, p: DatingParams, names: Names, era: str, fig
         iri(dataset, TYPE, kind)
     iri(dataset, PROV + "wasAttributedTo", agent)
     lit(dataset, DCTERMS + "created", generated_at, XSD + "dateTime"); lit(dataset, DCTERMS + "issued", day, XSD + "date"); lit(dataset, OWL + "versionInfo", day)  # noqa: E702
-    lit(dataset, v + "identifierScheme", "sha256(NFC(trim(findspot)))[0:6], per discovery-site id")
-    for name, pred, s in (("title", DCTERMS + "title", dataset), ("source", DCTERMS + "source", dataset), ("rights", DCTERMS + "rights", dataset), ("creator", DCTERMS + "creator", dataset), ("publisher", DCTERMS + "publisher", dataset), ("contact", DCAT + "contactPoint", dataset), ("basis", v + "calibrationBasis", model)):
+    for name, pred, s in (("title", DCTERMS + "title", dataset), ("source", DCTERMS + "source", dataset), ("rights", DCTERMS + "rights", dataset), ("creator", DCTERMS + "creator", dataset), ("publisher", DCTERMS + "publisher", dataset), ("contact", DCAT + "contactPoint", dataset), ("basis", v + "calibrationBasis", model), ("identifiers", v + "identifierScheme", dataset)):
         if name in about:
             lit(s, pred, about[name], lang="en" if name in ("title", "rights", "basis") else None)
     if "license" in about:
@@ -198,10 +199,12 @@ def build_graph(dated: DataFrame, p: DatingParams, generated_at: str, names: Nam
     dataset = f"{names.data}dataset_{figure}_{generated_at[:10]}"
     i = _iris(names)
     rows = [*group_statements(names), *span_statements(names, era), *bound_statements(names, era), *measure_statements(i["span"], MEASURES, names), *label_statements(names), *row_statements(names, figure), *activity_statements(names, dataset, generated_at)]
-    parts = [explode_triples(keyed, rows), emit_places(keyed, names, geometry), singletons(dated.sparkSession, p, names, era, figure, dataset, generated_at, about)]
+    # subjects are a group's own, so statements repeat only where a key does: the others are never compared
+    counted = stored(keyed.withColumns({"_same": F.count("*").over(Window.partitionBy("key")), "_slug": slug(F.col("the_findspot"))}), "keyed")
+    parts = [explode_triples(counted.where("_same > 1"), rows), emit_places(counted, names, geometry), singletons(dated.sparkSession, p, names, era, figure, dataset, generated_at, about)]
     if references is not None:
         parts.append(resolve_references(keyed, references, names))
-    return distinct_triples(reduce(DataFrame.unionByName, parts))
+    return explode_triples(counted.where("_same = 1"), rows).unionByName(distinct_triples(reduce(DataFrame.unionByName, parts)))
 
 
 def count_bc_years(t: DataFrame) -> DataFrame:

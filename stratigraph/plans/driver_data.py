@@ -9,17 +9,19 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ..functions import exprs as X
-from ..functions.profiles import profile_rows, spread_profile
+from ..functions.profiles import profile_summary, spread_profile
 from ..functions.text import short_hash, slug
 from ..operators import checks as C
 from ..operators import compare, dating, entailment, figures
 from ..operators import patterns as P
 from ..operators import triples as G
 from ..params import LABEL, TYPE, DatingParams, Names
-from ..sources.scratch import stored
+from ..sources.scratch import scratch_path, stored
 from ..sources.writers import node_documents
 from . import catalogue as Q
 
@@ -54,14 +56,36 @@ def dated(spark: SparkSession, sf_dir: str, p: DatingParams = PARAMS, legacy: bo
     return dating.date_groups(stamps(spark, sf_dir), potters(spark, sf_dir), p=p, legacy=legacy)
 
 
+_known: dict[tuple, tuple[str, StructType]] = {}
+
+
+def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
+    """What `build` gives, stored once for each session and folder, and built again if it has been cleared away."""
+    key = (spark.sparkContext.applicationId, *key)
+    if key in _known:
+        path, schema = _known[key]
+        try:
+            return spark.read.schema(schema).parquet(path)
+        except AnalysisException:
+            del _known[key]
+    df, path = build(), scratch_path(spark, key[1])
+    _known[key] = path, df.schema
+    return stored(df, key[1], partition_by, path)
+
+
+def _spread(groups: DataFrame) -> DataFrame:
+    """Groups are few bytes but grow to many rows each, so they go to all tasks instead of being packed into few."""
+    return groups.repartition(int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _kept(spark: SparkSession, sf_dir: str, p: DatingParams = PARAMS, legacy: bool = False) -> DataFrame:
     """The dated groups as a stored table, for plans that read them several times."""
-    return stored(dated(spark, sf_dir, p, legacy), "dated")
+    return _once(spark, ("dated", sf_dir, p, legacy), lambda: _spread(dated(spark, sf_dir, p, legacy)))
 
 
 def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph, stored by predicate: each pattern reads one partition of it."""
-    return stored(G.build_graph(_kept(spark, sf_dir), PARAMS, AT), "graph", "p")
+    return _once(spark, ("graph", sf_dir), lambda: G.build_graph(_kept(spark, sf_dir), PARAMS, AT), "p")
 
 
 _SQL = """
@@ -184,7 +208,7 @@ def epoch_drift(spark, sf_dir):
   round(median(exp(-x / 20.0)), 6) AS q_median, round(max(exp(-x / 20.0)), 6) AS q_max
   FROM (SELECT unc_start_years_exact AS x FROM dated UNION ALL SELECT unc_end_years_exact FROM dated) WHERE x IS NOT NULL""")
 def facts_spectrum(spark, sf_dir):
-    out = C.spectrum(dated(spark, sf_dir), ["unc_start_years_exact", "unc_end_years_exact"], F.lit(20.0))
+    out = C.spectrum(dated(spark, sf_dir), ["unc_start_years_exact", "unc_end_years_exact"], 20.0)
     return out.select("n", "sigma_min", F.round("sigma_median", 6).alias("sigma_median"), "sigma_max", *[F.round(c, 6).alias(c) for c in ("q_min", "q_median", "q_max")])
 
 
@@ -219,9 +243,8 @@ _CHECK = "SELECT '{0}' AS key, CASE WHEN count(*) FILTER ({1}) > 0 THEN 'fail' E
     _CHECK.format("r", "greatest(abs(unc_start_years - unc_start_years_exact), abs(unc_end_years - unc_end_years_exact)) > 0.5 + 1e-9"),
 ]))
 def row_checks(spark, sf_dir):
-    df = _kept(spark, sf_dir)
-    found = C.check_k(df).unionByName(C.check_width(df)).unionByName(C.check_undefined_together(df)).unionByName(C.check_no_placeholder(df)).unionByName(C.check_integer_casts(df))
-    return found.select("key", "status", "n_offenders")
+    checks = [C.k_check(), C.width_check(), C.undefined_together_check(), C.no_placeholder_check(), C.integer_casts_check()]
+    return C.checked(_kept(spark, sf_dir), checks).select("key", "status", "n_offenders")
 
 
 @_query()
@@ -481,10 +504,9 @@ def value_table(spark, sf_dir):
 
 @_query()
 def spread_profiles(spark, sf_dir):
-    """Areas and peaks of all profiles (400 points each)."""
-    df = spread_profile(dated(spark, sf_dir), F.col("min_datemin"), F.col("max_datemax"), (F.col("eff_start") + F.col("eff_end")) / 2, F.col("sigma_eff"))
-    points = profile_rows(df, ["the_id", "the_findspot"])
-    return points.groupBy("the_id", "the_findspot").agg(F.count("*").alias("n"), F.round(F.max("density"), 6).alias("peak"), F.round(F.sum(F.col("density") * F.col("x")) / F.sum("density"), 3).alias("mean"))
+    """Length, peak and mean of all profiles (400 points each)."""
+    df = spread_profile(_spread(dated(spark, sf_dir)), F.col("min_datemin"), F.col("max_datemax"), (F.col("eff_start") + F.col("eff_end")) / 2, F.col("sigma_eff"))
+    return profile_summary(df, ["the_id", "the_findspot"]).withColumns({"peak": F.round("peak", 6), "mean": F.round("mean", 3)})
 
 
 # the catalogue over the stored graph

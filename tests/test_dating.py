@@ -1,12 +1,14 @@
 """Golden values and properties of the dating operators."""
 
 import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from stratigraph.operators import checks, dating
+from stratigraph.operators import checks, dating, figures
 from stratigraph.params import DatingParams, params_df
+from stratigraph.plans import driver_data
 
 OBS = "the_id int, the_site string, the_findspot string, pottername string, die string, number int, isdate string, sitecharacter string"
 
@@ -70,6 +72,7 @@ def test_checks_pass_and_catch_changes(worked):
 def test_monotonic_finds_inversions(spark):
     rows = spark.createDataFrame([("s", str(i), float(x), y) for i, (x, y) in enumerate([(1, 0.9), (2, 0.5), (3, 0.7), (4, 0.1), (4, 0.05)])], "the_site string, the_findspot string, sd double, q double")
     assert [r.label for r in checks.monotonic_violations(rows, "sd", "q", []).collect()] == ["s / 2"]
+    assert [(r.label, r.y_before) for r in checks.inversions(rows, "sd", "q").collect()] == [(r.label, r.y_before) for r in checks.monotonic_violations(rows, "sd", "q", []).collect()]
     assert [r.x for r in checks.monotonic_violations_at_scale(rows, "sd", "q").collect()] == [3.0]
 
 
@@ -85,3 +88,30 @@ def test_parameters(spark, worked):
     assert checks.require_constant_parameters(worked[1]).tau == 20.0 and params_df(spark, DatingParams()).first().t0 == 20.0
     assert checks.check_columns(worked[1], ["the_id", "nothing"]).first().status == "fail"
     assert checks.check_count(worked[1], 4).first().status == "warn"
+
+
+def test_scale_forms_equal_plain_ones(spark):
+    """Neighbours, middle values and positions over ranges are those of one sorted list."""
+    rng = random.Random(3)
+    rows = [(f"s{rng.randrange(5)}", f"f{i}", rng.choice([None, float(rng.randrange(40))]), rng.choice([None, rng.random()]), rng.randrange(6)) for i in range(300)]
+    df = spark.createDataFrame(rows, "the_site string, the_findspot string, sd double, q double, avg_datemin int").repartition(7)
+    found = {(r.label, r.y_before) for r in checks.inversions(df, "sd", "q").collect()}
+    assert found == {(r.label, r.y_before) for r in checks.monotonic_violations(df, "sd", "q", []).collect()} and len(found) > 20
+    for r in checks.middles(df, "the_site", "sd").collect():
+        x = sorted(v for site, _, v, *_ in rows if site == r.the_site and v is not None)
+        assert (r.low, r.high) == (x[(len(x) - 1) // 2], x[len(x) // 2])
+    order = {spot: i for i, (*_, spot) in enumerate(sorted((d, site, spot) for site, spot, _, _, d in rows))}
+    assert {r.the_findspot: r.row for r in figures.row_position(df).collect()} == order
+
+
+def test_checks_find_bad_rows(spark):
+    """One broken value each; a check that a row breaks names it, the others pass."""
+    df = driver_data._kept(spark, "/root/testdata/sf0.001").where("q_start is not null and q_end is not null").limit(20).cache()
+    for key, change in {"c": {"k_eff": F.lit(9.0)}, "d": {"eff_end": F.col("eff_end") + 5}, "h": {"q_start": F.col("q_start") + 0.01}, "n": {"q_end": F.lit(None).cast("double")}, "f": {"unc_interval_years": F.lit(None).cast("int"), "q_interval": F.lit(0.5)}, "r": {"unc_end_years": F.col("unc_end_years") + 2}}.items():
+        first = df.orderBy("the_id", "the_findspot").first()
+        here = (F.col("the_id") == first.the_id) & (F.col("the_findspot") == first.the_findspot)
+        status = {r.key: (r.status, r.n_offenders) for r in checks.checked(df.withColumns({c: F.when(here, v).otherwise(F.col(c)) for c, v in change.items()}), checks.row_checks()).collect()}
+        assert status[key] == ("fail", 1), (key, status)
+        if key in "hnfr":
+            assert all(v[0] == "pass" for k, v in status.items() if k != key), status
+    assert checks.verdict(checks.checked(df.withColumn("k_eff", F.lit(9.0)), checks.row_checks())).first().verdict == "error"

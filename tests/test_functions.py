@@ -56,8 +56,8 @@ def test_bands_keep_null_apart(spark):
 
 def test_profile(spark):
     df = spark.createDataFrame([(0.0, 10.0, 4.0, 2.0), (5.0, 5.0, 5.0, 0.0), (0.0, 10.0, 0.0, 50.0)], "a double, b double, m double, sd double")
-    for r in spread_profile(df, F.col("a"), F.col("b"), F.col("m"), F.col("sd")).collect():
+    for r in spread_profile(df, F.col("a"), F.col("b"), F.col("m"), F.col("sd")).select("*", "profile.*").collect():
         step = r.xs[1] - r.xs[0]
         assert len(r.xs) == 400 and r.density[0] == r.density[-1] == 0 and sum(r.density) * step == pytest.approx(1)
-    first = spread_profile(df, F.col("a"), F.col("b"), F.col("m"), F.col("sd")).first()
+    first = spread_profile(df, F.col("a"), F.col("b"), F.col("m"), F.col("sd")).select("*", "profile.*").first()
     assert sum(x * d for x, d in zip(first.xs, first.density)) * (first.xs[1] - first.xs[0]) == pytest.approx(4.0, abs=0.05)
