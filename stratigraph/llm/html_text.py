@@ -1,24 +1,31 @@
 """Main-text extraction from HTML by parser events and the text-to-tag ratio of lines.
 
-The standard library's streaming parser turns a page into lines (block elements, in page order). Parts that are never
-content (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles, comments) are left out by their
-element, role or class. Of each remaining line the ratio of unlinked characters to tags is taken (its logarithm, beyond
-`FULL` characters a tag no more, so that one long paragraph doesn't outweigh the others), smoothed with a Gaussian over
-the neighbouring lines, and split by a two-means threshold into content and the rest; lines that lie close together are
-all content. `article` and `main` containers are a prior: lines outside count as fewer characters. A region is a whole
-container with a content line; elsewhere it runs from the first to the last content line of a cluster, with short lines
-between two content lines and the headings before it kept.
+The standard library's streaming parser turns a page into lines (block elements, in page order). Elements that are never
+content (menus, headers, footers, sidebars, forms, scripts, styles) give no lines. Of each line the ratio of unlinked
+characters to tags is taken (its logarithm, beyond `FULL` characters a tag no more, so that one long paragraph doesn't
+outweigh the others), smoothed with a Gaussian over the neighbouring lines, and split by a two-means threshold into
+content and the rest; lines that lie close together are all content.
+
+Two kinds of evidence stand beside the ratios. Marks (class, id or role name an advert, a notice, comments, ...; an
+article within an article is a comment too) take lines out of the clustering, but only where unmarked lines are left,
+and a mark around a page's containers counts for nothing. Containers (`main`, else `article`) are a prior: lines outside
+count as fewer characters. A region is a whole container that has a content line or mostly unlinked text; elsewhere it
+runs from the first to the last content line of a cluster, with short lines between two content lines and the headings
+before it kept.
 
 Nothing is dropped or capped inside a region. Defined cases: a null, empty or markup-free html works like any other
-(plain text is one line); unclosed elements end with their parent or the page; a page without text gives "".
+(plain text is one line); unclosed elements end with their parent or the page; a page without text gives ""; null ids,
+repeated rows and further columns change nothing, and an empty table gives none.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html.parser import HTMLParser
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -29,44 +36,64 @@ from .common import small_batches, text_batches
 #: Fixed word lists: elements by their part in a page.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split())
-NEVER = frozenset("aside button canvas dialog fieldset footer form head header iframe input label math menu nav noscript object option script search select style svg template textarea title".split())
-CONTAINER = frozenset("article main".split())
-#: Words of class, id or role that mark what isn't content.
+NEVER = frozenset("aside button canvas dialog fieldset footer form head header iframe input menu nav noscript object option script search select style svg template textarea title".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: A name of several words is a mark by its last one ("site-footer"), or by its first if the last only names a box
+#: ("sidebar-left"), but not after a word of state ("no-ads", "with-sidebar").
 MARKS = frozenset("ad ads advert adverts advertisement advertising aside banner breadcrumb breadcrumbs byline comment comments consent cookie cookies copyright disqus disclaimer footer header masthead menu menubar modal nav navbar navigation newsletter notice notices pager pagination paywall popup promo promoted promotion recommended related reply replies respond search share sharing sidebar signup skip social sponsor sponsored sponsors subscribe teaser toolbar widget alert alertdialog complementary contentinfo discussion".split())
+BOX = frozenset("area bar block bottom box button buttons center column container content footer form group holder inner item items left link links list module outer panel right row section slot thread top unit wrap wrapper".split())
+STATE = frozenset("no not non without with has have hide hidden show is are was enable enabled disable disabled allow open closed".split())
 #: Start tags that end an open p, as in the HTML standard's list.
 ENDS_P = BLOCK - {"caption", "tbody", "td", "tfoot", "th", "thead", "tr", "option", "optgroup", "body", "html", "legend"}
 
 FULL = 100  # unlinked characters a tag of a line that is surely text
 PRIOR = math.log(4)  # so many times fewer characters a line outside of a page's containers counts for
 APART = math.log(3)  # content and the rest differ by this factor at least
-HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 _SPLIT = re.compile(r"[^a-z]+")
 _SPACE = re.compile(r"\s+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+def names_mark(name: str) -> bool:
+    words = [w for w in _SPLIT.split(_CAMEL.sub(" ", name).lower()) if w]
+    if not words or words[0] in STATE:
+        return False
+    return words[-1] in MARKS or words[0] in MARKS and words[-1] in BOX
+
+
+def marked(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
+    """Whether an element is hidden or named as something else than content; containers are never marked by name."""
     for name, value in attrs:
-        if value and tag not in CONTAINER and name in ("class", "id", "role"):
-            if not MARKS.isdisjoint(_SPLIT.split(_CAMEL.sub(" ", value).lower())):
-                return True
-        elif name == "hidden" or name == "aria-hidden" and value == "true":
+        if name == "hidden" or name == "aria-hidden" and value == "true":
+            return True
+        if value and name in ("class", "id", "role") and tag not in ("article", "main", "html", "body") and any(map(names_mark, value.split())):
             return True
     return False
 
 
-class _Lines(HTMLParser):
-    """lines: (text, characters outside links, tags, number of the container or -1, in a heading)."""
+class Line(NamedTuple):
+    text: str
+    plain: int  # characters outside links
+    tags: int
+    container: int  # its number, or -1
+    heading: bool
+    paragraph: bool
+    marks: tuple[int, ...]  # the marked elements around it
+
 
+class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, int, bool]] = []
+        self.lines: list[Line] = []
         self.open: list[str] = []
         self.left_out: int | None = None  # depth at which a part that isn't content began
         self.links = 0
-        self.containers: list[tuple[int, int]] = []  # depth, number
-        self.n_containers = 0
+        self.marks: list[tuple[int, int]] = []  # depth and number of the marked elements that are open
+        self.n_marks = 0
+        self.around: set[int] = set()  # marked elements with a container in them
+        self.containers: list[tuple[int, int]] = []  # depth and number of those that are open
+        self.kinds: list[tuple[str, tuple[int, ...]]] = []  # of each container, and the marks around it
         self.start()
 
     def start(self) -> None:
@@ -77,7 +104,8 @@ class _Lines(HTMLParser):
         if self.text:
             text = _SPACE.sub(" ", "".join(self.text)).strip()
             if text:
-                self.lines.append((text, self.plain, self.tags, self.containers[-1][1] if self.containers else -1, not HEADING.isdisjoint(self.open)))
+                block = next((t for t in reversed(self.open) if t in BLOCK), "")
+                self.lines.append(Line(text, self.plain, self.tags, self.containers[-1][1] if self.containers else -1, not HEADING.isdisjoint(self.open), block == "p", tuple(n for _, n in self.marks)))
                 self.start()
             else:
                 self.text = []
@@ -85,24 +113,30 @@ class _Lines(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in VOID:
             self.tags += 1
-            if self.left_out is None and tag in ("br", "hr", "wbr", "img"):
-                if tag == "hr":
-                    self.flush()
-                elif tag == "br":
-                    self.text.append(" ")
+            if self.left_out is None and tag == "hr":
+                self.flush()
+            elif self.left_out is None and tag == "br":
+                self.text.append(" ")
             return
-        if tag in ENDS_P and "p" in self.open[-8:]:
+        if tag in ENDS_P:
             self.close("p", within=BLOCK)
         if self.left_out is None:
             if tag in BLOCK:
                 self.flush()
             self.tags += 1
-            if tag in NEVER or attrs and tag not in ("html", "body") and _marked(tag, attrs):
+            container = tag in ("article", "main") or any(k == "role" and v in ("main", "article") for k, v in attrs)
+            reply = tag == "article" and "article" in self.open
+            if tag in NEVER or tag not in BLOCK and attrs and marked(tag, attrs):
                 self.left_out = len(self.open)
-            elif tag in CONTAINER or any(k == "role" and v in ("main", "article") for k, v in attrs):
-                if not self.containers:
-                    self.containers.append((len(self.open), self.n_containers))
-                    self.n_containers += 1
+            elif reply or attrs and marked(tag, attrs):
+                self.marks.append((len(self.open), self.n_marks))
+                self.n_marks += 1
+            elif container:
+                main = tag == "main" or ("role", "main") in attrs
+                if not self.containers or main and self.kinds[self.containers[-1][1]][0] != "main":
+                    self.around.update(n for _, n in self.marks)
+                    self.containers.append((len(self.open), len(self.kinds)))
+                    self.kinds.append(("main" if main else "article", tuple(n for _, n in self.marks)))
             elif tag == "a":
                 self.links += 1
         self.open.append(tag)
@@ -127,8 +161,9 @@ class _Lines(HTMLParser):
         del self.open[depth:]
         if self.left_out is not None and depth <= self.left_out:
             self.left_out = None
-        while self.containers and depth <= self.containers[-1][0]:
-            self.containers.pop()
+        for stack in (self.marks, self.containers):
+            while stack and depth <= stack[-1][0]:
+                stack.pop()
 
     def handle_endtag(self, tag: str) -> None:
         if self.left_out is None:
@@ -141,11 +176,17 @@ class _Lines(HTMLParser):
             if not self.links:
                 self.plain += len(data)
 
-    def finish(self, html: str) -> list[tuple[str, int, int, int, bool]]:
+    def finish(self, html: str) -> list[Line]:
+        """The lines, with the page's own containers alone and with the marks that count."""
         self.feed(html)
         self.close_input()
         self.flush()
-        return self.lines
+        own = {n for n, (_, marks) in enumerate(self.kinds) if not marks}
+        void = set() if own else self.around  # every container stands in a marked element: so does the content
+        own = own or set(range(len(self.kinds)))
+        if any(self.kinds[n][0] == "main" for n in own):
+            own = {n for n in own if self.kinds[n][0] == "main"}
+        return [x._replace(container=x.container if x.container in own else -1, marks=tuple(m for m in x.marks if m not in void)) for x in self.lines]
 
     def close_input(self) -> None:
         super().close()
@@ -188,25 +229,31 @@ def main_text(html: str | None, sigma: float = 1.0, gap: int = 3) -> str:
     if not html:
         return ""
     lines = _Lines().finish(html)
+    lines = [x for x in lines if not x.marks] or lines
     if not lines:
         return ""
-    contained = any(line[3] >= 0 for line in lines)
-    ratios = [math.log1p(min(FULL, plain / max(1, tags))) for _, plain, tags, _, _ in lines]
-    scores = [max(0.0, x - PRIOR) if contained and line[3] < 0 else x for x, line in zip(smoothed(ratios, sigma), lines)]
+    contained = any(x.container >= 0 for x in lines)
+    ratios = [math.log1p(min(FULL, x.plain / max(1, x.tags))) for x in lines]
+    scores = [max(0.0, x - PRIOR) if contained and line.container < 0 else x for x, line in zip(smoothed(ratios, sigma), lines)]
     least = threshold(scores, APART)
     content = [i for i, x in enumerate(scores) if x >= least]
-    whole = {lines[i][3] for i in content} - {-1}
-    kept = {i for i, line in enumerate(lines) if line[3] in whole}
-    loose = [i for i in content if lines[i][3] < 0]
+    whole = {lines[i].container for i in content}
+    unlinked: Counter[int] = Counter()
+    for x in lines:
+        unlinked[x.container] += 2 * x.plain - len(x.text)
+    whole = (whole | {n for n, more in unlinked.items() if more > 0}) - {-1}
+    kept = {i for i, line in enumerate(lines) if line.container in whole}
+    loose = [i for i in content if lines[i].container < 0]
     for i in loose:
         kept.add(i)
-        while i and lines[i - 1][4] and lines[i - 1][3] < 0:
+        while i and lines[i - 1].heading and lines[i - 1].container < 0:
             i -= 1
             kept.add(i)
     for a, b in zip(loose, loose[1:]):
         if b - a <= gap + 1:
             kept.update(range(a, b))
-    return "\n\n".join(lines[i][0] for i in sorted(kept) if lines[i][1] or lines[i][3] >= 0 or len(lines) == 1)
+    # outside containers, what is all links is a menu, unless it is a paragraph or all there is
+    return "\n\n".join(lines[i].text for i in sorted(kept) if lines[i].plain or lines[i].container >= 0 or lines[i].paragraph or len(lines) == 1)
 
 
 def extract(pages: DataFrame) -> DataFrame:

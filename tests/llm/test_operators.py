@@ -159,6 +159,42 @@ def test_html_without_containers_clusters_by_ratio():
     assert found.count("long sentence of content number") == 30 and "item" not in found
 
 
+P = "<p>" + "real words of the article body go here, many of them. " * 5 + "</p>"
+N = "<ul>" + "".join(f"<li><a href=/{i}>item {i}</a></li>" for i in range(8)) + "</ul>"
+
+
+@pytest.mark.parametrize("page, n", [
+    (f'<div class="layout with-sidebar"><article>{P}{P}</article></div>', 2),
+    (f'<article class="post comments-open">{P}{P}</article>', 2),
+    (f'<main class="page no-ads">{P}{P}</main>', 2),
+    (f'<div id="search-theory">{P}{P}</div>', 2),
+    (f'<div class="widget"><article>{P}{P}</article></div>', 2),  # a mark around the container
+    (f'{N}<div class="sidebar">{P}</div><div class="post">{P}{P}</div>', 2),
+    (f'<div class="comments">{P}{P}</div>', 2),  # nothing but marked lines
+    (f"<main><article>{P}</article><article>{P}</article></main><article>{P}</article>", 2),
+    (f'<article>{P}{P}<div class="ad-banner">{P}</div><div class="cookieBox">{P}</div></article>', 2),
+    (f"<article>{P}{P}<section><article>{P}</article></section></article>", 2),  # an article within one: a comment
+    (f'<article>{P}{P}</article><section class="comments"><article class="comment">{P}</article></section>', 2),
+    ("<div>" * 2000 + P + "</div>" * 2000, 1),
+])
+def test_html_marks_are_evidence(page, n):
+    assert html_text.main_text(page).count("real words") == 5 * n
+
+
+def test_html_short_and_linked_text_stays():
+    found = html_text.main_text(f"{N}<article>{P}{P}<p>where <math><mi>x</mi></math> is <label>good</label></p></article><article><p>Short note.</p></article>")
+    assert found.endswith("where x is good\n\nShort note.") and "item" not in found
+    assert html_text.main_text(f"<body>{P}<p><a href=x>a paragraph that is a link</a></p>{P}</body>").split("\n\n")[1] == "a paragraph that is a link"
+
+
+def test_html_defined_cases(spark):
+    rows = [(1, "u", f"<article>{P}</article>", "x"), (1, "u", f"<article>{P}</article>", "x"), (None, None, None, None), (2, None, "", "x")]
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
+    found = html_text.extract(pages).collect()
+    assert sorted((str(r.page_id), r.n_chars) for r in found) == [("1", 269), ("1", 269), ("2", 0), ("None", 0)]
+    assert html_text.extract(pages.limit(0)).count() == 0
+
+
 def test_html_keeps_what_is_text():
     menu = "<ul>" + "".join(f"<li><a href='/{i}'>item {i}</a></li>" for i in range(8)) + "</ul>"
     text = lambda n, word: f"<p>{(word + ' ') * n}</p>"
