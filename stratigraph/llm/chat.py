@@ -5,10 +5,14 @@ rows, and `read_back` streams over turns sorted by conversation, keeping only ru
 
 A turn is `<|turn|>role<|text|>body<|end|>`. Inside role and body a backslash stands before every backslash and inside
 every control string, so that no control string survives in a text and the way back is to drop each backslash and keep
-what follows it. A body may consist of typed parts (text, image, audio, document); a visitor flattens them in order:
-text as it is, the others as a placeholder, an attachment reference, and the number of tokens the placeholder expands to.
+what follows it. A body consists of typed parts (text, image, audio, document; a plain text is one text part); a visitor
+flattens them in order: text with its escapes, the others as a placeholder, an attachment reference, and the number of
+tokens the placeholder expands to. As a user's own `<|media|>` is escaped, `read_parts` tells both apart on the way back.
 
-Defined cases: a null role, text or part is empty; turns are ordered by turn (null first), then role, then the
+A conversation's digests are sequential, so its turns are read by one task, in constant memory.
+
+Defined cases: a null role, text or part is empty; columns of other names, the operator's own included, are left out;
+turns are ordered by turn (null first), then role, then the
 formatted text, so ties
 and repeated rows have one order; rows with a null conv_id form one conversation of their own; unknown kinds of part are
 placeholders of no tokens.
@@ -91,7 +95,7 @@ class Flatten:
 def format_turns(conversations: DataFrame, parts: str | None = None) -> DataFrame:
     """FORMATTED: each turn with its template, loss span (assistant bodies) and attachments.
 
-    `parts`: name of a column of typed parts (array of PART) that stands in for text where it isn't null.
+    `parts`: name of a column of typed parts (array of PART); where it is null, the text is the only part.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +103,7 @@ def format_turns(conversations: DataFrame, parts: str | None = None) -> DataFram
         for batch in batches:
             out: list[list] = [[] for _ in range(5)]
             for role, text, rich in zip(*(batch.column(k).to_pylist() for k in (2, 3, 4))):
-                body, found = flatten.visit(rich) if rich is not None else (escaped(text or ""), [])
+                body, found = flatten.visit(rich)
                 head = TURN + escaped(role or "") + TEXT
                 learnt = role == LEARNT
                 for column, value in zip(out, (head + body + END, len(head) if learnt else 0, len(head) + len(body) if learnt else 0, [x | {"at": x["at"] + len(head)} for x in found], sum(x["tokens"] for x in found))):
@@ -107,8 +111,19 @@ def format_turns(conversations: DataFrame, parts: str | None = None) -> DataFram
             kinds = (pa.string(), pa.int32(), pa.int32(), pa.list_(pa.struct([("at", pa.int32()), ("kind", pa.string()), ("ref", pa.string()), ("tokens", pa.int64())])), pa.int64())
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(4)), *(pa.array(x, kind) for x, kind in zip(out, kinds))], names=["conv_id", "turn", "role", "text", "formatted", "loss_start", "loss_end", "attachments", "expanded_tokens"])
 
-    rich = F.col(parts) if parts else F.lit(None)
-    return conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), rich.cast(T.ArrayType(PART)).alias("parts")).mapInArrow(run, FORMATTED)
+    own = F.array(F.struct(*[(F.lit("text") if f.name == "kind" else F.col("text").cast("string") if f.name == "text" else F.lit(None).cast(f.dataType)).alias(f.name) for f in PART.fields]))
+    rich = F.coalesce(F.col(parts).cast(T.ArrayType(PART)), own) if parts else own
+    return conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), rich.alias("parts")).mapInArrow(run, FORMATTED)
+
+
+_MEDIA = re.compile("(" + re.escape(MEDIA) + ")")
+
+
+def read_parts(formatted: str, attachments: list[dict]) -> list[list[dict]]:
+    """The typed parts of each turn in a formatted text: texts unescaped, and the attachments in the order of their
+    placeholders. Neighbouring text parts come back as one, empty ones not at all."""
+    media = iter(attachments)
+    return [[dict(next(media)) if x == MEDIA else {"kind": "text", "text": unescaped(x)} for x in _MEDIA.split(m[2]) if x] for m in _TURN.finditer(formatted)]
 
 
 def parse(formatted: str) -> list[tuple[str, str]]:

@@ -241,6 +241,16 @@ def test_chat_parts(spark):
     assert all(a.formatted[x.at :].startswith(chat.MEDIA) for x in a.attachments) and b.formatted.endswith("plain<|end|>")
 
 
+def test_chat_placeholders_are_no_text(spark):
+    """A user's literal placeholder, one beside a real one, and clashing columns."""
+    schema = "conv_id int, turn int, role string, text string, formatted string, loss_start int, media array<struct<kind:string,text:string,ref:string,width:bigint,height:bigint,seconds:double,pages:bigint>>"
+    rich = [("text", "a <|media|> b", None, None, None, None, None), ("image", None, "x.png", 28, 28, None, None), ("text", "\\<|media|>", None, None, None, None, None)]
+    rows = chat.format_turns(spark.createDataFrame([(1, 0, "assistant", "-", "clash", 1, rich), (1, 1, "user", "<|media|>", "clash", 1, None)], schema), "media").orderBy("turn").collect()
+    back = [chat.read_parts(r.formatted, [x.asDict() for x in r.attachments]) for r in rows]
+    assert [(p["kind"], p.get("text") or p.get("ref")) for p in back[0][0]] == [("text", "a <|media|> b"), ("image", "x.png"), ("text", "\\<|media|>")]
+    assert back[1] == [[{"kind": "text", "text": "<|media|>"}]] and not rows[1].attachments
+
+
 # 5
 @pytest.mark.parametrize("shingle", [2, 5])
 def test_near_duplicates(spark, docs, odd, shingle):
