@@ -14,10 +14,14 @@ _fallback: dict[str, str] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder of the cluster (spark.checkpoint.dir); a temporary one only where that is unset, as in tests."""
+    """The shared folder of the cluster (spark.checkpoint.dir). Where that is unset, as in tests, a local master gets a
+    temporary folder; on a cluster, where no machine sees another's folders, it is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     if "dir" not in _fallback:
         _fallback["dir"] = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
     return _fallback["dir"]

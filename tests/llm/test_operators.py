@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratigraph.llm import chat, decontamination, html_text, langid, line_dedup, lm_score, minhash, sentencepiece_fst, suffix_dedup, topk
-from stratigraph.llm.components import connected_components
+from stratigraph.llm.components import connected_components, contractions
 
 SF = "/root/testdata/sf0.001"
 DOCS = "doc_id bigint, text string, pos int, h1 string"  # columns that clash with names the operators use
@@ -294,6 +294,14 @@ def test_components(spark):
     assert connected_components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
 
 
+def test_components_of_a_rising_chain(spark):
+    """Successive versions of one text: the rounds grow with the logarithm of the chain's length."""
+    chain = spark.range(2000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert len(contractions(chain)) <= 10
+    found = connected_components(chain)
+    assert found.count() == 2001 and found.where("component <> 0").isEmpty()
+
+
 # 6
 def test_decontamination(spark, odd):
     items = [(1, "Alpha beta GAMMA"), (2, texts()[9]), (2, None), (None, "word two"), (30, "word"), (4, ""), (5, " ".join((texts()[11] or "").split()[100:125]))]
