@@ -4,25 +4,27 @@ A document is the set of its distinct word shingles (64-bit hashes). Instead of
 collections of `halves` sub-signatures of `half_rows` min-hashes each are computed; the key of table (i, j) combines
 sub-signature i of the first with j of the second, so halves**2 tables cost 2 * halves * half_rows min-hashes.
 
-1. Documents with the same set form a class; only its smallest doc_id goes on, so copies are never paired.
-2. Every bucket of every table is a star: each member is paired with the bucket's smallest class. The pairs are
-   confirmed on full sets, and connected components are taken.
-3. What stars cannot see: members of one bucket in different components. Per bucket, these are dealt out in blocks and
-   each pair of blocks across components is compared by a bound on the sketches and then confirmed on full sets, so a
-   link is lost only where all tables miss it (below 0.1 % at a similarity of exactly 0.8, far less above).
+1. Documents with the same set form a class; only one row of it goes on, so copies are never paired.
+2. Every bucket of every table is a star: each member is paired with the bucket's first class. The pairs pass a sound
+   bound on 16-bit prints of the sets, are confirmed on full sets, and connected components are taken.
+3. What stars cannot see: members of one bucket in different components. Per bucket, these are dealt out in blocks (a
+   large bucket by bands of set size first, as sets that differ too much in size can't be linked) and each pair of blocks
+   is compared across components by the same bound and then confirmed on full sets, so a link is lost only where all
+   tables miss it (below 0.1 % at a similarity of exactly 0.8, far less above).
 
 Buckets are counted before they are joined (sums before the shuffle), and joins on bucket, class or centre keys are ones
-that adaptive execution can split. No group is gathered in one task.
+that adaptive execution can split. No group is gathered in one task. Texts are joined only to pairs that pass the bound.
 
-Defined cases: null, empty or wordless texts have an empty set and link with nothing; fewer words than a shingle make
-one shingle of all; rows that repeat a doc_id are one document and each comes out (of
-differing texts one stands for it); rows with a null doc_id come out
-with a null component and are not kept apart or linked.
+Defined cases: null, empty or wordless texts have an empty set, link with nothing and stand for themselves; fewer words
+than a shingle make one shingle of all; rows that repeat a doc_id are one document, linked with whatever one of its
+texts is linked with, and each comes out; rows with a null doc_id come out with a null component and are not kept apart
+or linked; further columns are left out, and an empty table gives none.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches, written
+from .common import row_key, small_batches, text_batches, written
 from .components import connected_components
 
 SHINGLE = 5
@@ -93,20 +95,20 @@ class Sketch:
 
 
 def sketches(docs: DataFrame, shingle: int, sketch: Sketch) -> DataFrame:
-    """doc_id, n_shingles, d1, d2 (digest of the set), halves (sub-signatures)."""
+    """doc_id, row_key (of the text), n_shingles, d1, d2 (digest of the set), halves (sub-signatures)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_batches(batches, 8 << 20):
             sizes, digests, halves = [], [], []
-            for text in part.column(1).to_pylist():
+            for text in part.column(2).to_pylist():
                 shingles = shingle_set(text, shingle)
                 sizes.append(len(shingles))
                 digests.append(np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), dtype=np.int64))
                 halves.append(sketch.halves_of(sketch.minima(shingles)).view(np.int64) if len(shingles) else None)
             d = np.array(digests).reshape(-1, 2)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(halves, pa.list_(pa.int64()))], names=["doc_id", "n_shingles", "d1", "d2", "halves"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(sizes, pa.int64()), pa.array(d[:, 0]), pa.array(d[:, 1]), pa.array(halves, pa.list_(pa.int64()))], names=["doc_id", "row_key", "n_shingles", "d1", "d2", "halves"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n_shingles bigint, d1 bigint, d2 bigint, halves array<bigint>")
+    return docs.select("doc_id", "row_key", "text").mapInArrow(run, "doc_id bigint, row_key bigint, n_shingles bigint, d1 bigint, d2 bigint, halves array<bigint>")
 
 
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -119,8 +121,35 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(a) + len(b) - both)
 
 
+def prints_of(shingles: np.ndarray) -> bytes:
+    """The distinct 16-bit hashes of a set, sorted."""
+    return np.unique((shingles >> np.uint64(48)).astype(np.uint16)).tobytes()
+
+
+def bounded(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) that may be linked: shingles that share a print with another of their set count as shared."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in text_batches(batches, 8 << 20):
+            keep = []
+            for n, m, x, y in zip(*(part.column(k).to_pylist() for k in (2, 3, 4, 5))):
+                if 100 * min(n, m) < percent * max(n, m):
+                    keep.append(False)
+                    continue
+                x, y = np.frombuffer(x, np.uint16), np.frombuffer(y, np.uint16)
+                small, large = (x, y) if len(x) <= len(y) else (y, x)
+                at = np.searchsorted(large, small)
+                both = int((large[np.minimum(at, len(large) - 1)] == small).sum()) + min(n - len(x), m - len(y))
+                keep.append(100 * both >= percent * (n + m - both))
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([part.column(0).filter(mask), part.column(1).filter(mask)], names=["a", "b"])
+
+    left, right = (texts.select(F.col("rep").alias(x), F.col("n").alias(f"n_{x}"), F.col("prints").alias(f"prints_{x}")) for x in ("a", "b"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "n_a", "n_b", "prints_a", "prints_b").mapInArrow(run, "a bigint, b bigint")
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are linked; texts: (rep, text)."""
+    """The pairs (a, b) whose full sets are linked."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, last_set = None, None
@@ -139,41 +168,54 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, percent: int) ->
 
 
 def bucket_rows(reps: DataFrame, halves: int) -> DataFrame:
-    """rep, first (sub-signature of the first collection), key of each table."""
+    """rep and its key in each table, i and j the table's place."""
     one = reps.select("rep", "halves", F.posexplode(F.slice("halves", 1, halves)).alias("i", "first"))
     two = one.select("rep", "i", "first", F.posexplode(F.slice("halves", halves + 1, halves)).alias("j", "second"))
-    return two.select("rep", "i", F.xxhash64("i", "j", "first", "second").alias("key"))
-
-
-def across(candidates: DataFrame, halves: int, percent: int, block: int = BLOCK) -> DataFrame:
-    """Pairs (a, b) of one bucket, in different components, that may be linked by a bound on 16-bit sets.
-
-    candidates: rep, component, n, halves, prints (16-bit hashes of the set, sorted, as bytes), i (a sub-signature of
-    the first collection under which it is to be compared). Rows meet by that sub-signature, in pairs of blocks.
+    return two.select("rep", F.col("i").cast("tinyint").alias("i"), F.col("j").cast("tinyint").alias("j"), F.xxhash64("i", "j", "first", "second").alias("key"))
+
+
+def dealt(contested: DataFrame, percent: int, block: int) -> DataFrame:
+    """Rows of `contested` (key, size, rep, n, ...) once for each pair of cells of their bucket that they belong to: low
+    and high name the two cells, own the row's. A bucket of up to `block` rows is one cell; the rows of a larger one are
+    cut by bands of set size, at most the next of which can hold a link, and each band into blocks."""
+    band = F.when(F.col("size") > block, F.floor(F.log(F.col("n").cast("double")) / F.log(F.lit(100 / percent)) + 1e-9)).otherwise(0).cast("int")
+    rows = contested.withColumn("band", band)
+    cells = rows.where(F.col("size") > block).groupBy("key", "band").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    cell = lambda x, y: F.struct(x.alias("band"), y.alias("block"))
+    out = [rows.where(F.col("size") <= block).withColumns({c: cell(F.lit(0), F.lit(0)) for c in ("own", "low", "high")})]
+    large = rows.where(F.col("size") > block).join(cells, ["key", "band"]).withColumn("own", cell(F.col("band"), F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")))
+    for step in (-1, 0, 1):
+        other = cells.select("key", (F.col("band") - step).alias("band"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
+        meets = large.join(other, ["key", "band"]).withColumn("other", cell(F.col("band") + step, F.col("block")))
+        out.append(meets.select(*rows.columns, "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")))
+    return reduce(DataFrame.unionByName, out)
+
+
+def across(contested: DataFrame, halves: int, percent: int, block: int = BLOCK) -> DataFrame:
+    """Pairs (a, b) of one bucket, in different components, that may be linked by a bound on prints.
+
+    contested: key, i, j, size (of the bucket), rep, component, n, halves, prints.
     """
-    keyed = candidates.withColumn("first", F.element_at("halves", F.col("i") + 1))
-    sizes = keyed.groupBy("i", "first").agg(F.count("*").alias("size")).where("size > 1").withColumn("blocks", F.ceil(F.col("size") / block).cast("int"))
-    dealt = keyed.join(sizes, ["i", "first"]).withColumn("own", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("i", "first", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "own", "rep", "component", "n", "halves", "prints")
 
     def compare(key, pdf):
-        i, _, low, high = key
         pdf = pdf.sort_values("rep")
-        rep, component, n, own = (pdf[c].to_numpy() for c in ("rep", "component", "n", "own"))
+        rep, component, n = (pdf[c].to_numpy() for c in ("rep", "component", "n"))
+        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
+        own = pdf["side"].to_numpy()
         table = np.stack(pdf["halves"].to_numpy())
         prints = [np.frombuffer(p, dtype=np.uint16) for p in pdf["prints"]]
         lengths = np.array([len(p) for p in prints])
-        lost = n - lengths  # shingles that share a 16-bit hash with another of their set
+        lost = n - lengths  # shingles that share a print with another of their set
         a_side, b_side = table[:, :halves], table[:, halves:]
         found = []
         present = np.zeros(1 << 16, dtype=np.int64)
         for x in range(len(rep)):
             ok = (component[x + 1 :] != component[x]) & (100 * np.minimum(n[x], n[x + 1 :]) >= percent * np.maximum(n[x], n[x + 1 :]))
-            if low != high:
+            if key[1] != key[2]:
                 ok &= own[x + 1 :] != own[x]
             at = x + 1 + np.flatnonzero(ok)
-            at = at[(b_side[at] == b_side[x]).any(axis=1)]
-            at = at[np.argmax(a_side[at] == a_side[x], axis=1) == i]  # a pair that meets more often is compared once
+            # a pair that meets in more tables is compared in the first of them
+            at = at[(np.argmax(a_side[at] == a_side[x], axis=1) == i) & (np.argmax(b_side[at] == b_side[x], axis=1) == j)]
             if not len(at):
                 continue
             present[prints[x]] = 1
@@ -184,48 +226,56 @@ def across(candidates: DataFrame, halves: int, percent: int, block: int = BLOCK)
             found += [(int(rep[x]), int(rep[y])) for y in at]
         return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
-    return dealt.groupBy("i", "first", "low", "high").applyInPandas(compare, "a bigint, b bigint")
+    name = lambda c: F.concat_ws(":", F.col(c)["band"], F.col(c)["block"])
+    rows = dealt(contested, percent, block).select("key", name("low").alias("low"), name("high").alias("high"), name("own").alias("side"), "i", "j", "rep", "component", "n", "halves", "prints")
+    return rows.groupBy("key", "low", "high").applyInPandas(compare, "a bigint, b bigint")
 
 
-def prints_of(texts: DataFrame, shingle: int) -> DataFrame:
-    """rep, n, prints of each text."""
+def read_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
+    """rep, n, prints, text of the wanted rows (rep, doc_id, row_key)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_batches(batches, 8 << 20):
             sets = [shingle_set(t, shingle) for t in part.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array([np.unique((s >> np.uint64(48)).astype(np.uint16)).tobytes() for s in sets], pa.binary())], names=["rep", "n", "prints"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(list(map(prints_of, sets)), pa.binary()), part.column(1)], names=["rep", "n", "prints", "text"])
 
-    return texts.select("rep", "text").mapInArrow(run, "rep bigint, n bigint, prints binary")
+    found = docs.join(wanted, ["doc_id", "row_key"]).groupBy("doc_id", "row_key").agg(F.first("rep").alias("rep"), F.first("text").alias("text"))  # repeated rows have one text
+    return found.select("rep", "text").mapInArrow(run, "rep bigint, n bigint, prints binary, text string")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY, halves: int = HALVES, half_rows: int = HALF_ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of `docs`."""
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row_key", row_key())
     marks = written(sketches(docs, shingle, Sketch(halves, half_rows)), "sketches")
     some = marks.where("n_shingles > 0 and doc_id is not null")
-    classes = written(some.groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("halves").alias("halves")), "classes")
+    classes = some.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row_key")).alias("one"), F.first("halves").alias("halves"))
+    classes = written(classes.select("d1", "d2", "one.*", "halves").withColumn("rep", F.monotonically_increasing_id()), "classes")
+    owners = written(some.select("doc_id", "d1", "d2").join(classes.select("d1", "d2", "rep"), ["d1", "d2"]).select("doc_id", "rep").distinct(), "owners")
     rows = bucket_rows(classes, halves)
-    shared = rows.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last"), F.count("*").alias("size")).where("size > 1 and centre <> last").select("key", "centre")
+    shared = rows.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre <> last").select("key", "centre")
     members = written(rows.join(shared, "key"), "members")
     pairs = members.where("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b")).distinct()
-    involved = members.select("rep").distinct()
-    texts = written(docs.join(involved.withColumnRenamed("rep", "doc_id"), "doc_id", "left_semi").groupBy(F.col("doc_id").alias("rep")).agg(F.first("text").alias("text")), "texts")
-    links = written(confirmed(pairs, texts, shingle, percent), "links")
+    texts = written(read_texts(docs, classes.select("rep", "doc_id", "row_key").join(members.select("rep").distinct(), "rep", "left_semi"), shingle), "texts")
+    links = written(confirmed(written(bounded(pairs, texts, percent), "pairs"), texts, shingle, percent), "links")
+
+    # texts of one doc_id are one document
+    several = owners.groupBy("doc_id").agg(F.min("rep").alias("b"), F.max("rep").alias("last")).where("b <> last").select("doc_id", "b")
+    links = written(links.union(owners.join(several, "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b")), "links")
     found = connected_components(links)
 
     # members of one bucket in different components
-    label = lambda df: df.join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    known = label(members)
-    open_keys = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("key")
-    contested = written(known.join(open_keys, "key").select("rep", "i").distinct(), "contested")
-    prints = prints_of(texts.join(contested.select("rep").distinct(), "rep", "left_semi"), shingle)
-    candidates = label(contested).join(prints, "rep").join(classes.select("rep", "halves").groupBy("rep").agg(F.first("halves").alias("halves")), "rep")
-    more = confirmed(written(across(candidates, halves, percent, block).distinct(), "pairs"), texts, shingle, percent)
+    known = members.select("key", "rep", "i", "j").join(found.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    open_keys = known.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("size")).where("x <> y").select("key", "size")
+    contested = written(known.join(open_keys, "key"), "contested")
+    candidates = contested.join(texts.select("rep", "n", "prints"), "rep").join(classes.select("rep", "halves"), "rep")
+    more = confirmed(written(across(candidates, halves, percent, block), "pairs"), texts, shingle, percent)
     links = written(links.union(more), "links")
     found = connected_components(links)
 
-    whole = classes.select("d1", "d2", "rep").join(found.withColumnRenamed("node", "rep"), "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component_id"))
+    least = classes.select("rep", "doc_id").join(found.withColumnRenamed("node", "rep"), "rep").groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    label = found.join(least, "component").select(F.col("node").alias("rep"), "component_id")
+    whole = classes.select("d1", "d2", "rep", "doc_id").join(label, "rep", "left").select("d1", "d2", F.coalesce("component_id", "doc_id").alias("component_id"))
     out = marks.select("doc_id", "n_shingles", "d1", "d2").join(whole, ["d1", "d2"], "left")
     component = F.when((F.col("n_shingles") > 0) & F.col("component_id").isNotNull() & F.col("doc_id").isNotNull(), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))

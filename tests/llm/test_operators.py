@@ -271,6 +271,25 @@ def test_near_duplicates(spark, docs, odd, shingle):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_one_document(spark):
+    """A repeated doc_id with two texts joins what each of them is linked with; no link is lost."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    rows = [(9, text("a")), (9, text("b")), (3, text("a") + " x"), (4, text("b") + " y"), (5, text("c")), (9, ""), (6, text("a")), (6, text("a"))]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    found = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in minhash.near_duplicates(df, 2).collect()}
+    assert found == {(9, 59): (3, False), (3, 60): (3, True), (4, 60): (3, False), (6, 59): (3, False), (5, 59): (5, True), (9, 0): (9, True)}
+
+
+def test_large_buckets_are_cut_by_size(spark):
+    """One short phrase in texts of many sizes, blocks of 3 rows: the same links as without cuts."""
+    rng = random.Random(8)
+    base = [[f"p{k}_{i}" for i in range(rng.choice([3, 4, 5, 20, 25, 30]))] for k in range(8)]
+    rows = [(i, " ".join(w if rng.random() > 0.02 else f"z{rng.randrange(999)}" for w in base[i % 8])) for i in range(120)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    one, cut = ({r.doc_id: r.component_id for r in minhash.near_duplicates(df, 2, block=b).collect()} for b in (512, 3))
+    assert one == cut and len(set(one.values())) < 60
+
+
 def test_links_that_stars_miss(spark):
     """A chain of copies: the ends differ, so only pairs within the buckets join them."""
     base = [f"w{i}" for i in range(200)]
