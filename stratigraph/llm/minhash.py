@@ -27,7 +27,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -197,23 +196,25 @@ def across(contested: DataFrame, halves: int, percent: int, block: int = BLOCK)
     contested: key, i, j, size (of the bucket), rep, component, n, halves, prints.
     """
 
-    def compare(key, pdf):
-        pdf = pdf.sort_values("rep")
-        rep, component, n = (pdf[c].to_numpy() for c in ("rep", "component", "n"))
-        i, j = int(pdf["i"].iloc[0]), int(pdf["j"].iloc[0])
-        own = pdf["side"].to_numpy()
-        table = np.stack(pdf["halves"].to_numpy())
-        prints = [np.frombuffer(p, dtype=np.uint16) for p in pdf["prints"]]
+    def pairs_in(part: pa.RecordBatch) -> list[tuple[int, int]]:
+        """Of the rows of one pair of cells."""
+        side, component, rep, n = part.column(1).to_pylist(), *(part.column(k).to_numpy() for k in (4, 5, 6))
+        i, j = part.column(2)[0].as_py(), part.column(3)[0].as_py()
+        one_cell = part.column(0)[0].as_py()[1] == part.column(0)[0].as_py()[2]
+        own = np.array([hash(x) for x in side])
+        table = part.column(7).flatten().to_numpy().reshape(len(n), 2 * halves)
+        prints = [np.frombuffer(p, dtype=np.uint16) for p in part.column(8).to_pylist()]
         lengths = np.array([len(p) for p in prints])
         lost = n - lengths  # shingles that share a print with another of their set
         a_side, b_side = table[:, :halves], table[:, halves:]
         found = []
-        present = np.zeros(1 << 16, dtype=np.int64)
-        for x in range(len(rep)):
+        for x in range(len(n) - 1):
             ok = (component[x + 1 :] != component[x]) & (100 * np.minimum(n[x], n[x + 1 :]) >= percent * np.maximum(n[x], n[x + 1 :]))
-            if key[1] != key[2]:
+            if not one_cell:
                 ok &= own[x + 1 :] != own[x]
             at = x + 1 + np.flatnonzero(ok)
+            if not len(at):
+                continue
             # a pair that meets in more tables is compared in the first of them
             at = at[(np.argmax(a_side[at] == a_side[x], axis=1) == i) & (np.argmax(b_side[at] == b_side[x], axis=1) == j)]
             if not len(at):
@@ -224,11 +225,38 @@ def across(contested: DataFrame, halves: int, percent: int, block: int = BLOCK)
             present[prints[x]] = 0
             at = at[100 * both >= percent * (n[x] + n[at] - both)]
             found += [(int(rep[x]), int(rep[y])) for y in at]
-        return pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+        return found
+
+    present = np.zeros(1 << 16, dtype=np.int64)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs of rows of one pair of cells, at most two blocks long."""
+        held: list[pa.RecordBatch] = []
+
+        def out(found: list[tuple[int, int]]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+        def whole() -> list[tuple[int, int]]:
+            return pairs_in(pa.Table.from_batches(held).combine_chunks().to_batches()[0]) if held else []
+
+        now = None
+        for batch in batches:
+            meets = batch.column(0).to_pylist()
+            found, start = [], 0
+            for at in range(len(meets)):
+                if meets[at] != now:
+                    if at > start:
+                        held.append(batch.slice(start, at - start))
+                    found += whole()
+                    held, now, start = [], meets[at], at
+            if len(meets) > start:
+                held.append(batch.slice(start))
+            yield out(found)
+        yield out(whole())
 
     name = lambda c: F.concat_ws(":", F.col(c)["band"], F.col(c)["block"])
-    rows = dealt(contested, percent, block).select("key", name("low").alias("low"), name("high").alias("high"), name("own").alias("side"), "i", "j", "rep", "component", "n", "halves", "prints")
-    return rows.groupBy("key", "low", "high").applyInPandas(compare, "a bigint, b bigint")
+    rows = dealt(contested, percent, block).select(F.array(F.col("key").cast("string"), name("low"), name("high")).alias("meet"), name("own").alias("side"), "i", "j", "component", "rep", "n", "halves", "prints")
+    return rows.repartition("meet").sortWithinPartitions("meet", "rep").mapInArrow(compare, "a bigint, b bigint")
 
 
 def read_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
