@@ -37,12 +37,12 @@ from .common import small_batches, text_batches, written
 from .decontamination import words_of
 
 FLUSH = 200_000
-SLICE = 4 << 20  # characters of text in a slice, unless one document has more
+SLICE = 8 << 20  # characters of text in a slice, unless one document has more
 PART = 2 << 20  # words for each part of the hashes
 
 SLICES = "slice bigint, doc_ids array<bigint>, sizes array<bigint>, target array<boolean>, n bigint, n_target bigint, width int, words binary, hashes binary"
 ASKED = "part int, slice bigint, keys binary, counts binary"
-ANSWERED = "kind int, part int, slice bigint, entries bigint, sums binary, first binary"
+ANSWERED = "kind int, part int, slice bigint, n int, entries bigint, sums binary, first binary"
 SCORES = "doc_id bigint, n_tokens bigint, target_bits double, background_bits double, score double"
 
 
@@ -176,17 +176,17 @@ def _ask(number: int, keys: np.ndarray, counts: list[np.ndarray], parts: int) ->
     return pa.table([pa.array(part[at], pa.int32()), pa.array([number] * len(at), pa.int64()), pa.array([keys[i:j].tobytes() for i, j in zip(at, ends)], pa.binary()), pa.array([_packed(table[:, i:j]) for i, j in zip(at, ends)], pa.binary())], names=["part", "slice", "keys", "counts"])
 
 
-def _answer(rows: list[dict], keys: np.ndarray, columns: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sums and marks in the order of a slice's keys, one row a column."""
+def _answer(rows: list[dict], keys: np.ndarray, columns: int, what: str) -> np.ndarray:
+    """The sums, or the marks `first`, in the order of a slice's keys, one row a column."""
     order = np.argsort(keys, kind="stable")
-    sums, first = np.zeros((columns, len(keys)), dtype=np.int64), np.zeros((columns, len(keys)), dtype=bool)
+    out = np.zeros((columns, len(keys)), dtype=np.int64 if what == "sums" else bool)
     at = 0
     for r in sorted(rows, key=lambda r: r["part"]):
-        n = len(r["first"]) // columns
-        sums[:, order[at : at + n]] = _unpacked(r["sums"], np.int64, (columns, n))
-        first[:, order[at : at + n]] = np.frombuffer(r["first"], dtype=bool).reshape(columns, n)
+        n = r["n"]
+        here = _unpacked(r["sums"], np.int64, (columns, n)) if what == "sums" else np.unpackbits(np.frombuffer(r["first"], dtype=np.uint8), count=columns * n).reshape(columns, n)
+        out[:, order[at : at + n]] = here
         at += n
-    return sums, first
+    return out
 
 
 def exchange(asked: DataFrame, columns: int, kind: int) -> DataFrame:
@@ -207,7 +207,7 @@ def exchange(asked: DataFrame, columns: int, kind: int) -> DataFrame:
             first[j, some[np.unique(entry[some], return_index=True)[1]]] = True
         places = list(zip(np.concatenate(([0], ends[:-1])), ends))
         entries = [len(distinct)] + [0] * (len(keys) - 1)
-        return pa.table([pa.array([kind] * len(keys), pa.int32()), group["part"], group["slice"], pa.array(entries, pa.int64()), pa.array([_packed(sums[:, i:j]) for i, j in places], pa.binary()), pa.array([first[:, i:j].tobytes() for i, j in places], pa.binary())], names=["kind", "part", "slice", "entries", "sums", "first"])
+        return pa.table([pa.array([kind] * len(keys), pa.int32()), group["part"], group["slice"], pa.array([len(k) for k in keys], pa.int32()), pa.array(entries, pa.int64()), pa.array([_packed(sums[:, i:j]) for i, j in places], pa.binary()), pa.array([np.packbits(first[:, i:j]).tobytes() for i, j in places], pa.binary())], names=["kind", "part", "slice", "n", "entries", "sums", "first"])
 
     return asked.groupBy("part").applyInArrow(run, ANSWERED)
 
@@ -234,10 +234,10 @@ def ask_words(packed: DataFrame, bigrams: DataFrame, parts: int) -> DataFrame:
             return empty
         s = _Slice(row)
         size = len(s.hashes)
-        _, first = _answer(right.to_pylist(), s.bigram_keys(), 2)
+        first = _answer(right.to_pylist(), s.bigram_keys(), 2, "first")
         return _ask(row["slice"], s.hashes, s.both(s.words, size) + s.both(s.before, size) + [np.bincount(s.a[f], minlength=size) for f in first], parts)
 
-    return packed.groupBy("slice").cogroup(bigrams.groupBy("slice")).applyInArrow(run, ASKED)
+    return packed.groupBy("slice").cogroup(bigrams.select("slice", "part", "n", "first").groupBy("slice")).applyInArrow(run, ASKED)
 
 
 def score(packed: DataFrame, answers: DataFrame, n: tuple[int, int], entries: int) -> DataFrame:
@@ -249,8 +249,8 @@ def score(packed: DataFrame, answers: DataFrame, n: tuple[int, int], entries: in
         total = [np.zeros(len(s.sizes)), np.zeros(len(s.sizes))]
         if row["n"]:
             rows = right.to_pylist()
-            pairs, _ = _answer([r for r in rows if r["kind"] == 0], s.bigram_keys(), 2)
-            words, _ = _answer([r for r in rows if r["kind"] == 1], s.hashes, 6)
+            pairs = _answer([r for r in rows if r["kind"] == 0], s.bigram_keys(), 2, "sums")
+            words = _answer([r for r in rows if r["kind"] == 1], s.hashes, 6, "sums")
             for j in (0, 1):
                 loss = bits(pairs[j], words[2 + j][s.a], words[4 + j][s.a], (words[j][s.b] + 1) / (n[j] + entries))
                 total[j] = np.bincount(s.doc, weights=loss[s.bigram], minlength=len(s.sizes))
@@ -258,7 +258,7 @@ def score(packed: DataFrame, answers: DataFrame, n: tuple[int, int], entries: in
         background, target = (t / np.maximum(s.sizes, 1) for t in total)
         return pa.table([pa.array(s.doc_ids, pa.int64()), pa.array(s.sizes), *(pa.array(x, mask=some) for x in (target, background, target - background))], names=["doc_id", "n_tokens", "target_bits", "background_bits", "score"])
 
-    return packed.groupBy("slice").cogroup(answers.groupBy("slice")).applyInArrow(run, SCORES)
+    return packed.groupBy("slice").cogroup(answers.select("slice", "kind", "part", "n", "sums").groupBy("slice")).applyInArrow(run, SCORES)
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None, size: int = SLICE, part: int = PART) -> DataFrame:
