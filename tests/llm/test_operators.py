@@ -493,3 +493,28 @@ def test_top_k_with_repeated_query_rows(spark):
             wanted = sorted(pairs, key=lambda p: (-p[0], p[1]))[:5]
             found = topk.top_k(df, F.col("vec_id") == query, pivots=60, block=8).collect()
             assert [(r.score, r.vec_id) for r in sorted(found, key=lambda r: r["rank"])] == wanted
+
+
+def test_top_k_prunes_clustered_vectors(spark):
+    """Queries go to few data groups, rows to few query groups, and the result is whole."""
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(20, 8)) * 40
+    rows = [(i, [float(x) for x in centres[i % 20] * (1 + i % 3 / 50) + rng.normal(size=8) * 0.05]) for i in range(2000)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    sent, data, _ = topk.join_plan(df, F.col("vec_id") % 50 == 0, 5, 60, 4, 256)
+    groups = data.select("query_group").distinct().count()
+    assert groups >= 5 and sent.select("query_id", "cell").distinct().count() < 40 * 60 / 10
+    assert data.count() < 2000 * groups / 4
+    x = np.floor(256 * np.array([v for _, v in rows]))
+    found = topk.top_k(df, F.col("vec_id") % 50 == 0, pivots=60, block=4).collect()
+    for q in range(0, 2000, 50):
+        wanted = sorted(((int(x[q] @ x[i]), i) for i in range(2000) if i != q), key=lambda p: (-p[0], p[1]))[:5]
+        assert [(r.score, r.vec_id) for r in sorted((r for r in found if r.query_id == q), key=lambda r: r["rank"])] == wanted
+
+
+def test_top_k_is_exact_beyond_doubles(spark):
+    rows = [(i, [1048576.0 + i, 2097152.0 - i / 256, float(i)]) for i in range(40)]
+    found = topk.top_k(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 7, pivots=3).collect()
+    x = {i: [int(256 * c // 1) for c in v] for i, v in rows}
+    wanted = sorted(((sum(a * b for a, b in zip(x[7], x[i])), i) for i in x if i != 7), key=lambda p: (-p[0], p[1]))[:5]
+    assert wanted[0][0] > 2**53 and [(r.score, r.vec_id) for r in sorted(found, key=lambda r: r["rank"])] == wanted
