@@ -12,6 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stratigraph.llm import chat, decontamination, html_text, langid, line_dedup, lm_score, minhash, sentencepiece_fst, suffix_dedup, topk
+from stratigraph.llm.common import written
 from stratigraph.llm.components import connected_components, contractions
 
 SF = "/root/testdata/sf0.001"
@@ -346,10 +347,33 @@ def test_decontamination(spark, odd):
     assert not any(r.contaminated for r in decontamination.contamination(decontamination.find_matches(odd, bench.limit(0))).collect())
 
 
+def test_decontamination_of_random_words(spark):
+    """Few different words, so that runs overlap, touch and repeat; item ids that aren't numbers; several blocks."""
+    rng = random.Random(6)
+    line = lambda n: " ".join(rng.choice("abc") for _ in range(n))
+    docs = [(i, line(rng.choice([0, 3, 30, 200])), "x") for i in range(60)]
+    items = [(f"item-{i}", line(rng.choice([1, 2, 4, 9, 10, 11, 14]))) for i in range(40)]
+    windows = [(i, " ".join(w.split()[k : k + 10])) for i, w in items for k in range(max(1, len(w.split()) - 9))]
+    wanted = []
+    for i, text, _ in docs:
+        w, hit, found = text.split(), set(), set()
+        for item, window in windows:
+            n = len(window.split())
+            for k in range(len(w) - n + 1):
+                if " ".join(w[k : k + n]) == window:
+                    hit.update(range(k, k + n))
+                    found.add(item)
+        wanted.append((i, len(hit), hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()))
+    df, bench = spark.createDataFrame(docs, "doc_id bigint, text string, segment string"), spark.createDataFrame(items, "item_id string, text string")
+    for options in ({}, {"block_words": 30, "segment_bytes": 500}):
+        found = decontamination.contamination(decontamination.find_matches(df, bench, **options)).collect()
+        assert sorted((r.doc_id, r.n_hit, r.items_sha256) for r in found) == wanted
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "red x green y blue"), (2, "red green"), (3, "red a b c d e f g h green blue"), (4, "blue green red")], "doc_id bigint, text string")
-    phrases = decontamination.TestPhrases([(9, "red green blue")], 10)
-    found = decontamination.proximity_matches(decontamination.build_index(docs, phrases), phrases, slop=3)
+    phrases = decontamination.TestPhrases([("9", "red green blue")], 10)
+    found = decontamination.proximity_matches(written(decontamination.build_index(docs), "index"), phrases, slop=3)
     assert {r.doc_id for r in found.collect()} == {1, 4}
 
 
