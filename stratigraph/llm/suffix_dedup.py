@@ -13,22 +13,30 @@ in it (the leftmost of equals); equal windows have equal anchors in the same pla
 2. What is left are first contexts of anchors that have several. Their bytes are dealt out by anchor; locally, a suffix
    array over their window starts is built by prefix doubling, with the common-prefix lengths of neighbours. A stack
    scan gives its interval tree; an interval whose occurrences have different left neighbours is a maximal repeat, put
-   out with all its occurrences. All but the earliest occurrence are repeats over its full length.
+   out with all its occurrences. All but the earliest occurrence are repeats over its full length. The contexts of an
+   anchor with more than `CONTEXTS` of them (a frequent string in ever other surroundings) never meet in one task: their
+   windows are hashed, and equal ones added up and joined by Spark, to the same result.
 3. The repeats of each document are merged and cut out.
 
-Anchor and context hashes have 64 bits each. Defined cases: a null or empty text has no bytes; texts shorter than
-`length` stay; rows with a null doc_id stay whole and count for nothing; rows that repeat a doc_id (with one text) are
-one document and come out alike.
+`repeat_groups` gives the maximal repeats themselves, a row for each group and occurrence: the groups of the interval
+trees, the copies of each context joined to them, and groups with the same occurrences that overlap or touch joined into
+one, so that a repeat longer than a context is one group. (Where what follows a repeat occurs in still more places, the
+longer repeat ends with its context.)
+
+Equal contexts have equal anchor hashes and equal context hashes, equal windows of a frequent anchor equal hashes of both
+halves: 128 bits in both cases. Defined cases: a null or empty text has no bytes; texts shorter than `length` stay; rows
+with a null doc_id stay whole and count for nothing; rows that repeat a doc_id (with one text) are one document and come
+out alike; further columns are left out, and an empty table gives none.
 """
 
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import small_batches, text_batches, written
@@ -36,7 +44,8 @@ from .common import small_batches, text_batches, written
 LENGTH = 100
 GRAM = 24
 PIECE = 1 << 22  # longer texts are read in overlapping pieces
-LOCAL_BYTES = 2 << 20  # contexts that are indexed together, if no single anchor has more
+LOCAL_BYTES = 2 << 20  # contexts that are indexed together
+CONTEXTS = 8192  # of one anchor that are indexed together
 
 _BASE = 0x5851F42D4C957F2D
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -106,8 +115,8 @@ def _later(a: np.ndarray, c: np.ndarray, ids: np.ndarray, first: np.ndarray) ->
     return out
 
 
-def anchors(docs: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
-    """anchor, context, doc_id, first, last (window starts), known over whole texts.
+def anchors(docs: DataFrame, length: int, gram: int = GRAM, mark: bool = True) -> DataFrame:
+    """anchor, context, doc_id, first, last (window starts), known (only if `mark`) over whole texts.
 
     known: an earlier occurrence of the context is in the same slice of a task, so this one is a repeat whatever else
     there is. It no longer has to meet the others and gets a key of its own, so a frequent passage sends one row a
@@ -122,7 +131,7 @@ def anchors(docs: DataFrame, length: int, gram: int = GRAM) -> DataFrame:
                     a, c, first, last = contexts(raw[start : start + PIECE + length - 1], length, gram)
                     found.append((a.view(np.int64), c.view(np.int64), np.full(len(a), doc_id), first + start, last + start))
             a, c, ids, first, last = (np.concatenate(x) for x in zip(*found))
-            known = _later(a, c, ids, first)
+            known = _later(a, c, ids, first) if mark else np.zeros(len(a), dtype=bool)
             a[known] = _mixed(ids[known].astype(np.uint64) * np.uint64(_BASE) + first[known].astype(np.uint64)).view(np.int64)
             for i in range(0, len(a), 50_000):
                 j = slice(i, i + 50_000)
@@ -229,21 +238,32 @@ def maximal_repeats(raw: np.ndarray, starts: np.ndarray, groups: np.ndarray, end
                     stack.append([here, first, one])
 
 
-def local_repeats(rows: list[tuple[int, int, int, bytes]], length: int) -> list[tuple[int, int, int]]:
-    """(doc_id, start, end) of the repeats among contexts (anchor, doc_id, first, bytes) of whole anchors."""
-    raw = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
-    sizes = np.array([len(r[3]) for r in rows])
-    begin = np.cumsum(sizes) - sizes
-    windows = sizes - length + 1
-    owner = np.repeat(np.arange(len(rows)), windows)
-    offset = np.arange(len(owner)) - np.repeat(np.cumsum(windows) - windows, windows)
-    _, groups = np.unique([r[0] for r in rows], return_inverse=True)
-    starts = begin[owner] + offset
-    doc_ids = np.array([r[1] for r in rows])
-    places = np.array([r[2] for r in rows])[owner] + offset
-    ids = doc_ids[owner]
-    reach = np.zeros(len(starts), dtype=np.int64)
-    for size, members in maximal_repeats(raw, starts, groups[owner], (begin + sizes)[owner], offset == 0, length):
+class _Local:
+    """Contexts (anchor, doc_id, first, bytes, ...) laid end to end, with the windows in them."""
+
+    def __init__(self, rows: list[tuple], length: int):
+        self.raw = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint8)
+        sizes = np.array([len(r[3]) for r in rows])
+        begin = np.cumsum(sizes) - sizes
+        windows = sizes - length + 1
+        self.owner = np.repeat(np.arange(len(rows)), windows)
+        self.offset = np.arange(len(self.owner)) - np.repeat(np.cumsum(windows) - windows, windows)
+        self.starts = begin[self.owner] + self.offset
+        self.ends = (begin + sizes)[self.owner]
+        self.groups = np.unique([r[0] for r in rows], return_inverse=True)[1][self.owner]
+        self.length = length
+
+    def maximal(self) -> Iterator[tuple[int, np.ndarray]]:
+        return maximal_repeats(self.raw, self.starts, self.groups, self.ends, self.offset == 0, self.length)
+
+
+def local_repeats(rows: list[tuple], length: int) -> list[tuple[int, int, int]]:
+    """(doc_id, start, end) of the repeats among contexts of whole anchors."""
+    local = _Local(rows, length)
+    ids = np.array([r[1] for r in rows])[local.owner]
+    places = np.array([r[2] for r in rows])[local.owner] + local.offset
+    reach = np.zeros(len(local.starts), dtype=np.int64)
+    for size, members in local.maximal():
         if len(members) == 2:
             a, b = members
             later = members[1:] if (ids[a], places[a]) <= (ids[b], places[b]) else members[:1]
@@ -254,6 +274,16 @@ def local_repeats(rows: list[tuple[int, int, int, bytes]], length: int) -> list[
     return list(zip(ids[at].tolist(), places[at].tolist(), (places[at] + reach[at]).tolist()))
 
 
+def local_groups(rows: list[tuple], length: int) -> list[tuple[int, list[tuple[tuple, int]]]]:
+    """(bytes, [(context, offset in it)]) of the maximal repeats among contexts of whole anchors."""
+    local = _Local(rows, length)
+    out = []
+    for size, members in local.maximal():
+        at = {(rows[o][4], k): rows[o] for o, k in zip(local.owner[members].tolist(), local.offset[members].tolist())}
+        out.append((size, [(r, k) for (_, k), r in at.items()]))
+    return out
+
+
 def context_bytes(docs: DataFrame, open_contexts: DataFrame, length: int) -> DataFrame:
     """anchor, doc_id, first, bytes."""
     wanted = open_contexts.groupBy(F.col("doc_id").alias("id")).agg(F.collect_list(F.struct("anchor", "first", "last")).alias("runs"))
@@ -268,30 +298,105 @@ def context_bytes(docs: DataFrame, open_contexts: DataFrame, length: int) -> Dat
     return joined.mapInArrow(run, "anchor bigint, doc_id bigint, first int, bytes binary")
 
 
-def indexed(found: DataFrame, length: int, local_bytes: int = LOCAL_BYTES) -> DataFrame:
-    """doc_id, start, end of the repeats among first contexts."""
+def frequent_anchors(open_contexts: DataFrame, most: int) -> DataFrame:
+    """The anchors with more than `most` contexts."""
+    return written(open_contexts.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > most).select("anchor"), "frequent-anchors")
+
+
+def window_hashes(found: DataFrame, length: int) -> DataFrame:
+    """h1, h2, doc_id, start of each window of the contexts (anchor, doc_id, first, bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
-        size = 0
+        for part in text_batches(batches, 1 << 20):
+            if not part.num_rows:
+                continue
+            texts = part.column(3).to_pylist()
+            raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+            sizes = np.array([len(t) for t in texts])
+            n = sizes - length + 1
+            owner = np.repeat(np.arange(len(sizes)), n)
+            offset = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n)
+            at = (np.cumsum(sizes) - sizes)[owner] + offset
+            g, half = Grams(raw), length // 2
+            h1, h2 = g.of(at, at + half), g.of(at + half, at + length)
+            yield pa.RecordBatch.from_arrays([pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), part.column(1).take(pa.array(owner)), pa.array((part.column(2).to_numpy()[owner] + offset).astype(np.int32))], names=["h1", "h2", "doc_id", "start"])
+
+    return written(found.mapInArrow(run, "h1 bigint, h2 bigint, doc_id bigint, start int").distinct(), "windows")
+
+
+def equal_windows(windows: DataFrame, length: int) -> DataFrame:
+    """doc_id, start, end of all but the earliest of equal windows. Sums are made before the shuffle, and the join is one
+    that adaptive execution can split."""
+    lead = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("lead"), F.count("*").alias("n")).where("n > 1")
+    return windows.join(lead, ["h1", "h2"]).where(F.struct("doc_id", "start") != F.col("lead")).select("doc_id", "start", (F.col("start") + length).alias("end"))
 
-        def out() -> pa.RecordBatch:
-            rows = local_repeats(held, length)
-            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())], names=["doc_id", "start", "end"])
 
+def _by_anchor(found: DataFrame, local_bytes: int, solve: Callable[[list], pa.RecordBatch], schema: str) -> DataFrame:
+    """`solve` for contexts (anchor, doc_id, first, bytes, ...) of whole anchors, as many as fit into `local_bytes`."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        size = 0
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns)):
                 if held and row[:3] == held[-1][:3]:  # a row that repeats a document
                     continue
                 if size >= local_bytes and row[0] != held[-1][0]:
-                    yield out()
+                    yield solve(held)
                     held, size = [], 0
                 held.append(row)
                 size += len(row[3])
         if held:
-            yield out()
+            yield solve(held)
 
-    return found.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "first").mapInArrow(run, "doc_id bigint, start int, end int")
+    return found.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "first").mapInArrow(run, schema)
+
+
+def indexed(found: DataFrame, length: int, local_bytes: int = LOCAL_BYTES) -> DataFrame:
+    """doc_id, start, end of the repeats among first contexts of anchors with a bounded number of them."""
+
+    def solve(held: list) -> pa.RecordBatch:
+        rows = local_repeats(held, length)
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.int32())], names=["doc_id", "start", "end"])
+
+    return _by_anchor(found, local_bytes, solve, "doc_id bigint, start int, end int")
+
+
+def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = CONTEXTS, local_bytes: int = LOCAL_BYTES) -> DataFrame:
+    """group, n_bytes, doc_id, start: every repeat of at least `length` bytes, with all its occurrences."""
+    small_batches(docs.sparkSession)
+    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = written(anchors(docs, length, gram, mark=False).drop("known").distinct(), "contexts")
+    one = found.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "first", "last")).alias("one"), F.count("*").alias("copies"))
+    several = one.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor")
+    heads = written(one.join(several, "anchor").select("anchor", "context", "one.*", "copies"), "heads")
+    often = frequent_anchors(heads, most)
+    few = heads.join(often, "anchor", "left_anti")
+    local = context_bytes(docs, few, length).join(few.select("anchor", "doc_id", "first", "context", "copies"), ["anchor", "doc_id", "first"]).select("anchor", "doc_id", "first", "bytes", "context", "copies")
+
+    def solve(held: list) -> pa.RecordBatch:
+        rows = [r for r in held for _ in range(min(2, r[5]))]  # two stand for any number of equal ones
+        out = [(r[0], serial, size, r[4], k) for serial, (size, members) in enumerate(local_groups(rows, length)) for r, k in members]
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], t) for k, t in enumerate(kinds)], names=["anchor", "serial", "n_bytes", "context", "offset"])
+
+    members = written(_by_anchor(local, local_bytes, solve, "anchor bigint, serial bigint, n_bytes int, context bigint, offset int"), "members")
+    places = members.join(found, ["anchor", "context"]).select(F.xxhash64("anchor", "serial").alias("group"), "n_bytes", "doc_id", (F.col("first") + F.col("offset")).alias("start"))
+    # all windows of frequent anchors, every copy's
+    spread = found.join(often, "anchor", "left_semi")
+    windows = window_hashes(context_bytes(docs, spread, length), length)
+    same = windows.groupBy("h1", "h2").agg(F.count("*").alias("n")).where("n > 1").select("h1", "h2")
+    places = written(places.union(windows.join(same, ["h1", "h2"]).select(F.xxhash64("h1", "h2"), F.lit(length), "doc_id", "start")).distinct(), "places")
+    # groups with the same occurrences, shifted, are parts of one repeat
+    lead = places.groupBy("group", "n_bytes").agg(F.min(F.struct("doc_id", "start")).alias("lead"))
+    shape = places.join(lead, ["group", "n_bytes"]).withColumn("h", F.xxhash64("doc_id", F.col("start") - F.col("lead.start")))
+    shape = shape.groupBy("group", "n_bytes", F.col("lead.doc_id").alias("lead_doc"), F.col("lead.start").alias("lead_start")).agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.sum(F.shiftright("h", 32)).alias("y"))
+    alike = Window.partitionBy("n", "x", "y", "lead_doc").orderBy("lead_start", F.desc("n_bytes"))
+    until = F.max(F.col("lead_start") + F.col("n_bytes")).over(alike.rowsBetween(Window.unboundedPreceding, -1))
+    runs = shape.withColumn("fresh", F.coalesce((F.col("lead_start") > until).cast("int"), F.lit(1))).withColumn("run", F.sum("fresh").over(alike))
+    whole = Window.partitionBy("n", "x", "y", "lead_doc", "run")
+    runs = runs.withColumns({"from": F.min("lead_start").over(whole), "to": F.max(F.col("lead_start") + F.col("n_bytes")).over(whole), "first": F.row_number().over(whole.orderBy("lead_start", F.desc("n_bytes")))}).where("first = 1")
+    return places.join(runs.select("group", "n_bytes", (F.col("to") - F.col("from")).alias("whole")), ["group", "n_bytes"]).select("group", F.col("whole").cast("int").alias("n_bytes"), "doc_id", "start")
 
 
 def cut(docs: DataFrame, repeats: DataFrame) -> DataFrame:
@@ -320,11 +425,15 @@ def cut(docs: DataFrame, repeats: DataFrame) -> DataFrame:
     return joined.mapInArrow(run, "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string, kept binary")
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = CONTEXTS) -> DataFrame:
     """Cuts every repeated string of at least `length` bytes out of all but its first place."""
     small_batches(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sorted_out = written(sort_out(anchors(docs, length, gram)), "repeat-runs")
     runs = sorted_out.where("anchor is null").select("doc_id", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
-    more = written(indexed(context_bytes(docs, sorted_out.where("anchor is not null"), length), length), "repeats")
-    return cut(docs, runs.unionByName(more))
+    open_contexts = sorted_out.where("anchor is not null")
+    often = frequent_anchors(open_contexts, most)
+    few, spread = open_contexts.join(often, "anchor", "left_anti"), open_contexts.join(often, "anchor", "left_semi")
+    more = written(indexed(context_bytes(docs, few, length), length), "repeats")
+    windows = equal_windows(window_hashes(context_bytes(docs, spread, length), length), length)
+    return cut(docs, runs.unionByName(more).unionByName(windows))

@@ -392,8 +392,8 @@ def test_suffix_dedup(spark, docs, odd, length):
         kept = bytes(b for b, g in zip(raw, gone) if not g)
         spans = sum(1 for p in range(len(raw)) if gone[p] and (p == 0 or not gone[p - 1]))
         wanted[r.doc_id] = (len(raw), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest())
-    for rows in (docs, odd):
-        for r in suffix_dedup.remove_repeats(rows, length, gram=12).collect():
+    for rows, most in ((docs, 8192), (docs, 2), (odd, 8192)):
+        for r in suffix_dedup.remove_repeats(rows, length, gram=12, most=most).collect():
             if r.doc_id is not None:
                 assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == wanted[r.doc_id]
             else:
@@ -401,6 +401,33 @@ def test_suffix_dedup(spark, docs, odd, length):
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("most", [8192, 2])
+def test_repeat_groups(spark, docs, most):
+    """Each group lists all places of its string; each string that repeats is in one; a copied text is one group."""
+    length = 30
+    raw = {r.doc_id: (r.text or "").encode() for r in docs.collect() if len(r.text or "") < 2000}
+    raw[900] = raw[901] = random.Random(9).randbytes(400).hex().encode()
+    df = spark.createDataFrame([(i, t.decode()) for i, t in raw.items()], "doc_id bigint, text string")
+    groups = collections.defaultdict(set)
+    for r in suffix_dedup.repeat_groups(df, length, gram=12, most=most).collect():
+        groups[r.group, r.n_bytes].add((r.doc_id, r.start))
+    covered = collections.defaultdict(set)
+    for (_, size), places in groups.items():
+        doc, start = next(iter(places))
+        text = raw[doc][start : start + size]
+        assert len(text) == size >= length and len(places) > 1
+        assert places == {(i, p) for i, t in raw.items() for p in range(len(t) - size + 1) if t[p : p + size] == text}
+        for i, p in places:
+            covered[i].update(range(p, p + size - length + 1))
+    seen = collections.defaultdict(list)
+    for i, t in raw.items():
+        for p in range(len(t) - length + 1):
+            seen[t[p : p + length]].append((i, p))
+    assert all(p in covered[i] for places in seen.values() if len(places) > 1 for i, p in places)
+    if most > 2:
+        assert any(size == 800 and places == {(900, 0), (901, 0)} for (_, size), places in groups.items())
+
+
 def test_maximal_repeats_have_all_occurrences():
     a, b = b"abcdefghij", b"klm"
     raw = b"x" + a + b + b"y" + a + b + b"z" + a + b"q"
