@@ -31,11 +31,20 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Cuts the lineage: writes a table into the shared folder and reads it again."""
+    """Cuts the lineage: writes a table into the shared folder and reads it again. What the write shuffled is of no use
+    after that, so its files go at once instead of when the driver next collects garbage."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
