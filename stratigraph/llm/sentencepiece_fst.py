@@ -1,27 +1,33 @@
 """SentencePiece encoding and decoding as a weighted finite-state transducer.
 
-A model file is compiled into three parts: the normaliser (dummy prefix, white space to its mark), the pieces as a trie
-whose arcs consume characters and put out ids, and byte fallback for characters that no piece holds. Composed with an
-input they give a lattice of segmentations; the encoding is its shortest path in the tropical semiring (min, +).
-
-* Unigram models: an arc weighs minus its piece's score.
-* BPE models: the pieces are composed with an acceptor of neighbouring pieces. An arc weighs 0 where merging the two
-  neighbours' characters by rank gives these two pieces again, else infinity. A segmentation is the one that merging
-  produces exactly if all its neighbours pass, so the only path of finite weight is the BPE encoding.
-
-Where no piece crosses a boundary before a white-space mark (checked on the model), the lattice falls apart there: each
-part is solved by itself and remembered, in a memory of bounded size.
+A model file is compiled once per worker:
+
+* the normaliser (dummy prefix, white space to its mark); it maps a text to one text, so it is applied as built-in
+  replacements and not kept as states;
+* the pieces as a trie whose arcs consume characters, put out an id at a piece's end and lead back to the root, with byte
+  fallback for characters that no piece holds;
+* for BPE models an acceptor of neighbouring pieces, since no weight of a piece alone can express merging by rank: an arc
+  weighs 0 where merging the two neighbours' characters by rank gives these two pieces again, else infinity. A
+  segmentation is the one that merging produces exactly if all its neighbours pass, so the only path of finite weight is
+  the BPE encoding. In unigram models an arc weighs minus its piece's score.
+
+The composition with an input is never built whole: the shortest path in the tropical semiring (min, +) is searched from
+state to state, in one way for both kinds of model. Where no piece crosses a boundary (before a white-space mark, or
+between two characters that no piece holds side by side; both read off the pieces) paths pass through one state, so the
+parts are solved by themselves and remembered, in a memory of bounded size.
 
 Decoding joins the pieces, turns marks into spaces, byte pieces into bytes, and drops the dummy prefix.
 
 Defined cases: a null or empty text has no pieces and decodes to ""; a text may hold the mark character itself, which
-comes back as a space (`exact` is false then); a null or repeated doc_id is just another row.
+comes back as a space (`exact` is false then); a null or repeated doc_id is just another row; further columns are left
+out, and an empty table gives none. Models with a character map are refused.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +39,7 @@ from .common import small_batches, text_batches
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 REMEMBERED = 300_000  # parts a worker keeps, of at most 48 characters
+WEIGHTS = 1_000_000  # of arcs that a worker keeps
 
 _INF = float("inf")
 _CUT = "\x1f"  # stands between parts in the quick cut; texts that hold it are cut by the pattern
@@ -73,23 +80,19 @@ class Transducer:
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.blob = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
         self.text_of = {i: p for p, i in self.pieces.items()}
-        self.neighbours: dict[int, bool] = {}
+        self.weights: dict[tuple[int, int], float] = {}
         self.spine: dict[int, tuple[list, list]] = {}
         # the trie: a node has its arcs by character, and by "" the piece that ends there
         self.trie: dict = {}
-        self.length = [0] * len(self.score)
         usable = {p: i for p, i in self.pieces.items() if not self.bpe or self.spines(i)[0]}  # what merging can give
         for piece, i in usable.items():
-            self.length[i] = len(piece)
             node = self.trie
             for c in piece:
                 node = node.setdefault(c, {})
             node[""] = i
-        #: The longest piece that a piece begins with; -1: none.
-        self.shorter = [-1] * len(self.score)
-        for piece, i in usable.items():
-            self.shorter[i] = next((usable[piece[:k]] for k in range(len(piece) - 1, 0, -1) if piece[:k] in usable), -1)
+        self.worst = 0.0 if self.bpe else 10.0 - min(self.score)  # of byte fallback
         self.alphabet = {c for p in self.pieces for c in p}
+        self.pairs = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
         self.falls_apart = not any(MARK in p.lstrip(MARK) for p in self.pieces)
         edges = "".join(re.escape(c) for c in "\n\t\r" if c not in self.alphabet)
         #: One part: marks and what follows up to the next mark, or characters that no piece holds.
@@ -97,6 +100,7 @@ class Transducer:
         self.known: dict[str, bytes] = {}
 
     def normalise(self, text: str) -> str:
+        """Dummy prefix, spaces to marks; with `remove_extra_whitespaces` one mark for a run of spaces, none at the ends."""
         if self.collapse:
             text = re.sub(" +", " ", text.strip(" "))
         if not text:
@@ -163,83 +167,49 @@ class Transducer:
         raw = c.encode("utf-8", "surrogatepass")
         return [self.byte_id[b] for b in raw] if all(b in self.byte_id for b in raw) else [self.unknown]
 
-    def shortest_path(self, text: str) -> list[int]:
-        """Ids on the shortest path through the lattice of `text`."""
-        return self._only_path(text) if self.bpe else self._least_path(text)
+    def weight(self, last: int, piece: int) -> float:
+        """Of the arc that puts out `piece` after `last` (-1: at the start, -2: after byte fallback)."""
+        found = -self.score[piece] if not self.bpe else 0.0 if last < 0 or self.stays(last, piece) else _INF
+        if len(self.weights) >= WEIGHTS:
+            self.weights.clear()
+        self.weights[last, piece] = found
+        return found
 
-    def _only_path(self, text: str) -> list[int]:
-        """BPE: all finite weights are 0, so any path that ends is the shortest. Depth first, longest arc first; each
-        position is reached by one piece at most, so one that leads nowhere is never tried again."""
-        trie, shorter, length, neighbours, n = self.trie, self.shorter, self.length, self.neighbours, len(text)
-        ids: list[int] = []
-        dead: set[int] = set()
-        pos, last, back = 0, -1, None
-        while pos < n:
-            if back is None:  # the longest piece from here
-                node, piece = trie, -1
-                for i in range(pos, n):
-                    node = node.get(text[i])
-                    if node is None:
-                        break
-                    piece = node.get("", piece)
-                if piece < 0:
-                    piece = -2
-            else:
-                piece, back = back, None
-            while piece >= 0:
-                if pos + length[piece] not in dead:
-                    if last < 0:
-                        break
-                    key = last << 24 | piece
-                    stays = neighbours.get(key)
-                    if stays is None:
-                        if len(neighbours) >= 1_000_000:
-                            neighbours.clear()
-                        stays = neighbours[key] = self.stays(last, piece)
-                    if stays:
-                        break
-                piece = shorter[piece]
-            if piece == -1 and text[pos] not in self.pieces:
-                piece = -2
-            if piece == -1:  # nowhere to go: one step back, to a shorter piece
-                dead.add(pos)
-                last_id = ids.pop()
-                while last_id < 0:  # over characters of byte fallback
-                    pos -= 1
-                    dead.add(pos)
-                    last_id = ids.pop()
-                pos -= length[last_id]
-                back, last = shorter[last_id], ids[-1] if ids else -1
+    def shortest_path(self, text: str) -> list[int]:
+        """Ids on the shortest path through the composition of `text` with the pieces, in the tropical semiring.
+
+        A state is a position and the piece that leads there. States of one position differ in nothing but their weight
+        in a unigram model, and in a BPE model all but one of them are infinitely far, as the start of a text has one
+        encoding; so one state a position is enough. States are taken by weight, and of equal ones the furthest first; no
+        arc weighs less than nothing, so a position's first state is its nearest.
+        """
+        trie, weight, known, n = self.trie, self.weight, self.weights, len(text)
+        ahead: list[tuple[float, int, int, int]] = [(0.0, 0, -1, 0)]  # weight, position (negative), piece, where it starts
+        way: dict[int, tuple[int, int]] = {}
+        while True:
+            here, end, last, start = heappop(ahead)
+            at = -end
+            if at in way:
                 continue
-            ids.append(piece)
-            pos += length[piece] if piece >= 0 else 1
-            last = piece
-        if not dead and (not ids or min(ids) >= 0):
-            return ids
-        out, pos = [], 0
-        for piece in ids:
-            out += [piece] if piece >= 0 else self.fallback(text[pos])
-            pos += length[piece] if piece >= 0 else 1
-        return out
-
-    def _least_path(self, text: str) -> list[int]:
-        """Unigram: Viterbi over positions."""
-        trie, score, n = self.trie, self.score, len(text)
-        worst = 10.0 - min(score)
-        best = [_INF] * (n + 1)
-        best[0] = 0.0
-        way: list[tuple] = [(-1, 0)] * (n + 1)
-        for start in range(n):
-            node, end, single = trie.get(text[start]), start + 1, False
-            while node is not None:
+            way[at] = last, start
+            if at == n:
+                break
+            node, end, single = trie, at, False
+            while end < n:
+                node = node.get(text[end])
+                if node is None:
+                    break
+                end += 1
                 piece = node.get("")
-                if piece is not None:
-                    single |= end == start + 1
-                    if best[start] - score[piece] < best[end]:
-                        best[end], way[end] = best[start] - score[piece], (piece, start)
-                node, end = node.get(text[end]) if end < n else None, end + 1
-            if not single and best[start] + worst < best[start + 1]:  # byte fallback
-                best[start + 1], way[start + 1] = best[start] + worst, (-2, start)
+                if piece is not None and end not in way:
+                    single |= end == at + 1
+                    step = known.get((last, piece))
+                    if step is None:
+                        step = weight(last, piece)
+                    if step != _INF:
+                        heappush(ahead, (here + step, -end, piece, at))
+            if not single:  # byte fallback
+                heappush(ahead, (here + self.worst, -at - 1, -2, at))
         ids: list[int] = []
         end = n
         while end > 0:
@@ -249,12 +219,27 @@ class Transducer:
         return ids[::-1]
 
     def solved(self, part: str) -> bytes:
-        ids = np.array(self.shortest_path(part), dtype="<i4").tobytes()
+        """The ids of a part, which falls into smaller ones where no piece holds both of two neighbouring characters."""
+        pairs = self.pairs
+        inner = [] if part.lstrip(MARK).isalpha() else [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in pairs]
+        cuts = [0, *inner, len(part)]
+        out = []
+        for a, b in zip(cuts, cuts[1:]):
+            small = part[a:b]
+            ids = self.known.get(small) if b - a < len(part) else None
+            if ids is None:
+                ids = np.array(self.shortest_path(small), dtype="<i4").tobytes()
+                self.remember(small, ids)
+            out.append(ids)
+        ids = b"".join(out)
+        self.remember(part, ids)
+        return ids
+
+    def remember(self, part: str, ids: bytes) -> None:
         if len(part) <= 48:
             if len(self.known) >= REMEMBERED:
                 self.known.clear()
             self.known[part] = ids
-        return ids
 
     def encode(self, text: str | None) -> bytes:
         """The ids as little-endian 32-bit integers."""
