@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches
+from .common import small_batches, text_batches, written
 
 BUCKETS = 4096
 CENTROIDS = 4
@@ -120,18 +120,23 @@ def fit(docs: DataFrame, train: Column | None = None, sample: int = SAMPLE, cent
     if not kinds:
         return Centroids([], np.zeros(0, int), np.ones(buckets), np.zeros((0, buckets)), np.zeros((0, BANDS)))
     each = max(1, sample // len(kinds))
-    order = [F.xxhash64("id"), F.col("id")]
-    parts = labelled.select("id", "lang", F.pmod(F.xxhash64("id", "lang"), F.lit(16)).alias("part"))  # a frequent language isn't one task's work
+    keyed = labelled.withColumn("key", F.xxhash64("text"))
+    order = [F.xxhash64("id"), F.col("id"), F.col("key")]
+    parts = keyed.select("id", "lang", "key", F.pmod(F.xxhash64("id", "lang", "key"), F.lit(16)).alias("part"))  # a frequent language isn't one task's work
     first = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).where(F.col("rank") <= each)
-    chosen = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= each).select("id", "lang")
-    rows = labelled.join(F.broadcast(chosen), ["id", "lang"], "left_semi").select("id", "lang", "text")  # at most `sample` ids
+    chosen = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= each).select(F.col("id").alias("its_id"), F.col("lang").alias("its_lang"), F.col("key").alias("its_key")).distinct()
+    chosen = written(chosen, "language-sample")  # at most `sample` rows
+    rows = keyed.join(F.broadcast(chosen), (F.col("key") == F.col("its_key")) & (F.col("lang") == F.col("its_lang")) & F.col("id").eqNullSafe(F.col("its_id")), "left_semi").select("id", "lang", "text", "key")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_batches(batches, 16 << 20):
-            out = [(i, lang, c.nonzero()[0].astype(np.int32), c[c.nonzero()].astype(np.int32)) for i, lang, text in zip(*(part.column(k).to_pylist() for k in range(3))) if (c := counts_of(text, buckets)) is not None]
-            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.list_(pa.int32())), pa.array([x[3] for x in out], pa.list_(pa.int32()))], names=["id", "lang", "at", "n"])
+            out = [(i, lang, key, c.nonzero()[0].astype(np.int32), c[c.nonzero()].astype(np.int32)) for i, lang, text, key in zip(*(part.column(k).to_pylist() for k in range(4))) if (c := counts_of(text, buckets)) is not None]
+            kinds = (pa.int64(), pa.string(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=["id", "lang", "key", "at", "n"])
 
-    found = sorted(rows.select(F.col("id").cast("bigint").alias("id"), "lang", "text").mapInArrow(features, "id bigint, lang string, at array<int>, n array<int>").limit(2 * sample).collect(), key=lambda r: (r.lang, r.id is None, r.id or 0))
+    # rows that repeat an id, language and text count once, so there are at most `sample` of them, the same ones each time
+    found = rows.select(F.col("id").cast("bigint").alias("id"), "lang", "text", "key").mapInArrow(features, "id bigint, lang string, key bigint, at array<int>, n array<int>").dropDuplicates(["id", "lang", "key"])
+    found = sorted(found.collect(), key=lambda r: (r.lang, r.id is None, r.id or 0, r.key))
     counts = np.zeros((len(found), buckets), dtype=np.float32)
     for i, r in enumerate(found):
         counts[i, r.at] = r.n

@@ -18,6 +18,7 @@ key's lines all stay in its largest document, repeated lines included; empty tab
 
 from __future__ import annotations
 
+import itertools
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -120,12 +121,16 @@ def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MI
 
 
 def drop_repeated(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
-    """The rows of `docs`, all columns, with `text` cut to the lines that stay; columns line_dedup_total and line_dedup_dropped follow."""
-    gone = dropped_lines(docs, min_docs, min_chars, batches, fanout).select(F.col("doc_id").alias("__id"), F.col("row_key").alias("__key"), F.col("dropped").alias("__dropped"))
+    """The rows of `docs`, all columns, with `text` cut to the lines that stay; columns line_dedup_total and line_dedup_dropped follow (they take the place of columns of these names)."""
+    taken = {c.lower() for c in docs.columns} | {"line_dedup_total", "line_dedup_dropped"}
+    own = [next(n for i in itertools.count() if (n := f"{x}_{i}") not in taken) for x in ("key", "lines", "id", "gone_key", "gone")]
+    key, lines, gone_id, gone_key, dropped = own  # names that no column of `docs` has
+    gone = dropped_lines(docs, min_docs, min_chars, batches, fanout).select(F.col("doc_id").alias(gone_id), F.col("row_key").alias(gone_key), F.col("dropped").alias(dropped))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.withColumns({"__row": row_key(), "__lines": F.split(text, "\n", -1)}).drop("text")
-    joined = rows.join(gone.hint("shuffle_hash"), (F.col("doc_id").cast("bigint") == F.col("__id")) & (F.col("__row") == F.col("__key")), "left")
-    total, lost = F.size("__lines"), F.coalesce(F.size("__dropped"), F.lit(0))
-    stay = F.transform(F.array_except(F.sequence(F.lit(0), total - 1), F.col("__dropped")), lambda i: F.get(F.col("__lines"), i))
-    kept = F.array_join(F.when(F.col("__dropped").isNull(), F.col("__lines")).otherwise(stay), "\n")
-    return joined.select(*[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns], total.cast("bigint").alias("line_dedup_total"), lost.cast("bigint").alias("line_dedup_dropped"))
+    rows = docs.withColumns({key: row_key(), lines: F.split(text, "\n", -1)}).drop("text")
+    joined = rows.join(gone, (F.col("doc_id").cast("bigint") == F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left")
+    total, lost = F.size(lines), F.coalesce(F.size(dropped), F.lit(0))
+    stay = F.transform(F.array_except(F.sequence(F.lit(0), total - 1), F.col(dropped)), lambda i: F.get(F.col(lines), i))
+    kept = F.array_join(F.when(F.col(dropped).isNull(), F.col(lines)).otherwise(stay), "\n")
+    rest = [c for c in docs.columns if c.lower() not in ("line_dedup_total", "line_dedup_dropped")]
+    return joined.select(*[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in rest], total.cast("bigint").alias("line_dedup_total"), lost.cast("bigint").alias("line_dedup_dropped"))

@@ -68,6 +68,10 @@ def test_line_dedup(spark, odd):
         assert found.columns[:4] == odd.columns
         assert sorted((str(r.doc_id), r.line_dedup_total, r.text) for r in found.collect()) == wanted
     assert line_dedup.drop_repeated(odd.limit(0)).count() == 0
+    clash = odd.withColumns({c: F.lit("mine") for c in ("line_dedup_total", "line_dedup_dropped", "key_0", "lines_0", "id_0", "gone_0", "LINES_1")})
+    found = line_dedup.drop_repeated(clash)
+    assert len(set(found.columns)) == len(found.columns) and found.where("key_0 = 'mine' and lines_1 = 'mine'").count() == len(rows)
+    assert sorted((str(r.doc_id), r.line_dedup_total, r.text) for r in found.collect()) == wanted
 
 
 # 2
@@ -481,6 +485,10 @@ def test_language(spark):
     assert not any(r.rejected for r in found if r.lang_pred != "und")
     far = spark.createDataFrame([(1, "zqxj vkwq zzzq xxjq qqzx jjkv"), (2, "Ωμέγα άλφα"), (None, "the of and")], "doc_id bigint, text string")
     assert {r.doc_id for r in langid.predict(far, model).where("rejected").collect()} >= {2}
+    # rows that repeat ids, with the same text or another: the same model whatever the partitions
+    twice = docs.unionByName(docs.where("doc_id % 3 = 0")).unionByName(docs.withColumn("text", F.reverse("text")).where("doc_id % 5 = 0"))
+    a, b = (langid.fit(twice.repartition(n), sample=60) for n in (2, 7))
+    assert a.langs == b.langs and np.array_equal(a.at, b.at) and np.array_equal(a.least, b.least)
     blank = langid.fit(docs.withColumn("lang", F.lit(None).cast("string")))
     assert {r.lang_pred for r in langid.predict(docs.limit(5), blank).collect()} == {"und"}
 
