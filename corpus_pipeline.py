@@ -30,11 +30,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts lines that three documents or more hold out of all but the last of them."""
-    return line_dedup.drop_repeated(docs).select(*[F.col(f"`{c}`") for c in docs.columns])
+    names = {c.lower() for c in docs.columns} & {"line_dedup_total", "line_dedup_dropped"}
+    found = line_dedup.drop_repeated(docs.withColumnsRenamed({c: f"{c} of docs" for c in docs.columns if c.lower() in names}))
+    return found.select(*[F.col(f"`{c} of docs`").alias(c) if c.lower() in names else F.col(f"`{c}`") for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the smallest doc_id of each group of near-duplicates (five words, similarity 0.8)."""
+    """Keeps the smallest doc_id of each group of near-duplicates (five words, similarity 0.8). All rows of one doc_id are
+    one document to the operator and share its group, so they stay or go together."""
     found = minhash.near_duplicates(docs)
     gone = written(found.where("not kept").select("doc_id").distinct(), "copies").select(F.col("doc_id").alias("__gone_id"))
     return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone_id"), "left_anti")
