@@ -224,7 +224,7 @@ def facts(df: DataFrame, p: DatingParams, anchors: tuple[float, ...] = (5.0, 25.
     head = df.agg(F.count("*").alias("n_groups"))
     anchor = [F.round(F.exp(F.lit(-a / p.t0)), 3).alias(f"q_at_{a:g}") for a in anchors]
     values = [F.lit(float(v)).alias(n) for n, v in (("k_min", p.k_min), ("k_max", p.k_max), ("tau", p.tau), ("w", p.w), ("t0", p.t0))]
-    return head.crossJoin(spectrum(df, ["unc_start_years_exact", "unc_end_years_exact"], F.lit(float(p.t0)))).crossJoin(epoch_drift(df)).select("*", *values, *anchor)
+    return head.crossJoin(spectrum(df, ["unc_start_years_exact", "unc_end_years_exact"], p.t0)).crossJoin(epoch_drift(df)).select("*", *values, *anchor)
 
 
 def fallback_rows(df: DataFrame) -> DataFrame:

@@ -15,14 +15,13 @@ from pyspark.sql.types import StructType
 
 from ..functions import exprs as X
 from ..functions.profiles import profile_summary, spread_profile
-from ..functions.text import short_hash, slug
+from ..functions.text import TRANSLITERATION, short_hash, slug
 from ..operators import checks as C
 from ..operators import compare, dating, entailment, figures
 from ..operators import patterns as P
 from ..operators import triples as G
 from ..params import LABEL, TYPE, DatingParams, Names
 from ..sources.scratch import scratch_path, stored
-from ..sources.writers import node_documents
 from . import catalogue as Q
 
 PARAMS = DatingParams(date_flag="A", site_flag="F")
@@ -155,6 +154,12 @@ def _query(sql: str | None = None):
     return add
 
 
+def _transliterated(c: str) -> str:
+    for letter, plain in TRANSLITERATION.items():
+        c = f"replace({c}, '{letter}', '{plain}')"
+    return c
+
+
 # dating
 @_query(f"SELECT * EXCLUDE ({_LEFT_OUT}) FROM dated")
 def date_groups(spark, sf_dir):
@@ -212,10 +217,6 @@ def facts_spectrum(spark, sf_dir):
     return out.select("n", "sigma_min", F.round("sigma_median", 6).alias("sigma_median"), "sigma_max", *[F.round(c, 6).alias(c) for c in ("q_min", "q_median", "q_max")])
 
 
-@_query()
-def facts(spark, sf_dir):
-    return C.facts(_kept(spark, sf_dir), PARAMS)
-
 
 @_query("""SELECT the_site, the_findspot, q, before FROM (SELECT the_site, the_findspot, q_start_legacy AS q,
   lag(q_start_legacy) OVER (PARTITION BY the_site ORDER BY unc_start_years_exact, the_site, the_findspot) AS before
@@ -247,15 +248,6 @@ def row_checks(spark, sf_dir):
     return C.checked(_kept(spark, sf_dir), checks).select("key", "status", "n_offenders")
 
 
-@_query()
-def all_checks(spark, sf_dir):
-    return C.all_checks(_kept(spark, sf_dir))
-
-
-@_query("SELECT 'ok' AS verdict, CAST(0 AS BIGINT) AS n_fail, CAST(0 AS BIGINT) AS n_warn")
-def verdict(spark, sf_dir):
-    return C.verdict(C.all_checks(_kept(spark, sf_dir)))
-
 
 @_query("SELECT count(*) FILTER (k_is_fallback) AS n_fallback, count(*) FILTER (the_id IS NULL) AS n_unresolved FROM dated")
 def fallback_and_unresolved(spark, sf_dir):
@@ -280,7 +272,7 @@ def slugs(spark, sf_dir):
     return _table(spark, sf_dir, "part").select("p_partkey", slug(F.concat("p_name", F.lit(" / "), "p_type")).alias("slug"))
 
 
-@_query()
+@_query("PLAIN SELECT doc_id, CASE WHEN slug = '' THEN 'unknown' ELSE slug END AS slug FROM (SELECT doc_id, lower(trim(regexp_replace(regexp_replace(strip_accents(" + _transliterated("trim(text)") + "), '[^\\x00-\\x7F]', '', 'g'), '[^A-Za-z0-9]+', '_', 'g'), '_')) AS slug FROM documents)")
 def document_slugs(spark, sf_dir):
     return _table(spark, sf_dir, "documents").select("doc_id", slug(F.col("text")).alias("slug"))
 
@@ -320,25 +312,12 @@ def undefined_markers(spark, sf_dir):
     return marks.groupBy(F.col("o").alias("property")).agg(F.count("*").alias("n"))
 
 
-@_query()
-def build_graph(spark, sf_dir):
-    return G.build_graph(_kept(spark, sf_dir), PARAMS, AT)
-
 
 @_query("SELECT count(*) AS n FROM (SELECT 1 FROM dated WHERE round_even(eff_start, 0) < 0 UNION ALL SELECT 1 FROM dated WHERE round_even(eff_start, 0) < 0 UNION ALL SELECT 1 FROM dated WHERE round_even(eff_end, 0) < 0 UNION ALL SELECT 1 FROM dated WHERE round_even(eff_end, 0) < 0 UNION ALL SELECT 1 FROM dated WHERE round_even(eff_start, 0) = 0 UNION ALL SELECT 1 FROM dated WHERE round_even(eff_start, 0) = 0 UNION ALL SELECT 1 FROM dated WHERE round_even(eff_end, 0) = 0 UNION ALL SELECT 1 FROM dated WHERE round_even(eff_end, 0) = 0)")
 def count_bc_years(spark, sf_dir):
     return G.count_bc_years(graph(spark, sf_dir)).select(F.col("n_bc_years").alias("n"))
 
 
-@_query()
-def graph_fingerprint(spark, sf_dir):
-    return compare.graph_fingerprint(graph(spark, sf_dir))
-
-
-@_query()
-def node_json(spark, sf_dir):
-    return node_documents(graph(spark, sf_dir))
-
 
 # entailment over the class tree
 def _edges(spark, sf_dir):
@@ -497,12 +476,16 @@ def whiskers(spark, sf_dir):
     return out.select("the_id", "the_findspot", "row", F.round("whisker_start", 6).alias("whisker_start"), F.round("whisker_end", 6).alias("whisker_end"), "stub_start", "stub_end")
 
 
-@_query()
-def value_table(spark, sf_dir):
-    return figures.value_table(dated(spark, sf_dir))
-
 
-@_query()
+@_query("""SELECT the_id, the_findspot, count(*) AS n, round(max(d), 6) AS peak, round(sum(d * x) / sum(d), 3) AS mean FROM (
+  SELECT the_id, the_findspot, x, raw / (sum(raw) OVER w * span / 399) AS d FROM (
+    SELECT *, CASE WHEN i IN (0, 399) THEN 0.0::DOUBLE ELSE exp(l - max(l) OVER w) END AS raw FROM (
+      SELECT *, (greatest(t * k, 1.06) - 1) * ln(u) + (greatest((1 - t) * k, 1.06) - 1) * ln(1 - u) AS l FROM (
+        SELECT *, low + i * span / 399 AS x, least(greatest((low + i * span / 399 - low) / span, 1e-9), 1 - 1e-9) AS u FROM (
+          SELECT *, t * (1 - t) / least(power(greatest(sigma_eff, 0.35) / span, 2), t * (1 - t) * 0.92) - 1 AS k, unnest(range(400)) AS i FROM (
+            SELECT *, least(greatest(((eff_start + eff_end) / 2 - low) / span, 0.02), 0.98) AS t FROM (
+              SELECT the_id, the_site, the_findspot, sigma_eff, eff_start, eff_end, min_datemin::DOUBLE AS low, CASE WHEN max_datemax > min_datemin THEN max_datemax - min_datemin ELSE 1 END::DOUBLE AS span FROM dated)))))
+    WINDOW w AS (PARTITION BY the_id, the_site, the_findspot)) WINDOW w AS (PARTITION BY the_id, the_site, the_findspot)) GROUP BY the_id, the_findspot""")
 def spread_profiles(spark, sf_dir):
     """Length, peak and mean of all profiles (400 points each)."""
     df = spread_profile(_spread(dated(spark, sf_dir)), F.col("min_datemin"), F.col("max_datemax"), (F.col("eff_start") + F.col("eff_end")) / 2, F.col("sigma_eff"))
