@@ -16,7 +16,7 @@ from ..params import CRM, CRMDIG, DCAT, DCTERMS, LABEL, OWL, PROV, RDFS, SKOS, T
 from ..sources import readers, writers
 from ..sources.scratch import scratch_path
 from . import catalogue as Q
-from .driver_data import AT, PARAMS, N, _edges, _gyear_sql, _kept, _query, _spread, _table, _tree, dated, graph
+from .driver_data import AT, PARAMS, N, _edges, _gyear_sql, _kept, _query, _table, _tree, dated, graph, registered
 
 DATE = AT[:10]
 DATASET = f"{N.data}dataset_sites_{DATE}"
@@ -50,7 +50,7 @@ def _graph_sql() -> str:
         _iri(act, TYPE, _q(PROV + "Activity")), _iri(act, TYPE, _q(v + "DatingActivity")), _lit(act, LABEL, "'Dating of ' || the_site || ' — ' || the_findspot", lang="en"),
         _iri(act, PROV + "wasAssociatedWith", _q(d + "exporter")), _lit(act, PROV + "endedAtTime", _q(AT), XSD + "dateTime"), _iri(act, PROV + "used", _q(DATASET)), _iri(act, PROV + "used", _q(d + "DatingModel_v1")),
         _iri(act, CRM + "P33_used_specific_technique", _q(d + "DatingModel_v1")), _iri(act, CRM + "P14_carried_out_by", _q(d + "exporter")), _iri(span, PROV + "wasDerivedFrom", _q(DATASET)),
-        _lit(place, LABEL, "the_site", lang="en"),
+        _lit(place, LABEL, "the_site", lang="en"), _lit(place, v + "ancientName", "CASE WHEN the_id % 3 = 0 THEN 'Vicus ' || the_site END"), _iri(place, v + "pleiadesID", f"CASE WHEN the_id % 2 = 0 THEN '{N.external_ids}' || the_id * 100 END"),
     ]
     for edge, link, value in (("begin", "hasBeginning", "eff_start"), ("end", "hasEnd", "eff_end")):
         instant, position = f"{span} || '_{edge}'", f"{span} || '_{edge}_pos'"
@@ -83,7 +83,7 @@ _LINE = f"'<' || s || '> <' || p || '> ' || {_TERM} || ' .'"
 
 @_query(f"SELECT * FROM {_GRAPH}")
 def build_graph(spark, sf_dir):
-    return G.build_graph(_kept(spark, sf_dir), PARAMS, AT)
+    return G.build_graph(registered(_kept(spark, sf_dir)), PARAMS, AT)
 
 
 @_query(rf"""SELECT count(*) AS n, bit_xor(h) AS "xor", CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS total FROM (SELECT ('0x' || substr(md5(line), 1, 15))::BIGINT AS h FROM (SELECT DISTINCT
