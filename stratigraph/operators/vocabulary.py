@@ -37,25 +37,55 @@ EXTERNAL_AXIOMS = [
 ]
 
 #: Property, domain, range.
-PROPERTIES = {
-    "PlotRow": {"renders": "DatedTimeSpan", "uncStartYears": "xsd:integer", "uncEndYears": "xsd:integer", "uncIntervalYears": "xsd:integer"},
-    "Figure": {
-        "hasRow": "PlotRow",
-        **dict.fromkeys(["padYears", "extremeStubYears", "rowHeight", "svgWidth", "marginLeft", "marginRight", "marginTop", "marginBottom"], "xsd:integer"),
-        "bandPadding": "xsd:decimal", "colourRamp": "xsd:string", "rowOrder": "xsd:string",
-    },
-    "DatedTimeSpan": {
-        "undefinedMeasure": "rdf:Property",
-        **dict.fromkeys(["nStamps", "nStampsWithDie", "nDies", "avgDatemin", "avgDatemax", "minDatemin", "maxDatemin", "minDatemax", "maxDatemax"], "xsd:integer"),
-        **dict.fromkeys(["dieRepetition", "qRepetition", "qInterval", "qStart", "qEnd", "sigmaYears", "kFactor", "midpointYear"], "xsd:decimal"),
-        "kIsFallback": "xsd:boolean", "intervalLabel": "xsd:string",
-    },
-    "DatingModel": {
-        **dict.fromkeys(["kMin", "kMax", "tau", "volumeWeight", "referenceLength"], "xsd:decimal"),
-        "calibrationBasis": "xsd:string", "calibratedAgainst": "Findspot", "fuzzinessDivisor": "xsd:integer", "excludedDatemax": "xsd:integer", "eraConvention": "xsd:string",
-    },
-    "dcat:Dataset": {"identifierScheme": "xsd:string"},
-}
+PROPERTIES = [
+    ("renders", "PlotRow", "DatedTimeSpan"),
+    ("hasRow", "Figure", "PlotRow"),
+    ("undefinedMeasure", "DatedTimeSpan", "rdf:Property"),
+    ("nStamps", "DatedTimeSpan", "xsd:integer"),
+    ("nStampsWithDie", "DatedTimeSpan", "xsd:integer"),
+    ("nDies", "DatedTimeSpan", "xsd:integer"),
+    ("dieRepetition", "DatedTimeSpan", "xsd:decimal"),
+    ("qRepetition", "DatedTimeSpan", "xsd:decimal"),
+    ("qInterval", "DatedTimeSpan", "xsd:decimal"),
+    ("qStart", "DatedTimeSpan", "xsd:decimal"),
+    ("qEnd", "DatedTimeSpan", "xsd:decimal"),
+    ("sigmaYears", "DatedTimeSpan", "xsd:decimal"),
+    ("kFactor", "DatedTimeSpan", "xsd:decimal"),
+    ("kIsFallback", "DatedTimeSpan", "xsd:boolean"),
+    ("midpointYear", "DatedTimeSpan", "xsd:decimal"),
+    ("avgDatemin", "DatedTimeSpan", "xsd:integer"),
+    ("avgDatemax", "DatedTimeSpan", "xsd:integer"),
+    ("minDatemin", "DatedTimeSpan", "xsd:integer"),
+    ("maxDatemin", "DatedTimeSpan", "xsd:integer"),
+    ("minDatemax", "DatedTimeSpan", "xsd:integer"),
+    ("maxDatemax", "DatedTimeSpan", "xsd:integer"),
+    ("intervalLabel", "DatedTimeSpan", "xsd:string"),
+    ("uncStartYears", "PlotRow", "xsd:integer"),
+    ("uncEndYears", "PlotRow", "xsd:integer"),
+    ("uncIntervalYears", "PlotRow", "xsd:integer"),
+    ("kMin", "DatingModel", "xsd:decimal"),
+    ("kMax", "DatingModel", "xsd:decimal"),
+    ("tau", "DatingModel", "xsd:decimal"),
+    ("volumeWeight", "DatingModel", "xsd:decimal"),
+    ("calibrationBasis", "DatingModel", "xsd:string"),
+    ("calibratedAgainst", "DatingModel", "Findspot"),
+    ("referenceLength", "DatingModel", "xsd:decimal"),
+    ("fuzzinessDivisor", "DatingModel", "xsd:integer"),
+    ("excludedDatemax", "DatingModel", "xsd:integer"),
+    ("identifierScheme", "dcat:Dataset", "xsd:string"),
+    ("eraConvention", "DatingModel", "xsd:string"),
+    ("padYears", "Figure", "xsd:integer"),
+    ("extremeStubYears", "Figure", "xsd:integer"),
+    ("rowHeight", "Figure", "xsd:integer"),
+    ("svgWidth", "Figure", "xsd:integer"),
+    ("marginLeft", "Figure", "xsd:integer"),
+    ("marginRight", "Figure", "xsd:integer"),
+    ("marginTop", "Figure", "xsd:integer"),
+    ("marginBottom", "Figure", "xsd:integer"),
+    ("bandPadding", "Figure", "xsd:decimal"),
+    ("colourRamp", "Figure", "xsd:string"),
+    ("rowOrder", "Figure", "xsd:string"),
+]
 
 #: The relations between classes that the graph is built from, and the layer of each class.
 RELATIONS = [
@@ -71,7 +101,7 @@ RELATIONS = [
     ("DatingActivity", "prov:used", "DatingModel"),
     ("FindspotDating", "prov:wasDerivedFrom", "dcat:Dataset"),
 ]
-LAYERS = {"DiscoverySite": "place", "Findspot": "place", "Location": "place", "DatedTimeSpan": "dating", "FindspotDating": "dating", "DatingModel": "provenance", "DatingActivity": "provenance", "PlotRow": "presentation", "Figure": "presentation"}
+LAYERS = {"DiscoverySite": "place", "Findspot": "place", "DatedTimeSpan": "dating", "FindspotDating": "dating", "DatingModel": "provenance", "DatingActivity": "provenance", "PlotRow": "presentation", "Figure": "presentation", "Location": "place"}
 
 _PUBLIC = {"rdf": RDF, "rdfs": RDFS, "owl": OWL, "xsd": XSD, "prov": PROV, "time": TIME, "dcat": DCAT, "crm": CRM, "crmdig": CRMDIG}
 
@@ -88,7 +118,7 @@ def class_edges(spark: SparkSession, names: Names = Names()) -> DataFrame:
 
 
 def properties(spark: SparkSession, names: Names = Names()) -> DataFrame:
-    rows = [(iri(p, names), iri(d, names), iri(r, names)) for d, of in PROPERTIES.items() for p, r in of.items()]
+    rows = [(iri(p, names), iri(d, names), iri(r, names)) for p, d, r in PROPERTIES]
     return spark.createDataFrame(rows, "prop string, domain string, range string")
 
 
@@ -115,12 +145,11 @@ def build_vocabulary(spark: SparkSession, names: Names = Names(), docs: dict[str
     for c in CLASSES:
         add(iri(c, names), TYPE, OWL + "Class")
         describe(iri(c, names), c)
-    for domain, of in PROPERTIES.items():
-        for p, r in of.items():
-            add(iri(p, names), TYPE, OWL + ("DatatypeProperty" if r.startswith("xsd:") else "ObjectProperty"))
-            add(iri(p, names), RDFS + "domain", iri(domain, names))
-            add(iri(p, names), RDFS + "range", iri(r, names))
-            describe(iri(p, names), p)
+    for p, domain, r in PROPERTIES:
+        add(iri(p, names), TYPE, OWL + ("DatatypeProperty" if r.startswith("xsd:") else "ObjectProperty"))
+        add(iri(p, names), RDFS + "domain", iri(domain, names))
+        add(iri(p, names), RDFS + "range", iri(r, names))
+        describe(iri(p, names), p)
     edges = class_edges(spark, names).select(F.col("sub").alias("s"), F.lit(SUBCLASS).alias("p"), F.col("sup").alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_dt"), F.lit(None).cast("string").alias("o_lang"))
     return spark.createDataFrame(rows, TRIPLE).unionByName(edges)
 

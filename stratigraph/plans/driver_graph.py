@@ -190,7 +190,7 @@ def resolved_references(spark, sf_dir):
     return G.resolve_references(keyed, keyed.where("the_id % 10 = 1"), N).select("s", "o")
 
 
-@_query(f"SELECT DISTINCT p AS term FROM {_GRAPH} WHERE p NOT IN ({', '.join(_q(N.vocab + p) for of in V.PROPERTIES.values() for p in of)})")
+@_query(f"SELECT DISTINCT p AS term FROM {_GRAPH} WHERE p NOT IN ({', '.join(_q(N.vocab + p) for p, _, _ in V.PROPERTIES)})")
 def undocumented_predicates(spark, sf_dir):
     """Predicates of the graph that its vocabulary doesn't describe: those of public vocabularies."""
     used = graph(spark, sf_dir).select(F.col("p").alias("term"))
