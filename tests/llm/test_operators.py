@@ -493,6 +493,33 @@ def test_language(spark):
     assert {r.lang_pred for r in langid.predict(docs.limit(5), blank).collect()} == {"und"}
 
 
+def test_language_equals_plain_cosines(spark):
+    """N-grams counted in a dictionary, cosines summed term by term."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.fit(docs, buckets=512)
+    mask = (1 << 64) - 1
+
+    def plain(text):
+        letters = re.sub(r"[\W\d_]+", " ", (text or "").lower()).strip()
+        if not any(map(str.isalpha, letters)):
+            return "und", 0.0
+        c = [ord(x) for x in f" {letters} "]
+        codes = c[1:-1] + [(a * 0x9E3779B97F4A7C15 + b) & mask for a, b in itertools.pairwise(c)]
+        codes += [(((a * 0x9E3779B97F4A7C15 + b) & mask) * 0xC2B2AE3D27D4EB4F + d) & mask for a, b, d in zip(c, c[1:], c[2:])]
+        counts = collections.Counter(((x * 0xFF51AFD7ED558CCD & mask) >> 40) % 512 for x in codes)
+        v = {k: np.log1p(n) * model.idf[k] for k, n in counts.items()}
+        length = np.sqrt(sum(x * x for x in v.values()))
+        cosines = [sum(x * row[k] for k, x in v.items()) / length for row in model.at]
+        best = max(range(len(cosines)), key=cosines.__getitem__)
+        return model.langs[model.of[best]], cosines[best]
+
+    texts = {r.doc_id: r.text for r in docs.limit(60).collect() if len(r.text or "") < 4000}
+    found = {r.doc_id: r for r in langid.predict(docs, model).collect()}
+    for i, text in texts.items():
+        lang, score = plain(text)
+        assert found[i].lang_pred == lang and abs(found[i].score - score) < 1e-4
+
+
 def test_language_rejects_what_was_not_learnt(spark):
     import base64
 

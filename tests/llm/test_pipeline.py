@@ -23,3 +23,48 @@ def test_pipeline_of_nothing(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf)
         assert docs.count() == 0
+
+
+def test_pipeline_equals_brute_force(spark):
+    """All five stages in plain Python over whole texts; the language model's rows are rejected one by one."""
+    import collections
+    import itertools
+    import re
+
+    import sentencepiece
+
+    from stratigraph.llm import langid, sentencepiece_fst
+
+    sf = "/root/testdata/sf0.001"
+    table = spark.read.parquet(f"{sf}/documents.parquet")
+    docs = {r.doc_id: r.text for r in table.collect()}
+    model = langid.fit(table)
+    docs = {i: t for i, t in docs.items() if not model.predict(t, langid.REACH)[2]}
+
+    lower = lambda t: re.sub("[A-Z]", lambda m: m[0].lower(), t or "")
+    key = lambda line: lower(line.strip(" \t\n\x0b\x0c\r"))
+    where = collections.defaultdict(set)
+    for i, t in docs.items():
+        for line in (t or "").split("\n"):
+            where[key(line)].add(i)
+    goes = lambda i, line: len(key(line)) >= 20 and len(where[key(line)]) >= 3 and max(where[key(line)]) != i
+    docs = {i: "\n".join(x for x in (t or "").split("\n") if not goes(i, x)) for i, t in docs.items()}
+
+    words = {i: lower(t).split() for i, t in docs.items()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} or ({tuple(w)} if w else set()) for i, w in words.items()}
+    part = {i: i for i in sets}
+    linked = [(a, b) for a, b in itertools.combinations(sets, 2) if (both := len(sets[a] & sets[b])) and 100 * both >= 80 * len(sets[a] | sets[b])]
+    for _ in sets:
+        for a, b in linked:
+            part[a] = part[b] = min(part[a], part[b])
+    docs = {i: t for i, t in docs.items() if part[i] == i}
+
+    terms = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower(t))
+    windows = {tuple(w[k : k + 10]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect() for w in [terms(r.text)] for k in range(max(1, len(w) - 9) if w else 0)}
+    sizes = {len(w) for w in windows}
+    leaks = lambda t: any(tuple(w[k : k + n]) in windows for w in [terms(t)] for n in sizes for k in range(len(w) - n + 1))
+    docs = {i: t for i, t in docs.items() if not leaks(t)}
+
+    library = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_fst.read_model(spark))
+    found = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, sf).collect()}
+    assert found == {i: library.encode(t) for i, t in docs.items()} and 0 < len(found) < 200
