@@ -26,6 +26,7 @@ out, and an empty table gives none. Models with a character map are refused.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -172,7 +173,8 @@ class Transducer:
         found = -self.score[piece] if not self.bpe else 0.0 if last < 0 or self.stays(last, piece) else _INF
         if len(self.weights) >= WEIGHTS:
             self.weights.clear()
-        self.weights[last, piece] = found
+        if self.bpe:
+            self.weights[last, piece] = found
         return found
 
     def shortest_path(self, text: str) -> list[int]:
@@ -180,17 +182,15 @@ class Transducer:
 
         A state is a position and the piece that leads there. States of one position differ in nothing but their weight
         in a unigram model, and in a BPE model all but one of them are infinitely far, as the start of a text has one
-        encoding; so one state a position is enough. States are taken by weight, and of equal ones the furthest first; no
-        arc weighs less than nothing, so a position's first state is its nearest.
+        encoding; so one state a position is enough. No arc weighs less than nothing, so states are taken by weight and a
+        position's first state is its nearest; in a BPE model all finite weights are equal, and the longest arc of the
+        newest state is taken first. Weights are worked out when an arc is taken.
         """
-        trie, weight, known, n = self.trie, self.weight, self.weights, len(text)
-        ahead: list[tuple[float, int, int, int]] = [(0.0, 0, -1, 0)]  # weight, position (negative), piece, where it starts
+        trie, weight, known, bpe, n = self.trie, self.weight, self.weights, self.bpe, len(text)
+        ahead: list[tuple[float, int, int, int, int]] = []  # weight, end, piece, start, piece before
         way: dict[int, tuple[int, int]] = {}
+        here, at, last, start = 0.0, 0, -1, 0
         while True:
-            here, end, last, start = heappop(ahead)
-            at = -end
-            if at in way:
-                continue
             way[at] = last, start
             if at == n:
                 break
@@ -201,15 +201,27 @@ class Transducer:
                     break
                 end += 1
                 piece = node.get("")
-                if piece is not None and end not in way:
+                if piece is not None:
                     single |= end == at + 1
-                    step = known.get((last, piece))
-                    if step is None:
-                        step = weight(last, piece)
-                    if step != _INF:
-                        heappush(ahead, (here + step, -end, piece, at))
+                    if bpe:
+                        ahead.append((here, end, piece, at, last))
+                    else:
+                        heappush(ahead, (here + weight(last, piece), end, piece, at, last))
             if not single:  # byte fallback
-                heappush(ahead, (here + self.worst, -at - 1, -2, at))
+                if bpe:
+                    ahead.append((here, at + 1, -2, at, last))
+                else:
+                    heappush(ahead, (here + self.worst, at + 1, -2, at, last))
+            while True:  # the next state that hasn't been reached
+                here, at, piece, start, last = ahead.pop() if bpe else heappop(ahead)
+                if at in way:
+                    continue
+                if bpe and piece >= 0 and last >= 0:
+                    step = known.get((last, piece))
+                    if (weight(last, piece) if step is None else step) == _INF:
+                        continue
+                last = piece
+                break
         ids: list[int] = []
         end = n
         while end > 0:
@@ -228,7 +240,7 @@ class Transducer:
             small = part[a:b]
             ids = self.known.get(small) if b - a < len(part) else None
             if ids is None:
-                ids = np.array(self.shortest_path(small), dtype="<i4").tobytes()
+                ids = array("i", self.shortest_path(small)).tobytes()
                 self.remember(small, ids)
             out.append(ids)
         ids = b"".join(out)
