@@ -21,7 +21,8 @@ def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     good = _table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    return lm_score.cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
+    scores = lm_score.cross_entropy_difference(_table(spark, sf_dir, "documents"), good)
+    return scores.withColumns({c: F.round(c, 6) for c in ("target_bits", "background_bits", "score")})
 
 
 def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,6 +79,35 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped, sha256(
 FROM d GROUP BY doc_id
 """
 
+#: Witten-Bell bigrams with add-one unigrams; '' stands before a first word, and is an entry too.
+_SCORES = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w, doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) AS good FROM documents),
+u AS (SELECT doc_id, good, unnest(list_transform(range(0, len(w)), lambda i: {{'a': CASE WHEN i = 0 THEN '' ELSE w[i] END, 'b': w[i + 1]}})) AS p FROM w),
+t AS (SELECT doc_id, good, p.a AS a, p.b AS b FROM u),
+pairs AS (SELECT a, b, count(*) AS n, count(*) FILTER (good) AS m FROM t GROUP BY a, b),
+f AS (SELECT a, sum(n) AS fn, sum(m) AS fm, count(*) AS kn, greatest(count(*) FILTER (m > 0), 1) AS km FROM pairs GROUP BY a),
+o AS (SELECT b, sum(n) + 1 AS un, sum(m) + 1 AS um FROM pairs GROUP BY b),
+e AS (SELECT sum(n) AS tn, sum(m) AS tm, count(DISTINCT b) + 1 AS entries FROM pairs),
+loss AS (SELECT a, b, -log2((m + km * um / (tm + entries)) / (fm + km)) AS target, -log2((n + kn * un / (tn + entries)) / (fn + kn)) AS background FROM pairs JOIN f USING (a) JOIN o USING (b), e),
+d AS (SELECT doc_id, count(*) AS n_tokens, avg(target) AS target, avg(background) AS background FROM t JOIN loss USING (a, b) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_tokens, 0) AS n_tokens, round(target, 6) AS target_bits, round(background, 6) AS background_bits, round(target - background, 6) AS score FROM documents LEFT JOIN d USING (doc_id)
+"""
+
+#: Sets that are linked share one of their rarest shingles, so many that fewer could not be left out of one of them.
+_NEAR = rf"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, hash(unnest(CASE WHEN len(w) < 2 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END)) AS h FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+r AS (SELECT doc_id, h, n, row_number() OVER (PARTITION BY doc_id ORDER BY f, h) AS place FROM s JOIN n USING (doc_id) JOIN (SELECT h, count(*) AS f FROM s GROUP BY h) USING (h)),
+prefix AS (SELECT doc_id, h, n FROM r WHERE place <= n - CAST(ceil(n * 0.8) AS BIGINT) + 1),
+pairs AS (SELECT DISTINCT a.doc_id AS x, b.doc_id AS y, a.n AS nx, b.n AS ny FROM prefix a JOIN prefix b USING (h) WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+links AS (SELECT x, y FROM pairs JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y AND a.h = b.h GROUP BY x, y, nx, ny HAVING 100 * count(*) >= 80 * (nx + ny - count(*))),
+both_ AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT x, y FROM both_ UNION SELECT r.x, b.y FROM reach r JOIN both_ b ON r.y = b.x),
+c AS (SELECT x AS doc_id, least(x, min(y)) AS component_id FROM reach GROUP BY x)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(component_id, doc_id) AS component_id, coalesce(component_id, doc_id) = doc_id AS kept FROM w LEFT JOIN n USING (doc_id) LEFT JOIN c USING (doc_id)
+"""
+
 #: A turn's template has 8 + 8 + 7 characters; each control string and backslash in a text gets one more.
 _CHAT = r"""
 WITH t AS (
@@ -122,4 +152,4 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 
 def oracle_sql() -> dict[str, str]:
     """The others aren't expressible in SQL; tests/llm holds them to brute force, round trips or held-out rows."""
-    return {"op1_line_dedup": _LINES, "op3_main_text": _MAIN, "op4_chat_format": _CHAT, "op6_decontaminate": _LEAKS, "op10_top_k": _TOP}
+    return {"op1_line_dedup": _LINES, "op2_lm_score": _SCORES, "op5_near_duplicates": _NEAR, "op3_main_text": _MAIN, "op4_chat_format": _CHAT, "op6_decontaminate": _LEAKS, "op10_top_k": _TOP}
