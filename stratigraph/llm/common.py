@@ -66,6 +66,11 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, "2000")
 
 
+def whole_id(name: str):
+    """The id as a whole number. An id that isn't one (a decimal, a text) is an error, as it could not be told apart."""
+    return F.col(name).cast("bigint")
+
+
 def row_key(text: str = "text"):
     """Tells rows of one doc_id with different texts apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

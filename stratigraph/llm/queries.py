@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontamination, html_text, langid, line_dedup, lm_score, minhash, sentencepiece_fst, suffix_dedup, topk
+from . import byte_bpe, chat, decontamination, fill_in_middle, html_text, langid, line_dedup, lm_score, minhash, sentencepiece_fst, suffix_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,8 +64,22 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = byte_bpe.read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    encoded = byte_bpe.encode(_table(spark, sf_dir, "documents"), ranks, pattern=public_tokenizers.PATTERN)
+    return byte_bpe.decode(encoded, ranks).select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fill_in_middle.fill_in_middle(_table(spark, sf_dir, "documents"))
+    again = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(again.cast("binary"), 256).alias("restored_sha256"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_lm_score, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op7_suffix_dedup, op8_sentencepiece, op9_language, op10_top_k)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_lm_score, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op7_suffix_dedup, op8_sentencepiece, op9_language, op10_top_k, op12_byte_bpe, op13_fill_in_middle)}
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -149,7 +163,18 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+_MIDDLE = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
+n AS (SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
+k AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+  CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM n),
+p AS (SELECT *, array_to_string(u[1:a], '') AS pre, array_to_string(u[a + 1:b], '') AS mid, array_to_string(u[b + 1:], '') AS suf FROM k)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(text) AS restored_sha256
+FROM p
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The others aren't expressible in SQL; tests/llm holds them to brute force, round trips or held-out rows."""
-    return {"op1_line_dedup": _LINES, "op2_lm_score": _SCORES, "op5_near_duplicates": _NEAR, "op3_main_text": _MAIN, "op4_chat_format": _CHAT, "op6_decontaminate": _LEAKS, "op10_top_k": _TOP}
+    return {"op1_line_dedup": _LINES, "op2_lm_score": _SCORES, "op5_near_duplicates": _NEAR, "op3_main_text": _MAIN, "op4_chat_format": _CHAT, "op6_decontaminate": _LEAKS, "op10_top_k": _TOP, "op13_fill_in_middle": _MIDDLE}
