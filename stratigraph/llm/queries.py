@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import byte_bpe, chat, decontamination, fill_in_middle, html_text, langid, line_dedup, lm_score, minhash, sentencepiece_fst, suffix_dedup, topk
+from . import byte_bpe, chat, collocations, decontamination, fill_in_middle, html_text, langid, line_dedup, lm_score, minhash, sentencepiece_fst, suffix_dedup, topk
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -64,6 +64,10 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,7 +83,7 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_line_dedup, op2_lm_score, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op7_suffix_dedup, op8_sentencepiece, op9_language, op10_top_k, op12_byte_bpe, op13_fill_in_middle)}
+    return {f.__name__: f for f in (op1_line_dedup, op2_lm_score, op3_main_text, op4_chat_format, op5_near_duplicates, op6_decontaminate, op7_suffix_dedup, op8_sentencepiece, op9_language, op10_top_k, op11_collocations, op12_byte_bpe, op13_fill_in_middle)}
 
 
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -163,6 +167,23 @@ r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DES
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+#: Phrases are told by their words, joined by chr(1).
+_PHRASES = rf"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{_UPPER}', '{_UPPER.lower()}'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+g AS (SELECT lang, k, array_to_string(w[i:i + k - 1], chr(1)) AS g FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k)),
+f AS (SELECT lang, g, k, count(*) AS f FROM g GROUP BY lang, g, k),
+n AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, g, k, f AS a, string_split(g, chr(1)) AS ws FROM f WHERE k >= 2 AND f >= 100),
+cuts AS (SELECT lang, g, a, ws, k, cut, array_to_string(ws[1:cut], chr(1)) AS x, array_to_string(ws[cut + 1:], chr(1)) AS y FROM (SELECT *, unnest(range(1, k)) AS cut FROM c)),
+s AS (SELECT cuts.*, x.f AS l, y.f AS r, n, CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score FROM cuts JOIN f x ON x.lang = cuts.lang AND x.g = cuts.x JOIN f y ON y.lang = cuts.lang AND y.g = cuts.y JOIN n ON n.lang = cuts.lang),
+best AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+gone AS (SELECT DISTINCT a.lang, a.g FROM c a JOIN c b ON a.lang = b.lang AND a.k < b.k AND 100 * b.a >= 100 * a.a AND contains(chr(1) || b.g || chr(1), chr(1) || a.g || chr(1))),
+kept AS (SELECT lang, replace(g, chr(1), ' ') AS phrase, a, l, r, n, score FROM best WHERE NOT EXISTS (SELECT 1 FROM gone WHERE gone.lang = best.lang AND gone.g = best.g))
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INT) AS rank, phrase, a, l, r, n, score FROM kept
+QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 _MIDDLE = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u, sha256('1:' || CAST(doc_id AS VARCHAR)) AS h FROM documents),
 n AS (SELECT doc_id, text, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2, CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM d),
@@ -177,4 +198,4 @@ FROM p
 
 def oracle_sql() -> dict[str, str]:
     """The others aren't expressible in SQL; tests/llm holds them to brute force, round trips or held-out rows."""
-    return {"op1_line_dedup": _LINES, "op2_lm_score": _SCORES, "op5_near_duplicates": _NEAR, "op3_main_text": _MAIN, "op4_chat_format": _CHAT, "op6_decontaminate": _LEAKS, "op10_top_k": _TOP, "op13_fill_in_middle": _MIDDLE}
+    return {"op1_line_dedup": _LINES, "op2_lm_score": _SCORES, "op5_near_duplicates": _NEAR, "op3_main_text": _MAIN, "op4_chat_format": _CHAT, "op6_decontaminate": _LEAKS, "op10_top_k": _TOP, "op11_collocations": _PHRASES, "op13_fill_in_middle": _MIDDLE}
