@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.exprs import group_label
 from ..params import DatingParams
-from ..sources.scratch import carried, in_ranges
+from ..sources.scratch import carried, in_ranges, stored
 
 #: Tolerances (fixed values): half of the last published digit, with its error carried through.
 TOL_K, TOL_WIDTH, TOL_Q, TOL_Q_WARN, TOL_INT, TOL_MONOTONIC = 5e-5, 0.11, 1e-9, 1.1e-3, 0.5 + 1e-9, 1e-12
@@ -22,6 +22,12 @@ TOL_K, TOL_WIDTH, TOL_Q, TOL_Q_WARN, TOL_INT, TOL_MONOTONIC = 5e-5, 0.11, 1e-9,
 PARAMETER_COLUMNS = ["p_k_min", "p_k_max", "p_tau", "p_w", "p_t0"]
 LISTED = 10
 
+#: The columns that the checks read.
+REQUIRED = [
+    "the_site", "the_findspot", "n_stamps_die", "k_eff", "k_is_fallback", "sigma_eff", "eff_start", "eff_end", "midpoint_year", "q_start", "q_end", "q_interval",
+    "unc_start_years", "unc_end_years", "unc_interval_years", "unc_start_years_exact", "unc_end_years_exact", *PARAMETER_COLUMNS,
+]
+
 
 def _label() -> Column:
     return group_label(F.col("the_site"), F.col("the_findspot"))
@@ -184,11 +190,11 @@ def median_where(x: Column, cond: Column, approximate: bool = False) -> Column:
     return F.percentile_approx(value, 0.5, 100_000) if approximate else F.median(value)
 
 
-def middles(df: DataFrame, by: str, x: str) -> DataFrame:
+def middles(df: DataFrame, by: str, x: str, n: str | None = None) -> DataFrame:
     """by, low, high: the two middle values of x for each value of `by` (the same one twice where their number is odd),
-    exact. Equal values are counted, the counts cut into ranges, and each range's sum is carried on, so no task holds all
+    exact. n: a column with the number of rows that each row stands for. Equal values are counted, the counts cut into ranges, and each range's sum is carried on, so no task holds all
     values as a built-in median does."""
-    counts = df.where(F.col(x).isNotNull()).groupBy(by, x).agg(F.count("*").alias("n"))
+    counts = df.where(F.col(x).isNotNull()).groupBy(by, x).agg((F.sum(n) if n else F.count("*")).alias("n"))
     ranges = in_ranges(counts, by, x)
     ends = ranges.groupBy(by, "_part").agg(F.sum("n").alias("m"))  # a row for each range and value of `by`
     ends = ends.select(by, "_part", F.coalesce(F.sum("m").over(Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("carried"), F.sum("m").over(Window.partitionBy(by)).alias("total"))
@@ -199,7 +205,9 @@ def middles(df: DataFrame, by: str, x: str) -> DataFrame:
 
 
 def epoch_drift(df: DataFrame, cut: int = 100) -> DataFrame:
-    """Correlations of width, sigma, q_interval and q_start with the midpoint; median widths before and after `cut`."""
+    """Correlations of width, sigma, q_interval and q_start with the midpoint; median widths before and after `cut`. The
+    columns are stored once, as two passes read them."""
+    df = stored(df.select("midpoint_year", "eff_start", "eff_end", "sigma_eff", "q_interval", "q_start"), "drift")
     year, width = F.col("midpoint_year"), F.col("eff_end") - F.col("eff_start")
     sums = df.agg(
         pearson(width, year).alias("r_width"), pearson(F.col("sigma_eff"), year).alias("r_sigma"), pearson(F.col("q_interval"), year).alias("r_q_interval"), pearson(F.col("q_start"), year).alias("r_q_start"),
@@ -240,9 +248,17 @@ def row_checks() -> list[Check]:
     return [k_check(), width_check(), sharpness_check("q_start", "unc_start_years_exact", "h"), sharpness_check("q_end", "unc_end_years_exact", "h'"), undefined_together_check(), no_placeholder_check(), integer_casts_check()]
 
 
-def all_checks(df: DataFrame) -> DataFrame:
-    """All row checks in one pass, the parameters in one, and an ordered one for each monotonic pair."""
-    found = [check_parameters(df), checked(df, row_checks()), check_monotonic(df, "q_start", "unc_start_years_exact", "i"), check_monotonic(df, "q_end", "unc_end_years_exact", "i'")]
+def all_checks(df: DataFrame, required: list[str] = REQUIRED, expected: int | None = None) -> DataFrame:
+    """The checks in their order, with two gates: where a column is missing or there is no row, only that is reported; where
+    a parameter differs between rows, nothing after it is, since every later formula reads the parameters. Past the gates
+    all row checks are one pass, and each monotonic pair an ordered one."""
+    columns = check_columns(df, required)
+    if columns.first().status == "fail":
+        return columns
+    parameters = check_parameters(df)
+    found = [columns, *([check_count(df, expected)] if expected is not None else []), parameters]
+    if parameters.first().status != "fail":
+        found += [checked(df, row_checks()), check_monotonic(df, "q_start", "unc_start_years_exact", "i"), check_monotonic(df, "q_end", "unc_end_years_exact", "i'")]
     return reduce(DataFrame.unionByName, found)
 
 

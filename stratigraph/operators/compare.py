@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from functools import reduce
 
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.exprs import normalise_snapshot
+from ..sources.scratch import carried, in_ranges, stored
 from ..sources.writers import ntriples_line
 
 TERM = ["s", "p", "o", "o_kind", "o_dt", "o_lang"]
@@ -69,6 +73,50 @@ def graph_fingerprint(t: DataFrame, mask_snapshot: bool = True) -> DataFrame:
     return t.select(line.alias("line")).distinct().agg(F.count("*").alias("n"), F.coalesce(F.bit_xor(h), F.lit(0)).alias("xor"), F.coalesce(F.sum(h.cast("decimal(38,0)")), F.lit(0)).cast("string").alias("total"))
 
 
+def digest_lines(lines: DataFrame, leaf: int = 1 << 18) -> DataFrame:
+    """One row: n, sha256 of the distinct lines of column `line` in order, joined by line feeds. Up to `leaf` lines that is
+    the SHA-256 of the whole; beyond, the lines of each leaf (so many in a row) are hashed, then the leaves' digests in
+    their order as lines again, up to one root. The order comes from ranges, and a leaf is read as a sorted stream, so
+    nothing is gathered; the result depends on the lines alone."""
+    rows, first = lines.select("line").distinct(), None
+    while True:
+        ranges = in_ranges(rows, "line") if first is None else rows
+        if first is None:
+            before = carried(ranges, F.count("*"), F.sum)
+            at = F.row_number().over(Window.partitionBy("_part").orderBy("line")) + F.coalesce("carried", F.lit(0)) - 1
+            rows = ranges.join(before, "_part").select(at.alias("at"), "line")
+        leaves = rows.select(F.floor(F.col("at") / leaf).alias("leaf"), "at", "line").repartition("leaf").sortWithinPartitions("leaf", "at")
+        hashed = stored(leaves.mapInArrow(_leaf_digests, "at bigint, n bigint, line string"), "digests")
+        if first is None:
+            first = hashed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        top = hashed.limit(2).collect()
+        if len(top) < 2:
+            return first.select("n", F.lit(top[0].line if top else hashlib.sha256(b"").hexdigest()).alias("sha256"))
+        rows = hashed.select("at", "line")
+
+
+def _leaf_digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """at (the leaf's number), n, line (its digest) of each leaf; the rows come leaf by leaf, in order."""
+    row = lambda leaf, n, h: pa.RecordBatch.from_pydict({"at": [leaf], "n": [n], "line": [h.hexdigest()]}, pa.schema([("at", pa.int64()), ("n", pa.int64()), ("line", pa.string())]))
+    now, n, digest = None, 0, None
+    for batch in batches:
+        for leaf, line in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist()):
+            if leaf != now:
+                if now is not None:
+                    yield row(now, n, digest)
+                now, n, digest = leaf, 0, hashlib.sha256()
+            digest.update(("\n" if n else "").encode() + line.encode())
+            n += 1
+    if now is not None:
+        yield row(now, n, digest)
+
+
+def graph_digest(t: DataFrame, mask_snapshot: bool = True, leaf: int = 1 << 18) -> DataFrame:
+    """One row: n and the exact digest of the graph's N-Triples lines in order (see digest_lines)."""
+    line = normalise_snapshot(ntriples_line()) if mask_snapshot else ntriples_line()
+    return digest_lines(t.select(line.alias("line")), leaf)
+
+
 def parity(a: DataFrame, b: DataFrame) -> DataFrame:
     """One row: equal, and both fingerprints."""
     x, y = (graph_fingerprint(t).select(F.struct("n", "xor", "total").alias(name)) for t, name in ((a, "a"), (b, "b")))

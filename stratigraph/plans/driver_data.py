@@ -56,11 +56,21 @@ def dated(spark: SparkSession, sf_dir: str, p: DatingParams = PARAMS, legacy: bo
 
 
 _known: dict[tuple, tuple[str, StructType]] = {}
+BASE = ("lineitem", "part", "supplier", "nation")
+
+
+def tables_state(spark: SparkSession, sf_dir: str, names: tuple[str, ...] = BASE) -> tuple:
+    """What tells the tables' files from other ones, in any store that Spark reads: their number, and a sum over their
+    paths, lengths and times of change."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load([f"{sf_dir}/{n}.parquet" for n in names])
+    state = files.select(F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(38,0)").alias("h")).agg(F.count("*"), F.sum("h")).first()
+    return tuple(state)
 
 
 def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame], partition_by: str | None = None) -> DataFrame:
-    """What `build` gives, stored once for each session and folder, and built again if it has been cleared away."""
-    key = (spark.sparkContext.applicationId, *key)
+    """What `build` gives, stored once for each session, folder (the second part of `key`) and state of the tables in it,
+    and built again if it has been cleared away."""
+    key = (spark.sparkContext.applicationId, *key, tables_state(spark, key[1]))
     if key in _known:
         path, schema = _known[key]
         try:
@@ -68,8 +78,9 @@ def _once(spark: SparkSession, key: tuple, build: Callable[[], DataFrame], parti
         except AnalysisException:
             del _known[key]
     df, path = build(), scratch_path(spark, key[1])
+    found = stored(df, key[1], partition_by, path)
     _known[key] = path, df.schema
-    return stored(df, key[1], partition_by, path)
+    return found
 
 
 def _spread(groups: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from stratigraph.plans import driver_data, driver_graph  # noqa: F401  (registers its queries)
+from stratigraph.plans import driver_calibration, driver_data, driver_graph  # noqa: F401  (registers their queries)
 from stratigraph.plans.driver_data import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
