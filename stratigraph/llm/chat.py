@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import whole_id
+
 #: Control strings that must not survive in a text (fixed values of the template and of common others).
 CONTROL = ["<|", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 
@@ -113,7 +115,7 @@ def format_turns(conversations: DataFrame, parts: str | None = None) -> DataFram
 
     own = F.array(F.struct(*[(F.lit("text") if f.name == "kind" else F.col("text").cast("string") if f.name == "text" else F.lit(None).cast(f.dataType)).alias(f.name) for f in PART.fields]))
     rich = F.coalesce(F.col(parts).cast(T.ArrayType(PART)), own) if parts else own
-    return conversations.select(F.col("conv_id").cast("bigint").alias("conv_id"), F.col("turn").cast("bigint").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), rich.alias("parts")).mapInArrow(run, FORMATTED)
+    return conversations.select(whole_id("conv_id").alias("conv_id"), whole_id("turn").alias("turn"), F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"), rich.alias("parts")).mapInArrow(run, FORMATTED)
 
 
 _MEDIA = re.compile("(" + re.escape(MEDIA) + ")")

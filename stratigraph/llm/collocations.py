@@ -2,15 +2,18 @@
 
 A word's id is the hash of its language and itself. Word counts are summed on Spark by id, and should two words share an
 id, all is hashed anew with another salt; so ids are exact, and an n-gram is the list of its words' ids. N-grams are
-counted in three passes over the texts: words, pairs of frequent words, phrases of three words and more whose pairs are
-all frequent. As every occurrence of a phrase is one of each of its parts, nothing frequent is left out.
+counted in four passes over the texts: words, pairs of frequent words, triples of frequent pairs, longer phrases whose
+triples are all frequent. As every occurrence of a phrase is one of each of its parts, nothing frequent is left out.
 
 In a task, a HAT-trie holds the counts: a shallow trie over word ids (the first word, then also the second), under it
 hash containers of the words that remain. A container that grows large bursts into containers by its next word. When the
-trie holds `LIMIT` entries, its largest subtrees are spilled as sorted runs until half of it is left. Spark deals the runs
-out by prefix (the first two words), so that a frequent first word is spread, and merges those of a prefix partition.
+trie holds `LIMIT` entries, its largest subtrees are spilled as sorted runs until half of it is left. A run is a row: the
+first word, and the words that follow and their counts as arrays. Spark deals the runs out by prefix and sorts them, and
+each prefix partition is merged as a stream, which puts out the frequent phrases alone. A prefix is the first word; of
+those with a thousandth of all words or more (a thousand at most) it is the word and a slot by the next one, so that a
+frequent word's runs are spread.
 
-What a pass knows of the frequent words or pairs is a bit table of a size that is bounded (`FILTER_BITS`), whatever the
+What a pass knows of the frequent phrases before is a bit table of a size that is bounded (`FILTER_BITS`), whatever the
 corpus: each is entered twice, strangers that pass by chance are counted too and go with the rare ones after the merge.
 
 Words are the parts of a lower-cased (A-Z) text between spaces, tabs and piece ends (`[.,;:!?\\x0A-\\x0D]`); phrases don't
@@ -37,6 +40,9 @@ TOP = 2000
 COVERED = 100  # percent of a phrase's occurrences that a longer one has to hold to replace it
 LIMIT = 500_000  # entries of a trie, and words of a task's table
 BURST = 4096  # entries of a container
+HOT, SLOTS = 1000, 64  # a word with a HOT-th of all words has so many slots
+RUN = 1 << 14  # entries of a run's row
+TOGETHER = 1 << 20  # entries that are merged together
 FILTER_BITS = 27  # a bit table has at most 2 ** FILTER_BITS bits
 SLICE = 4 << 20  # bytes of text that are worked on together
 STRETCH = 1 << 20  # bytes that are hashed, and words that are counted together
@@ -48,7 +54,7 @@ _KINDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = _END
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
-_IDS = [f"w{i}" for i in range(1, MAX_WORDS + 1)]
+RUNS = "w1 bigint, slot int, rest binary, counts binary"
 
 
 def _stretches(kinds: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -116,12 +122,22 @@ class BitTable:
         return found
 
 
-def _pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return a ^ (b << np.uint64(31) | b >> np.uint64(33))
+def _gram_keys(ids: np.ndarray, size: int) -> np.ndarray:
+    """One key for each `size` ids in a row."""
+    n = len(ids) - size + 1
+    key = ids[:n]
+    for i in range(1, size):
+        key = (key << np.uint64(31) | key >> np.uint64(33)) ^ ids[i : n + i]
+    return key
 
 
-def _pair_key_column(a: Column, b: Column) -> Column:
-    return a.bitwiseXOR(F.shiftleft(b, 31).bitwiseOR(F.shiftrightunsigned(b, 33)))
+def _gram_key_column(size: int) -> Column:
+    """The same for the list `w`."""
+    at = lambda i: F.get("w", F.lit(i))
+    key = at(0)
+    for i in range(1, size):
+        key = F.shiftleft(key, 31).bitwiseOR(F.shiftrightunsigned(key, 33)).bitwiseXOR(at(i))
+    return key
 
 
 class HatTrie:
@@ -167,16 +183,14 @@ class HatTrie:
                 self.children.setdefault(key[:8], {})[key[8:]] = n
             self.counts = None
 
-        def sorted_rows(self) -> Iterator[tuple[bytes, int]]:
+        def entries(self) -> tuple[list[bytes], list[int]]:
             if self.counts is not None:
-                yield from sorted(self.counts.items())
-            for second, own in sorted(self.children.items()):
-                for rest, n in sorted(own.items()):
-                    yield second + rest, n
+                return list(self.counts), list(self.counts.values())
+            return [second + rest for second, own in self.children.items() for rest in own], [n for own in self.children.values() for n in own.values()]
 
     def add(self, rows: np.ndarray, counts: np.ndarray) -> None:
         """Rows of `width` ids, in order of the first."""
-        rest = np.ascontiguousarray(rows[:, 1:].astype(">u8")).view(f"V{8 * (self.width - 1)}").ravel().tolist()
+        rest = np.ascontiguousarray(rows[:, 1:]).view(f"V{8 * (self.width - 1)}").ravel().tolist()
         counts = counts.tolist()
         edges = np.flatnonzero(np.concatenate(([True], rows[1:, 0] != rows[:-1, 0], [True]))).tolist()
         firsts = rows[edges[:-1], 0].tolist()
@@ -188,47 +202,96 @@ class HatTrie:
             if own.size > self.burst and own.counts is not None and self.width > 2:
                 own.split()
 
-    def spilled(self, down_to: int) -> Iterator[pa.RecordBatch]:
-        """Takes whole subtrees out, the largest first, until `down_to` entries are left; a sorted run of them."""
+    def spilled(self, down_to: int, hot: frozenset[int] = frozenset()) -> Iterator[pa.RecordBatch]:
+        """RUNS: takes whole subtrees out, the largest first, until `down_to` entries are left; each is a sorted run, or
+        one for each slot if its word is hot."""
         taken = []
         for first in sorted(self.root, key=lambda x: -self.root[x].size):
             if self.size <= down_to:
                 break
             self.size -= self.root[first].size
             taken.append((first, self.root.pop(first)))
-        firsts, rests, counts = [], [], []
-        for first, own in sorted(taken):
-            for rest, n in own.sorted_rows():
-                firsts.append(first)
-                rests.append(rest)
-                counts.append(n)
-            if len(firsts) >= 100_000:
-                yield self._run(firsts, rests, counts)
-                firsts, rests, counts = [], [], []
-        if firsts:
-            yield self._run(firsts, rests, counts)
-
-    def _run(self, firsts: list[int], rests: list[bytes], counts: list[int]) -> pa.RecordBatch:
-        more = np.frombuffer(b"".join(rests), ">u8").reshape(len(firsts), -1).astype(np.uint64).view(np.int64)
-        columns = [np.array(firsts, np.uint64).view(np.int64), *more.T, np.array(counts, np.int64)]
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=[*_IDS[: self.width], "n"])
-
-
-def distinct_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each different row once, in order of the first id, and how often it is there."""
+        out: list[tuple[int, int, bytes, bytes]] = []
+        held = 0
+        for first, own in sorted(taken, key=lambda x: x[0]):
+            keys, n = own.entries()
+            rest, counts = np.frombuffer(b"".join(keys), np.uint64).reshape(len(keys), -1), np.array(n, np.int64)
+            slot = (rest[:, 0] % np.uint64(SLOTS)).astype(np.int64) if first in hot else np.zeros(len(keys), np.int64)
+            order = np.lexsort((*rest.T[::-1], slot))
+            rest, counts, slot = rest[order], counts[order], slot[order]
+            edges = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1], [True]))).tolist()
+            for a, b in zip(edges, edges[1:]):
+                out += [(first, int(slot[a]), rest[i : min(b, i + RUN)].tobytes(), counts[i : min(b, i + RUN)].tobytes()) for i in range(a, b, RUN)]
+            held += len(keys)
+            if held >= 100_000:
+                yield self._runs(out)
+                out, held = [], 0
+        if out:
+            yield self._runs(out)
+
+    @staticmethod
+    def _runs(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
+        first, slot, rest, counts = zip(*rows)
+        return pa.RecordBatch.from_arrays([pa.array(np.array(first, np.uint64).view(np.int64)), pa.array(slot, pa.int32()), pa.array(rest, pa.binary()), pa.array(counts, pa.binary())], names=["w1", "slot", "rest", "counts"])
+
+
+def distinct_rows(rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Each different row once, in order of the first id, and how often it is there (or the sum of its counts)."""
     key = rows[:, 0]
     for i in range(1, rows.shape[1]):
         key = key * np.uint64(0x9E3779B97F4A7C15) + rows[:, i]
     order = np.argsort(key)
-    rows, key = rows[order], key[order]
+    in_order, key = rows[order], key[order]
     new = np.concatenate(([True], key[1:] != key[:-1]))
-    if (rows[1:] != rows[:-1])[~new[1:]].any():  # different rows of one key
-        rows = rows[np.lexsort(rows.T[::-1])]
-        new = np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1)))
+    if (in_order[1:] != in_order[:-1])[~new[1:]].any():  # different rows of one key
+        order = np.lexsort(rows.T[::-1])
+        in_order = rows[order]
+        new = np.concatenate(([True], (in_order[1:] != in_order[:-1]).any(axis=1)))
     at = np.flatnonzero(new)
-    rows, counts = rows[at], np.diff(np.concatenate((at, [len(rows)])))
+    sums = np.diff(np.concatenate((at, [len(rows)]))) if counts is None else np.add.reduceat(counts[order], at)
+    rows = in_order[at]
     order = np.argsort(rows[:, 0], kind="stable")
-    return rows[order], counts[order]
+    return rows[order], sums[order]
+
+
+def merged_runs(runs: DataFrame, width: int, min_count: int) -> DataFrame:
+    """w, n of the phrases that all runs together have min_count times. The runs of a prefix meet in one partition and
+    stand together in it; prefixes are summed some at a time, and one with very many runs keeps its distinct phrases only."""
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        size, bound, last = 0, TOGETHER, None
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            return distinct_rows(np.concatenate([r for r, _ in held]), np.concatenate([c for _, c in held]))
+
+        def out(rows: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+            often = counts >= min_count
+            rows, counts = rows[often], counts[often]
+            words = rows != 0
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(words.sum(axis=1)))).astype(np.int32)), pa.array(rows[words].view(np.int64)))
+            return pa.RecordBatch.from_arrays([lists, pa.array(counts)], names=["w", "n"])
+
+        for batch in batches:
+            for first, slot, rest, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                if size >= bound:
+                    rows, sums = summed()
+                    if (first, slot) != last:
+                        yield out(rows, sums)
+                        held, size, bound = [], 0, TOGETHER
+                    else:
+                        held, size, bound = [(rows, sums)], len(rows), max(TOGETHER, 2 * len(rows))
+                counts = np.frombuffer(counts, np.int64)
+                rows = np.empty((len(counts), width), np.uint64)
+                rows[:, 0] = np.array(first, np.int64).view(np.uint64)
+                rows[:, 1:] = np.frombuffer(rest, np.uint64).reshape(len(counts), -1)
+                held.append((rows, counts))
+                size += len(counts)
+                last = first, slot
+        if held:
+            yield out(*summed())
+
+    return runs.repartition("w1", "slot").sortWithinPartitions("w1", "slot").mapInArrow(merge, "w array<bigint>, n bigint")
 
 
 def _slices(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[tuple[Words, pa.Array]]:
@@ -271,41 +334,37 @@ def _word_counts(rows: DataFrame, salt: int) -> DataFrame:
     return sums.select("id", "least.lang", "least.word", "n", (F.col("least") != F.col("most")).alias("clash"))
 
 
-def _phrase_counts(rows: DataFrame, salt: int, known: BitTable, pairs: bool, max_words: int, min_count: int, limit: int) -> DataFrame:
-    """The counts of all pairs whose words `known` has, or of all longer phrases whose pairs it has; at least min_count."""
-    width = 2 if pairs else max_words
+def _phrase_counts(rows: DataFrame, salt: int, known: BitTable, hot: frozenset[int], sizes: range, min_count: int, limit: int) -> DataFrame:
+    """The counts, at least min_count, of phrases of some sizes whose parts of one word less than the least are in `known`."""
+    part, width = sizes.start - 1, sizes.stop - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = HatTrie(width, limit)
         for words, _ in _slices(batches, salt):
             ids = words.ids
-            together = words.piece[1:] == words.piece[:-1]
-            if pairs:
-                often = known.has(ids)
-                together &= often[1:] & often[:-1]
-            else:
-                at = np.flatnonzero(together)
-                together[at] = known.has(_pair_key(ids[at], ids[at + 1]))
-            for start in range(0, len(together), STRETCH):
-                stop = min(start + STRETCH, len(together))
-                at = start + np.flatnonzero(together[start:stop])
-                for n in range(2, width + 1):
-                    if n > 2:  # the next pair has to be there too
-                        at = at[at + n - 2 < len(together)]
-                        at = at[together[at + n - 2]]
-                    if len(at) and (pairs or n > 2):
+            if len(ids) < sizes.start:
+                continue
+            often = words.piece[part - 1 :] == words.piece[: len(ids) - part + 1]  # whether a known part begins there
+            at = np.flatnonzero(often)
+            often[at] = known.has(_gram_keys(ids, part)[at])
+            goes_on = often[1:] & (words.piece[part:] == words.piece[: len(ids) - part])  # one word more in the piece
+            goes_on &= often[:-1]
+            for start in range(0, len(goes_on), STRETCH):
+                at = start + np.flatnonzero(goes_on[start : start + STRETCH])
+                for n in sizes:
+                    if n > sizes.start:  # the next part has to be there too
+                        at = at[at + n - sizes.start < len(goes_on)]
+                        at = at[goes_on[at + n - sizes.start]]
+                    if len(at):
                         grams = np.zeros((len(at), width), np.uint64)
                         for i in range(n):
                             grams[:, i] = ids[at + i]
                         trie.add(*distinct_rows(grams))
                         if trie.size >= limit:
-                            yield from trie.spilled(limit // 2)
-        yield from trie.spilled(0)
+                            yield from trie.spilled(limit // 2, hot)
+        yield from trie.spilled(0, hot)
 
-    own = _IDS[:width]
-    runs = rows.mapInArrow(run, ", ".join(f"{c} bigint" for c in [*own, "n"]))
-    merged = runs.repartition("w1", "w2").groupBy(*own).agg(F.sum("n").alias("n"))
-    return merged.where(F.col("n") >= min_count).select(F.filter(F.array(*own), lambda x: x != 0).alias("w"), "n")
+    return merged_runs(rows.mapInArrow(run, RUNS), width, min_count)
 
 
 def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int = MAX_WORDS, filter_bits: int = FILTER_BITS, limit: int = LIMIT) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -323,11 +382,15 @@ def phrase_counts(docs: DataFrame, min_count: int = MIN_COUNT, max_words: int =
     words = words.drop("clash")
     totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
     often = words.where(F.col("n") >= min_count)
-    two = written(_phrase_counts(rows, salt, BitTable(often.select(F.col("id").alias("key")), filter_bits), True, max_words, min_count, limit), "pairs")
-    found = often.select(F.array("id").alias("w"), "n").unionByName(two)
-    if max_words > 2:
-        known = BitTable(two.select(_pair_key_column(F.get("w", F.lit(0)), F.get("w", F.lit(1))).alias("key")), filter_bits)
-        found = found.unionByName(written(_phrase_counts(rows, salt, known, False, max_words, min_count, limit), "phrases"))
+    total = totals.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = frozenset(r.id % 2**64 for r in often.where(F.col("n") * HOT >= total).select("id").collect())  # HOT rows at most
+    last = often.select(F.array("id").alias("w"), "n")
+    found = last
+    for sizes in (range(2, 3), range(3, 4), range(4, max_words + 1)):
+        if sizes.start <= max_words:
+            known = BitTable(last.select(_gram_key_column(sizes.start - 1).alias("key")), filter_bits)
+            last = written(_phrase_counts(rows, salt, known, hot, sizes, min_count, limit), f"phrases-{sizes.start}")
+            found = found.unionByName(last)
     return words, totals, found
 
 

@@ -67,8 +67,9 @@ def small_batches(spark: SparkSession) -> None:
 
 
 def whole_id(name: str):
-    """The id as a whole number. An id that isn't one (a decimal, a text) is an error, as it could not be told apart."""
-    return F.col(name).cast("bigint")
+    """The id as a whole number. One that isn't (a fraction, a text) is treated as a null id."""
+    c = F.col(name)
+    return F.when(c.try_cast("decimal(38,6)") == c.try_cast("bigint"), c.try_cast("bigint"))
 
 
 def row_key(text: str = "text"):

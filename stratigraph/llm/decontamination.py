@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches, written
+from .common import new_folder, small_batches, text_batches, whole_id, written
 
 WINDOW = 10
 SEGMENT_BYTES = 8 << 20
@@ -213,7 +213,7 @@ def build_index(docs: DataFrame, segment_bytes: int = SEGMENT_BYTES) -> DataFram
         if doc_ids:
             yield out()
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row_key"), F.col("text").cast("string").alias("text")).mapInArrow(build, INDEX_SCHEMA)
+    return docs.select(whole_id("doc_id").alias("doc_id"), F.xxhash64("text").alias("row_key"), F.col("text").cast("string").alias("text")).mapInArrow(build, INDEX_SCHEMA)
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Segment]]:
@@ -291,13 +291,13 @@ test_blocks.__test__ = False
 
 def find_matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_words: int = BLOCK_WORDS, segment_bytes: int = SEGMENT_BYTES) -> DataFrame:
     """doc_id, row_key, n_words, starts, ends, items of every document, over all blocks of the test items."""
-    index = written(build_index(docs, segment_bytes), "postings")
-    found = None
-    for block in test_blocks(benchmark, block_words):
-        more = exact_matches(index, TestPhrases(block, window))
-        found = more if found is None else found.unionByName(more)
+    spark = docs.sparkSession
+    index, folder = written(build_index(docs, segment_bytes), "postings"), new_folder(spark, "hits")
+    for block in test_blocks(benchmark, block_words):  # the driver holds one block at a time
+        exact_matches(index, TestPhrases(block, window)).write.mode("append").parquet(folder)
+    found = spark.read.schema(HIT_SCHEMA).parquet(folder)
     lists = [F.flatten(F.collect_list(c)).alias(c) for c in ("starts", "ends")]
-    hits = written(found, "hits").groupBy("segment", "place").agg(*lists, F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+    hits = found.groupBy("segment", "place").agg(*lists, F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
     none = F.array().cast("array<int>")
     joined = documents_of(index).join(hits, ["segment", "place"], "left")
     return joined.select("doc_id", "row_key", "n_words", F.coalesce("starts", none).alias("starts"), F.coalesce("ends", none).alias("ends"), F.coalesce("items", F.array().cast("array<string>")).alias("items"))

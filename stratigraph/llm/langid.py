@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches, written
+from .common import small_batches, text_batches, whole_id, written
 
 BUCKETS = 4096
 CENTROIDS = 4
@@ -135,7 +135,7 @@ def fit(docs: DataFrame, train: Column | None = None, sample: int = SAMPLE, cent
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], kind) for k, kind in enumerate(kinds)], names=["id", "lang", "key", "at", "n"])
 
     # rows that repeat an id, language and text count once, so there are at most `sample` of them, the same ones each time
-    found = rows.select(F.col("id").cast("bigint").alias("id"), "lang", "text", "key").mapInArrow(features, "id bigint, lang string, key bigint, at array<int>, n array<int>").dropDuplicates(["id", "lang", "key"])
+    found = rows.select(whole_id("id").alias("id"), "lang", "text", "key").mapInArrow(features, "id bigint, lang string, key bigint, at array<int>, n array<int>").dropDuplicates(["id", "lang", "key"])
     found = sorted(found.collect(), key=lambda r: (r.lang, r.id is None, r.id or 0, r.key))
     counts = np.zeros((len(found), buckets), dtype=np.float32)
     for i, r in enumerate(found):
@@ -184,7 +184,7 @@ def predict(docs: DataFrame, model: Centroids, reach: float = REACH) -> DataFram
             out = [model.predict(text, reach) for text in part.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), *(pa.array([x[k] for x in out], kind) for k, kind in enumerate((pa.string(), pa.float64(), pa.bool_())))], names=["doc_id", "row_key", "lang_pred", "score", "rejected"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("row_key"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, row_key bigint, lang_pred string, score double, rejected boolean")
+    return docs.select(whole_id("doc_id").alias("doc_id"), F.xxhash64("text").alias("row_key"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id bigint, row_key bigint, lang_pred string, score double, rejected boolean")
 
 
 def held_out(doc_id: Column) -> Column:

@@ -24,7 +24,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import new_folder, row_key, written
+from .common import new_folder, row_key, whole_id, written
 
 MIN_DOCS = 3
 MIN_CHARS = 20
@@ -104,7 +104,7 @@ class LineRuns:
 def dropped_lines(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, batches: int = BATCHES, fanout: int = FANOUT) -> DataFrame:
     """doc_id, row_key, dropped (positions) of every document that loses lines."""
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(whole_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     edges = docs.agg(F.percentile_approx("doc_id", [i / batches for i in range(1, batches)]).alias("at")).first()["at"] if batches > 1 else []
     batch = F.lit(0)
     for at in edges or []:
@@ -128,9 +128,9 @@ def drop_repeated(docs: DataFrame, min_docs: int = MIN_DOCS, min_chars: int = MI
     gone = dropped_lines(docs, min_docs, min_chars, batches, fanout).select(F.col("doc_id").alias(gone_id), F.col("row_key").alias(gone_key), F.col("dropped").alias(dropped))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.withColumns({key: row_key(), lines: F.split(text, "\n", -1)}).drop("text")
-    joined = rows.join(gone, (F.col("doc_id").cast("bigint") == F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left")
+    joined = rows.join(gone, (whole_id("doc_id") == F.col(gone_id)) & (F.col(key) == F.col(gone_key)), "left")
     total, lost = F.size(lines), F.coalesce(F.size(dropped), F.lit(0))
     stay = F.transform(F.array_except(F.sequence(F.lit(0), total - 1), F.col(dropped)), lambda i: F.get(F.col(lines), i))
     kept = F.array_join(F.when(F.col(dropped).isNull(), F.col(lines)).otherwise(stay), "\n")
     rest = [c for c in docs.columns if c.lower() not in ("line_dedup_total", "line_dedup_dropped")]
-    return joined.select(*[kept.alias("text") if c == "text" else F.col(f"`{c}`") for c in rest], total.cast("bigint").alias("line_dedup_total"), lost.cast("bigint").alias("line_dedup_dropped"))
+    return joined.select(*[kept.alias(c) if c.lower() == "text" else F.col(f"`{c}`") for c in rest], total.cast("bigint").alias("line_dedup_total"), lost.cast("bigint").alias("line_dedup_dropped"))

@@ -10,6 +10,8 @@ document's first word. A bigram has Witten-Bell smoothing with the add-one unigr
 1. Documents are packed into slices of bounded size, words numbered within each slice.
 2. Each slice asks for its distinct bigrams with its own counts of them, dealt out by ranges of their hashes. A part adds
    up equal hashes and answers each slice in the order it asked, so a frequent bigram meets once a slice, not once a word.
+   More than `FAN` slices ask over a tree: so many slices are added up to a node, so many nodes to a node above, and the
+   answers come down the same way; a group never holds more than `FAN` rows, and a node's parts follow its words.
    One slice of those that hold a bigram is told so and counts it among the kinds that follow the first word.
 3. Words are added up in the same way; then each slice scores its documents.
 
@@ -33,12 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches, written
+from .common import small_batches, text_batches, whole_id, written
 from .decontamination import words_of
 
 FLUSH = 200_000
 SLICE = 8 << 20  # characters of text in a slice, unless one document has more
 PART = 2 << 20  # words for each part of the hashes
+FAN = 128  # slices that meet in one group
 
 SLICES = "slice bigint, doc_ids array<bigint>, sizes array<bigint>, target array<boolean>, n bigint, n_target bigint, width int, words binary, hashes binary"
 ASKED = "part int, slice bigint, keys binary, counts binary"
@@ -127,7 +130,7 @@ def slices(docs: DataFrame, known: set[bytes] | None = None, size: int = SLICE)
         if rows:
             yield out()
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("target")).mapInArrow(run, SLICES)
+    return docs.select(whole_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("target")).mapInArrow(run, SLICES)
 
 
 class _Slice:
@@ -165,11 +168,11 @@ def _unpacked(data: bytes, dtype: type, shape: tuple[int, int]) -> np.ndarray:
     return np.frombuffer(pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True), dtype=dtype).reshape(shape)
 
 
-def _ask(number: int, keys: np.ndarray, counts: list[np.ndarray], parts: int) -> pa.Table:
-    """ASKED of one slice, one row a part."""
+def _ask(number: int, keys: np.ndarray, counts: list[np.ndarray], parts: int, kind: type = np.uint32) -> pa.Table:
+    """ASKED of one slice or node, one row a part."""
     order = np.argsort(keys, kind="stable")
     keys = keys[order]
-    table = np.stack(counts).astype(np.uint32)[:, order]
+    table = np.stack(counts).astype(kind)[:, order]
     part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
     at = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))[: len(part)]
     ends = np.append(at[1:], len(part))
@@ -189,27 +192,67 @@ def _answer(rows: list[dict], keys: np.ndarray, columns: int, what: str) -> np.n
     return out
 
 
-def exchange(asked: DataFrame, columns: int, kind: int) -> DataFrame:
+def _together(group: pa.Table, columns: int, kind: type) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """Places of the rows' keys in one line, the distinct keys, each place's number among them, and the counts."""
+    keys = [np.frombuffer(k, dtype=np.uint64) for k in group["keys"].to_pylist()]
+    counts = np.concatenate([_unpacked(c, kind, (columns, len(k))) for c, k in zip(group["counts"].to_pylist(), keys)], axis=1)
+    ends = np.cumsum([len(k) for k in keys])
+    distinct, entry = np.unique(np.concatenate(keys), return_inverse=True)
+    return list(zip([0, *ends[:-1].tolist()], ends.tolist())), distinct, entry, counts
+
+
+def _sums(entry: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
+    return np.stack([np.bincount(entry, weights=n, minlength=size).astype(np.int64) for n in counts])  # exact below 2**53
+
+
+def _answers(kind: int, group: pa.Table, places: list[tuple[int, int]], entry: np.ndarray, counts: np.ndarray, sums: np.ndarray, marked: np.ndarray | None, entries: int) -> pa.Table:
+    """ANSWERED for each row of the group: the sums, and in each column a mark at the first place of a key whose count
+    isn't 0. marked: the keys that may have one, as another node's row has it otherwise."""
+    first = np.zeros(counts.shape, dtype=bool)
+    for j in range(len(counts)):
+        some = np.flatnonzero(counts[j])
+        first[j, some[np.unique(entry[some], return_index=True)[1]]] = True
+        if marked is not None:
+            first[j] &= marked[j][entry]
+    total = [entries] + [0] * (len(places) - 1)
+    return pa.table([pa.array([kind] * len(places), pa.int32()), group["part"].cast(pa.int32()), group["slice"], pa.array([j - i for i, j in places], pa.int32()), pa.array(total, pa.int64()), pa.array([_packed(sums[:, entry[i:j]]) for i, j in places], pa.binary()), pa.array([np.packbits(first[:, i:j]).tobytes() for i, j in places], pa.binary())], names=["kind", "part", "slice", "n", "entries", "sums", "first"])
+
+
+def parts_for(words: int, slices: int, part: int = PART, fan: int = FAN) -> int:
+    """Parts of the hashes among `fan` slices, or all if they are fewer."""
+    return max(1, -(-words * min(slices, fan) // (max(1, slices) * part)))
+
+
+def exchange(asked: DataFrame, columns: int, kind: int, parts: int, slices: int, fan: int = FAN, dtype: type = np.uint32) -> DataFrame:
     """ANSWERED: for each row asked the sums of its keys over all slices, and a mark at the first place of each key in
     each column where its count isn't 0. entries: distinct keys of the part, in one row of it."""
+    if slices <= fan:
+
+        def run(group: pa.Table) -> pa.Table:
+            group = group.sort_by("slice")
+            places, distinct, entry, counts = _together(group, columns, dtype)
+            return _answers(kind, group, places, entry, counts, _sums(entry, counts, len(distinct)), None, len(distinct))
+
+        return asked.groupBy("part").applyInArrow(run, ANSWERED)
+    nodes = -(-slices // fan)
+    finer = min(fan, nodes)  # a part below is so many parts of the nodes
+    held = written(asked.withColumn("node", F.pmod(F.xxhash64("slice"), F.lit(nodes))), "asked")
+
+    def added(key: tuple, group: pa.Table) -> pa.Table:
+        _, distinct, entry, counts = _together(group, columns, dtype)
+        return _ask(key[0].as_py(), distinct, list(_sums(entry, counts, len(distinct))), parts * finer, np.int64)
+
+    above = written(exchange(held.groupBy("node", "part").applyInArrow(added, ASKED), columns, kind, parts * finer, nodes, fan, np.int64), "answered")
+    down = above.select("slice", F.floor(F.col("part") / finer).cast("int").alias("below"), "part", "n", "entries", "sums", "first")
+
+    def passed_on(left: pa.Table, right: pa.Table) -> pa.Table:
+        left = left.sort_by("slice")
+        places, distinct, entry, counts = _together(left, columns, dtype)
+        rows = right.to_pylist()
+        sums, marked = (_answer(rows, distinct, columns, what) for what in ("sums", "first"))
+        return _answers(kind, left, places, entry, counts, sums, marked, sum(r["entries"] for r in rows))
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.sort_by("slice")
-        keys = [np.frombuffer(k, dtype=np.uint64) for k in group["keys"].to_pylist()]
-        counts = np.concatenate([_unpacked(c, np.uint32, (columns, len(k))) for c, k in zip(group["counts"].to_pylist(), keys)], axis=1)
-        ends = np.cumsum([len(k) for k in keys])
-        distinct, entry = np.unique(np.concatenate(keys), return_inverse=True)
-        sums = np.empty(counts.shape, dtype=np.int64)
-        first = np.zeros(counts.shape, dtype=bool)
-        for j in range(columns):
-            sums[j] = np.bincount(entry, weights=counts[j], minlength=len(distinct)).astype(np.int64)[entry]
-            some = np.flatnonzero(counts[j])
-            first[j, some[np.unique(entry[some], return_index=True)[1]]] = True
-        places = list(zip(np.concatenate(([0], ends[:-1])), ends))
-        entries = [len(distinct)] + [0] * (len(keys) - 1)
-        return pa.table([pa.array([kind] * len(keys), pa.int32()), group["part"], group["slice"], pa.array([len(k) for k in keys], pa.int32()), pa.array(entries, pa.int64()), pa.array([_packed(sums[:, i:j]) for i, j in places], pa.binary()), pa.array([np.packbits(first[:, i:j]).tobytes() for i, j in places], pa.binary())], names=["kind", "part", "slice", "n", "entries", "sums", "first"])
-
-    return asked.groupBy("part").applyInArrow(run, ANSWERED)
+    return held.groupBy("node", "part").cogroup(down.groupBy("slice", "below")).applyInArrow(passed_on, ANSWERED)
 
 
 def ask_bigrams(packed: DataFrame, parts: int) -> DataFrame:
@@ -261,20 +304,20 @@ def score(packed: DataFrame, answers: DataFrame, n: tuple[int, int], entries: in
     return packed.groupBy("slice").cogroup(answers.select("slice", "kind", "part", "n", "sums").groupBy("slice")).applyInArrow(run, SCORES)
 
 
-def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None, size: int = SLICE, part: int = PART) -> DataFrame:
+def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None, size: int = SLICE, part: int = PART, fan: int = FAN) -> DataFrame:
     """Scores every document against the documents whose doc_id is in `target_ids`.
 
     The ids grow with the corpus, so they are never broadcast."""
     small_batches(docs.sparkSession)
     known = None if vocabulary is None else vocabulary_of(docs, vocabulary)
-    ids = target_ids.select(F.col("doc_id").cast("bigint").alias("__target")).distinct().hint("merge")
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    ids = target_ids.select(whole_id("doc_id").alias("__target")).distinct().hint("merge")
+    texts = docs.select(whole_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     marked = texts.join(ids, F.col("doc_id") == F.col("__target"), "left").select("doc_id", "text", F.col("__target").isNotNull().alias("target"))
     packed = written(slices(marked, known, size), "word-numbers")
-    sums = packed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0))).first()
-    n = (int(sums[0]), int(sums[1]))
-    parts = max(1, -(-n[0] // part))
-    bigrams = written(exchange(ask_bigrams(packed, parts), 2, 0), "bigram-counts")
-    words = written(exchange(ask_words(packed, bigrams, parts), 6, 1), "word-counts")
+    sums = packed.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("n_target"), F.lit(0)), F.count("*")).first()
+    n, slices_ = (int(sums[0]), int(sums[1])), int(sums[2])
+    parts = parts_for(n[0], slices_, part, fan)
+    bigrams = written(exchange(ask_bigrams(packed, parts), 2, 0, parts, slices_, fan), "bigram-counts")
+    words = written(exchange(ask_words(packed, bigrams, parts), 6, 1, parts, slices_, fan), "word-counts")
     entries = vocabulary or int(words.agg(F.coalesce(F.sum("entries"), F.lit(0))).first()[0])
     return score(packed, bigrams.unionByName(words), n, entries)

@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_key, small_batches, text_batches, written
+from .common import row_key, small_batches, text_batches, whole_id, written
 from .components import connected_components
 
 SHINGLE = 5
@@ -274,7 +274,7 @@ def read_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY, halves: int = HALVES, half_rows: int = HALF_ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of `docs`."""
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row_key", row_key())
+    docs = docs.select(whole_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row_key", row_key())
     marks = written(sketches(docs, shingle, Sketch(halves, half_rows)), "sketches")
     some = marks.where("n_shingles > 0 and doc_id is not null")
     classes = some.groupBy("d1", "d2").agg(F.min(F.struct("doc_id", "row_key")).alias("one"), F.first("halves").alias("halves"))

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches
+from .common import small_batches, text_batches, whole_id
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -322,4 +322,4 @@ def encode_decode(docs: DataFrame, model: bytes, text: str = "text") -> DataFram
             ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(raw), dtype="<i4")))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), ids, pa.array(exact, pa.bool_())], names=["doc_id", "n_pieces", "ids", "exact"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n_pieces bigint, ids array<int>, exact boolean")
+    return docs.select(whole_id("doc_id").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(run, "doc_id bigint, n_pieces bigint, ids array<int>, exact boolean")

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import small_batches, text_batches, written
+from .common import small_batches, text_batches, whole_id, written
 
 LENGTH = 100
 GRAM = 24
@@ -365,7 +365,7 @@ def indexed(found: DataFrame, length: int, local_bytes: int = LOCAL_BYTES) -> Da
 def repeat_groups(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = CONTEXTS, local_bytes: int = LOCAL_BYTES) -> DataFrame:
     """group, n_bytes, doc_id, start: every repeat of at least `length` bytes, with all its occurrences."""
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(whole_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     found = written(anchors(docs, length, gram, mark=False).drop("known").distinct(), "contexts")
     one = found.groupBy("anchor", "context").agg(F.min(F.struct("doc_id", "first", "last")).alias("one"), F.count("*").alias("copies"))
     several = one.groupBy("anchor").agg(F.sum("copies").alias("n")).where("n > 1").select("anchor")
@@ -428,7 +428,7 @@ def cut(docs: DataFrame, repeats: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, most: int = CONTEXTS) -> DataFrame:
     """Cuts every repeated string of at least `length` bytes out of all but its first place."""
     small_batches(docs.sparkSession)
-    docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.select(whole_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sorted_out = written(sort_out(anchors(docs, length, gram)), "repeat-runs")
     runs = sorted_out.where("anchor is null").select("doc_id", F.col("first").alias("start"), (F.col("last") + length).alias("end"))
     open_contexts = sorted_out.where("anchor is not null")

@@ -17,7 +17,7 @@ bound can exclude anything, and every query group meets every row once.
 
 Vectors are integers (floor of `scale` times each component); scores are exact up to 2**63: products beyond 2**53 are
 summed as integers. Defined cases: rows with a null id, a null vector, or a null or non-finite component take no part; of
-vectors of unlike length the shorter is filled with zeros; rows that repeat an id each count as a candidate (never of
+vectors of unlike length the shorter is filled with zeros, so an empty one scores 0; rows that repeat an id each count as a candidate (never of
 their own id) and rows that repeat a query's id share one list; equal scores rank by id; with fewer than k candidates all
 are returned; further columns are left out, and an empty table gives none.
 """
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import whole_id, written
 
 BLOCK = 8192
 EXACT = 2.0**53
@@ -43,7 +43,7 @@ def quantised(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """vec_id, v (array of whole numbers as double) of the rows that take part."""
     x = F.col("embedding").cast("array<double>")
     finite = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) != F.lit(float("inf"))))
-    return vectors.select(F.col("vec_id").cast("bigint").alias("vec_id"), x.alias("embedding")).where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & F.coalesce(finite, F.lit(False))).select("vec_id", F.transform("embedding", lambda c: F.floor(c * scale).cast("double")).alias("v"))
+    return vectors.select(whole_id("vec_id").alias("vec_id"), x.alias("embedding")).where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.coalesce(finite, F.lit(False))).select("vec_id", F.transform("embedding", lambda c: F.floor(c * scale).cast("double")).alias("v"))
 
 
 def _rows(column: pa.Array, width: int) -> np.ndarray:
@@ -196,6 +196,7 @@ def join_plan(vectors: DataFrame, is_query: Column, k: int, pivots: int | None,
     n, width = data.agg(F.count("*"), F.max(F.size("v"))).first()
     if not n:
         return None
+    width = max(1, width)
     wanted = pivots or max(8, round(math.sqrt(n) / 6))
     chosen = data.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).collect()  # grows with the root of the data
     at = np.zeros((len(chosen), width))

@@ -4,8 +4,10 @@ import collections
 import hashlib
 import html
 import itertools
+import math
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -130,7 +132,7 @@ def test_lm_score_whole_vocabulary(spark):
         return lambda a, b: -np.log2((pairs[a, b] + max(1, kinds[a]) * (one[b] + 1) / (every + size)) / (total[a] + max(1, kinds[a])))
 
     good, all_ = model([ws for i, ws in words if i is not None and i < 1500 and i % 3 == 0]), model([ws for _, ws in words])
-    for options in ({}, {"size": 5000, "part": 700}):
+    for options in ({}, {"size": 5000, "part": 700}, {"size": 400, "part": 200, "fan": 3}):  # the last over a tree of five levels
         found = {r.doc_id: r for r in lm_score.cross_entropy_difference(df, target, **options).collect()}
         assert len(found) == len(rows) and found[2002].score is None
         for i, ws in words:
@@ -192,6 +194,53 @@ def test_html_short_and_linked_text_stays():
     assert html_text.main_text(f"<body>{P}<p><a href=x>a paragraph that is a link</a></p>{P}</body>").split("\n\n")[1] == "a paragraph that is a link"
 
 
+REAL = "<p>" + "real words of a paragraph that goes on for a while, as paragraphs do. " * 3 + "</p>"
+
+
+@pytest.mark.parametrize("page,wanted,gone", [
+    (f'<form id="aspnetForm"><nav>menu</nav><h1>Title</h1>{REAL}{REAL}<div class="sidebar"><p>side text</p></div></form>', 2, "side"),
+    (f'<div class="layout-right-sidebar"><h1>Title</h1>{REAL}{REAL}</div><div>Copyright 2020</div>', 2, "Copyright"),
+    (f'<article><h1>Title</h1>{REAL}<section id="discussion"><h2>Discussion</h2>{REAL}</section><section id="cookies">{REAL}</section><section id="comments"><p>nice one</p></section></article>', 3, "nice"),
+    (f'<article>{REAL}<ul><li class="share">share it<li>first real words<li>second real words</ul></article>', 1, "share"),
+    (f'<form class="find"><label>Search</label><input></form><div><h1>Title</h1>{REAL}{REAL}</div><div class="comments">{REAL * 9}</div>', 2, "Search"),
+])
+def test_html_marks_that_cannot_be_what_they_say(page, wanted, gone):
+    found = html_text.main_text(f"<body>{page}</body>")
+    assert found.count("real words of") == 3 * wanted and gone not in found
+    if "<li>" in page:
+        assert found.endswith("first real words\n\nsecond real words")
+
+
+@pytest.mark.parametrize("page", ["<table><tr>" + "<td>cell text" * 20_000 + "</table>", "<table>" + "".join(f"<tr><td>cell {i}<td>more" for i in range(10_000)) + "</table>", "<div>" * 20_000 + "<b>x" * 20_000 + "</i>" * 20_000])
+def test_html_time_is_linear(page):
+    start = time.process_time()
+    assert html_text.main_text(page)
+    assert time.process_time() - start < 3
+
+
+def test_html_by_ratio_alone():
+    """Pages without containers or marks against a second, plain form of ratio, smoothing and threshold."""
+    rng = random.Random(11)
+    for _ in range(60):
+        blocks = [(rng.randint(1, 40), rng.choice([0, 0, 1, 3])) for _ in range(rng.randint(2, 25))]  # words, links of one word
+        page = "".join("<div>" + " ".join(["word"] * n) + "".join(" <a href=x>link</a>" for _ in range(k)) + "</div>" for n, k in blocks)
+        # tags of a line: its own two, and two for each link
+        ratios = [math.log1p(min(100, (5 * n - 1 + k) / (2 + 2 * k))) for i, (n, k) in enumerate(blocks)]
+        smooth = []
+        for i in range(len(ratios)):
+            near = [(math.exp(-((i - j) ** 2) / 2), ratios[j]) for j in range(len(ratios)) if abs(i - j) <= 2]
+            smooth.append(sum(w * x for w, x in near) / sum(w for w, _ in near))
+        low, high = min(smooth), max(smooth)
+        for _ in range(32):
+            if high > low and (under := [x for x in smooth if x < (low + high) / 2]) and (over := [x for x in smooth if x >= (low + high) / 2]):
+                low, high = np.mean(under), np.mean(over)
+        cut = (low + high) / 2 if high - low > math.log(3) else -1
+        at = [i for i, x in enumerate(smooth) if x >= cut]
+        kept = set(at) | {j for a, b in zip(at, at[1:]) if b - a <= 4 for j in range(a, b)}
+        text = lambda n, k: " ".join(["word"] * n + ["link"] * k)
+        assert html_text.main_text(page) == "\n\n".join(text(*blocks[i]) for i in sorted(kept))
+
+
 def test_html_defined_cases(spark):
     rows = [(1, "u", f"<article>{P}</article>", "x"), (1, "u", f"<article>{P}</article>", "x"), (None, None, None, None), (2, None, "", "x")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string, text string")
