@@ -99,6 +99,15 @@ def normalise_snapshot(line: Column) -> Column:
     return F.regexp_replace(line, r'"\d{4}-\d\d-\d\d"', '"DATE"')
 
 
+_NOT_IN_IRI = r'[\x00-\x20<>"{}|^`\\]'
+
+
+def iri_text(c: Column) -> Column:
+    """N-Triples text of an IRI; characters that may not stand in one are escaped."""
+    safe = F.array_join(F.transform(F.split(c, ""), lambda x: F.when(x.rlike(_NOT_IN_IRI), F.format_string("\\u%04X", F.ascii(x))).otherwise(x)), "")
+    return F.concat(F.lit("<"), F.when(c.rlike(_NOT_IN_IRI), safe).otherwise(c), F.lit(">"))
+
+
 def escape_literal(c: Column) -> Column:
     for raw, escaped in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         c = F.replace(c, F.lit(raw), F.lit(escaped))
@@ -107,10 +116,9 @@ def escape_literal(c: Column) -> Column:
 
 def term_text(o: Column, kind: Column, dt: Column, lang: Column) -> Column:
     """N-Triples text of a term."""
-    iri = F.concat(F.lit("<"), o, F.lit(">"))
     literal = F.concat(F.lit('"'), escape_literal(o), F.lit('"'))
-    tail = F.when(lang.isNotNull(), F.concat(F.lit("@"), lang)).when(dt.isNotNull() & (dt != XSD + "string"), F.concat(F.lit("^^<"), dt, F.lit(">"))).otherwise("")
-    return F.when(kind == "iri", iri).otherwise(F.concat(literal, tail))
+    tail = F.when(lang.isNotNull(), F.concat(F.lit("@"), lang)).when(dt.isNotNull() & (dt != XSD + "string"), F.concat(F.lit("^^"), iri_text(dt))).otherwise("")
+    return F.when(kind == "iri", iri_text(o)).when(kind == "bnode", o).otherwise(F.concat(literal, tail))
 
 
 def quality_band(q: Column) -> Column:

@@ -8,10 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.scratch import in_ranges
+
 Pattern = tuple[str, str, str]
 
 
@@ -114,6 +117,18 @@ def group_concat(b: DataFrame, keys: list[str], var: str, sep: str, distinct: bo
     return b.groupBy(*keys).agg(F.array_join(values, sep).alias(name))
 
 
+def group_concat_parts(b: DataFrame, keys: list[str], var: str, sep: str, most: int = 1000, name: str = "names") -> DataFrame:
+    """keys, part, name: values joined in sorted order, `most` of them in a row, so that no row grows with its group. Values
+    are put in order by ranges over keys and values and counted through the ranges, so no task holds a group either."""
+    ranges = in_ranges(b.where(F.col(var).isNotNull()).select(*keys, F.col(var).alias("_value")), *keys, "_value")
+    sizes = ranges.groupBy(*keys, "_part").agg(F.count("*").alias("_n"))  # a row for each group and range
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    joined = ranges.join(sizes.select(*keys, "_part", before.alias("_before")), [*keys, "_part"])
+    place = F.col("_before") + F.row_number().over(Window.partitionBy(*keys, "_part").orderBy("_value")) - 1
+    parts = joined.select(*keys, F.floor(place / most).cast("int").alias("part"), "_value")
+    return parts.groupBy(*keys, "part").agg(F.array_join(F.sort_array(F.collect_list("_value")), sep).alias(name))
+
+
 def count_solutions(b: DataFrame) -> DataFrame:
     return b.agg(F.count("*").alias("n"))
 
@@ -142,6 +157,56 @@ def construct(b: DataFrame, templates: list[Pattern], literals: frozenset[str] =
     return b.select(F.explode(rows).alias("t")).select("t.*").where("s is not null and o is not null").distinct()
 
 
+class Template(NamedTuple):
+    """A CONSTRUCT: what has to be there, what may be there, and the triples that are made of it."""
+
+    where: list[Pattern]
+    optionals: list[list[Pattern]]
+    made: list[Pattern]
+
+
+def _terms(t: DataFrame, pattern: Pattern, known: set[str]) -> DataFrame:
+    """Solutions of one pattern with the kind, datatype and language of an object that isn't bound yet."""
+    s, p, o = pattern
+    out = match(t, pattern)
+    if not o.startswith("?") or o[1:] in known or s == o:
+        return out
+    rows = t.where(F.col("p") == p)
+    rows = rows if s.startswith("?") else rows.where(F.col("s") == s)
+    more = [F.struct("o_kind", "o_dt", "o_lang").alias(f"{o[1:]} term")]
+    return rows.select(*([F.col("s").alias(s[1:])] if s.startswith("?") else []), F.col("o").alias(o[1:]), *more)
+
+
+def extended(b: DataFrame, t: DataFrame, patterns: list[Pattern], how: str = "inner") -> DataFrame:
+    """Solutions b and what the patterns add to them; only rows that b leads to travel on. how: `left` keeps solutions
+    without a match of all patterns together."""
+    left, out = list(patterns), b
+    if how == "left":
+        own = [v[1:] for q in patterns for v in (q[0], q[2]) if v.startswith("?")]
+        shared = [c for c in b.columns if c in own]
+        return b.join(extended(b.select(*shared).distinct(), t, patterns), shared, "left")
+    while left:
+        at = next((i for i, (s, _, o) in enumerate(left) if {s[1:], o[1:]} & set(out.columns)), None)
+        if at is None:
+            raise ValueError(f"{left[0]} shares no variable with the solutions")
+        out = _join(out, _terms(t, left.pop(at), set(out.columns)), "inner")
+    return out
+
+
+def construct_for(t: DataFrame, seeds: DataFrame, template: Template) -> DataFrame:
+    """The template's triples around each seed, all seeds in one plan: the columns of `seeds` (variables of the template),
+    s, p, o, o_kind, o_dt, o_lang. A triple with an unbound variable isn't made; each comes once a seed."""
+    b = extended(seeds.distinct(), t, template.where)
+    for patterns in template.optionals:
+        b = extended(b, t, patterns, "left")
+    value = lambda x: F.col(x[1:]) if x.startswith("?") else F.lit(x)
+    iri = F.struct(F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_dt"), F.lit(None).cast("string").alias("o_lang"))
+    term = lambda x: F.col(f"`{x[1:]} term`") if x.startswith("?") and f"{x[1:]} term" in b.columns else iri
+    rows = F.array(*[F.struct(value(s).alias("s"), F.lit(p).alias("p"), value(o).alias("o"), term(o).alias("t")) for s, p, o in template.made])
+    found = b.select(*seeds.columns, F.explode(rows).alias("r")).where("r.s is not null and r.o is not null")
+    return found.select(*seeds.columns, "r.s", "r.p", "r.o", "r.t.o_kind", "r.t.o_dt", "r.t.o_lang").distinct()
+
+
 def reachable(t: DataFrame, seed: str, predicates: list[str], steps: int) -> DataFrame:
     """Triples on the way from a seed along some predicates, up to so many steps, with the types and labels on it."""
     edges = t.where(F.col("p").isin(predicates))

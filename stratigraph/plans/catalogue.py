@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..operators import patterns as P
 from ..operators.entailment import count_instances
 from ..operators.triples import FIGURE_CONSTANTS
-from ..params import CRM, LABEL, PROV, TIME, TYPE, Names
+from ..params import CRM, DCAT, DCTERMS, LABEL, PROV, SKOS, TIME, TYPE, Names
 
 _WITHIN, _SPAN = CRM + "P89_falls_within", CRM + "P4_has_time-span"
 
@@ -52,11 +52,12 @@ def two_quality_axes(t: DataFrame, n: Names = Names(), sharp: float = 0.55, repe
     return b.select("site", "findspot", _number("qInterval").alias("qInterval"), _number("qRepetition").alias("qRepetition"), _number("nStamps").cast("long").alias("nStamps"), _number("nDies").cast("long").alias("nDies"), _number("dieRepetition").alias("repetition")).orderBy(F.desc("qInterval"), "site", "findspot")
 
 
-def findspots_per_site(t: DataFrame, n: Names = Names()) -> DataFrame:
+def findspots_per_site(t: DataFrame, n: Names = Names(), most: int = 1000) -> DataFrame:
+    """site, findspots, part, names: a site's names in rows of `most`, as one row would grow with its groups."""
     b = _spots(t, n)
     counts = P.count_distinct_by(b, ["site"], "fs", "findspots", having=1)
-    names = P.group_concat(b, ["site"], "findspot", " · ")
-    return counts.join(names, "site").orderBy(F.desc("findspots"), "site")
+    names = P.group_concat_parts(b.join(counts, "site", "left_semi"), ["site"], "findspot", " · ", most)
+    return counts.join(names, "site").orderBy(F.desc("findspots"), "site", "part")
 
 
 def external_identifiers(t: DataFrame, n: Names = Names()) -> DataFrame:
@@ -132,7 +133,37 @@ def link_counts(t: DataFrame, n: Names = Names()) -> DataFrame:
     return b.crossJoin(P.match(t, ("?p", n.vocab + "pleiadesID", "?id")).agg(F.count_distinct("p").alias("n_linked")))
 
 
-# the four cuts around one group
+def cut_templates(n: Names = Names()) -> dict[str, P.Template]:
+    """The four cuts around groups (variable fs): the group with its span, place and row; the way from the span's start to
+    its number; where the dating comes from; the group's types."""
+    v, begin, end = n.vocab, TIME + "hasBeginning", TIME + "hasEnd"
+    of_span = [("?ts", v + "nStamps", "?n"), ("?ts", v + "sigmaYears", "?sigma"), ("?ts", v + "kFactor", "?k"), ("?ts", v + "qInterval", "?qi"), ("?ts", begin, "?begin"), ("?ts", end, "?end")]
+    spot = [("?fs", LABEL, "?fsLabel"), ("?fs", _WITHIN, "?place"), ("?fs", _SPAN, "?ts"), ("?place", LABEL, "?placeLabel")]
+    dates = [("?begin", TIME + "inXSDgYear", "?gyB"), ("?end", TIME + "inXSDgYear", "?gyE")]
+    row = [("?row", v + "renders", "?ts"), ("?row", v + "uncStartYears", "?uncS")]
+    kinds = [("?fs", TYPE, v + "Findspot"), ("?place", TYPE, v + "DiscoverySite"), ("?ts", TYPE, v + "FindspotDating"), ("?begin", TYPE, TIME + "Instant"), ("?end", TYPE, TIME + "Instant"), ("?row", TYPE, v + "PlotRow")]
+    chain = [("?ts", begin, "?i"), ("?ts", CRM + "P82a_begin_of_the_begin", "?bb"), ("?i", TIME + "inTimePosition", "?p"), ("?i", TIME + "inXSDgYear", "?gy"), ("?p", TIME + "numericPosition", "?np"), ("?p", TIME + "hasTRS", "?trs"), ("?trs", LABEL, "?trsLabel")]
+    match_ = ("?trs", SKOS + "closeMatch", "?greg")
+    source = [("?ts", PROV + "wasGeneratedBy", "?act"), ("?ts", PROV + "wasDerivedFrom", "?ds"), ("?act", CRM + "P33_used_specific_technique", "?m"), ("?act", CRM + "P14_carried_out_by", "?ag"), ("?ag", LABEL, "?agLabel"), ("?ds", DCTERMS + "title", "?dsTitle")]
+    model_ = [("?m", v + p, f"?{p}") for p in ("kMin", "kMax", "tau", "referenceLength", "eraConvention")]
+    to_span = [("?fs", _SPAN, "?ts")]
+    return {
+        "group": P.Template([*spot, *of_span, *dates, *row], [], [*spot, *of_span, *dates, *row, *kinds]),
+        "time-chain": P.Template([*to_span, *chain], [[match_]], [*chain, match_, ("?i", TYPE, TIME + "Instant"), ("?p", TYPE, TIME + "TimePosition"), ("?trs", TYPE, TIME + "TRS")]),
+        "provenance": P.Template([*to_span, *source, *model_], [], [
+            *source, *model_, ("?act", PROV + "used", "?m"), ("?act", PROV + "used", "?ds"), ("?act", PROV + "wasAssociatedWith", "?ag"),
+            ("?ts", TYPE, v + "FindspotDating"), ("?act", TYPE, v + "DatingActivity"), ("?m", TYPE, v + "DatingModel"), ("?ag", TYPE, PROV + "SoftwareAgent"), ("?ds", TYPE, DCAT + "Dataset"),
+        ]),
+        "types": P.Template([("?fs", LABEL, "?label"), ("?fs", TYPE, "?cls")], [], [("?fs", TYPE, "?cls"), ("?fs", LABEL, "?label")]),
+    }
+
+
+def cuts(t: DataFrame, seeds: DataFrame, name: str, n: Names = Names()) -> DataFrame:
+    """fs and the triples of one of the cuts around each group of `seeds` (fs). Seeds without one are left out."""
+    return P.construct_for(t, seeds.select("fs"), cut_templates(n)[name])
+
+
+# the ways along some predicates from one group
 def cut_group(t: DataFrame, seed: str, n: Names = Names()) -> DataFrame:
     return P.cut(t, lambda g: P.reachable(g, seed, [TYPE, LABEL, _WITHIN, _SPAN], 2))
 

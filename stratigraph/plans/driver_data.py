@@ -94,13 +94,23 @@ def _kept(spark: SparkSession, sf_dir: str, p: DatingParams = PARAMS, legacy: bo
 
 
 def registered(groups: DataFrame) -> DataFrame:
-    """Ancient names and external ids of some places, as a registry would give them."""
-    return groups.withColumns({"latinsitename": F.when(F.col("the_id") % 3 == 0, F.concat(F.lit("Vicus "), "the_site")), "pleiades": F.when(F.col("the_id") % 2 == 0, F.concat((F.col("the_id") * 100).cast("string"), F.lit(".0")))})
+    """Ancient names, external ids and coordinates of some places, as a registry would give them."""
+    place = lambda c: F.when(F.col("the_id") % 4 != 0, c.cast("double"))
+    return groups.withColumns({"long": place(F.col("the_id") / 2), "lat": place(F.col("the_id") % 90), "latinsitename": F.when(F.col("the_id") % 3 == 0, F.concat(F.lit("Vicus "), "the_site")), "pleiades": F.when(F.col("the_id") % 2 == 0, F.concat((F.col("the_id") * 100).cast("string"), F.lit(".0")))})
+
+
+ABOUT = {"title": "Dated groups", "rights": "free to use", "license": "https://creativecommons.org/licenses/by/4.0/", "basis": "the least tau that covers every reference", "publisher": "the makers"}
+
+
+def built(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The graph with geometry, metadata and calibration references."""
+    groups = _kept(spark, sf_dir)
+    return G.build_graph(registered(groups), PARAMS, AT, geometry=True, references=groups.where("the_id % 10 = 1"), about=ABOUT)
 
 
 def graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The graph, stored by predicate: each pattern reads one partition of it."""
-    return _once(spark, ("graph", sf_dir), lambda: G.build_graph(registered(_kept(spark, sf_dir)), PARAMS, AT), "p")
+    return _once(spark, ("graph", sf_dir), lambda: built(spark, sf_dir), "p")
 
 
 _SQL = """
@@ -525,9 +535,9 @@ def qry_two_quality_axes(spark, sf_dir):
     return Q.two_quality_axes(graph(spark, sf_dir))
 
 
-@_query("SELECT the_site AS site, count(*) AS findspots, string_agg(the_findspot, ' · ' ORDER BY the_findspot) AS names FROM dated GROUP BY 1 HAVING count(*) > 1")
+@_query("SELECT site, findspots, CAST(part AS INT) AS part, string_agg(the_findspot, ' · ' ORDER BY the_findspot) AS names FROM (SELECT the_site AS site, the_findspot, count(*) OVER (PARTITION BY the_site) AS findspots, (row_number() OVER (PARTITION BY the_site ORDER BY the_findspot) - 1) // 20 AS part FROM dated) WHERE findspots > 1 GROUP BY ALL")
 def qry_findspots_per_site(spark, sf_dir):
-    return Q.findspots_per_site(graph(spark, sf_dir))
+    return Q.findspots_per_site(graph(spark, sf_dir), most=20)
 
 
 @_query('SELECT the_site AS site, CASE WHEN the_id % 3 = 0 THEN \'Vicus \' || the_site END AS "ancientName", CASE WHEN the_id % 2 = 0 THEN \'https://example.org/places/\' || the_id * 100 END AS pleiades, count(*) AS findspots FROM dated GROUP BY the_id, the_site')

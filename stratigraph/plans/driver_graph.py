@@ -12,11 +12,11 @@ from ..operators import compare, entailment, figures
 from ..operators import patterns as P
 from ..operators import triples as G
 from ..operators import vocabulary as V
-from ..params import CRM, CRMDIG, DCAT, DCTERMS, LABEL, OWL, PROV, RDFS, SKOS, TIME, TYPE, XSD
+from ..params import CRM, CRMDIG, DCAT, DCTERMS, GEO, LABEL, OWL, PROV, RDFS, SKOS, TIME, TYPE, XSD
 from ..sources import readers, writers
 from ..sources.scratch import scratch_path
 from . import catalogue as Q
-from .driver_data import AT, PARAMS, N, _edges, _gyear_sql, _kept, _query, _table, _tree, dated, graph, registered
+from .driver_data import ABOUT, AT, PARAMS, N, _edges, _gyear_sql, _kept, _query, _table, _tree, built, dated, graph
 
 DATE = AT[:10]
 DATASET = f"{N.data}dataset_sites_{DATE}"
@@ -52,6 +52,9 @@ def _graph_sql() -> str:
         _iri(act, CRM + "P33_used_specific_technique", _q(d + "DatingModel_v1")), _iri(act, CRM + "P14_carried_out_by", _q(d + "exporter")), _iri(span, PROV + "wasDerivedFrom", _q(DATASET)),
         _lit(place, LABEL, "the_site", lang="en"), _lit(place, v + "ancientName", "CASE WHEN the_id % 3 = 0 THEN 'Vicus ' || the_site END"), _iri(place, v + "pleiadesID", f"CASE WHEN the_id % 2 = 0 THEN '{N.external_ids}' || the_id * 100 END"),
     ]
+    shape = f"CASE WHEN the_id % 4 <> 0 THEN {place} || '_geom' END"
+    out += [_iri(place, GEO + "hasGeometry", shape), _lit(shape, GEO + "asWKT", "'<http://www.opengis.net/def/crs/EPSG/0/4326> POINT(' || CAST(the_id / 2 AS DOUBLE) || ' ' || CAST(the_id % 90 AS DOUBLE) || ')'", GEO + "wktLiteral")]
+    out += [_iri("CASE WHEN the_id % 10 = 1 THEN " + _q(d + "DatingModel_v1") + " END", v + "calibratedAgainst", spot)]
     for edge, link, value in (("begin", "hasBeginning", "eff_start"), ("end", "hasEnd", "eff_end")):
         instant, position = f"{span} || '_{edge}'", f"{span} || '_{edge}_pos'"
         out += [
@@ -70,6 +73,7 @@ def _graph_sql() -> str:
         *[_lit(model, v + k, f"'{x}'", XSD + "decimal") for k, x in (("kMin", "0.5"), ("kMax", "1.5"), ("tau", "20.0"), ("volumeWeight", "1.0"), ("referenceLength", "20.0"))], *[_lit(model, v + "excludedDatemax", str(x), XSD + "integer") for x in (260, 120, 150)],
         *[_iri(ds, TYPE, _q(x)) for x in (DCAT + "Dataset", PROV + "Entity", CRMDIG + "D1_Digital_Object")], _iri(ds, PROV + "wasAttributedTo", agent),
         _lit(ds, DCTERMS + "created", _q(AT), XSD + "dateTime"), _lit(ds, DCTERMS + "issued", _q(DATE), XSD + "date"), _lit(ds, OWL + "versionInfo", _q(DATE)),
+        _lit(ds, DCTERMS + "title", _q(ABOUT["title"]), lang="en"), _lit(ds, DCTERMS + "rights", _q(ABOUT["rights"]), lang="en"), _lit(ds, DCTERMS + "publisher", _q(ABOUT["publisher"])), _iri(ds, DCTERMS + "license", _q(ABOUT["license"])), _lit(model, v + "calibrationBasis", _q(ABOUT["basis"]), lang="en"),
         _iri(fig, TYPE, _q(v + "Figure")), _lit(fig, LABEL, "'Dated groups'", lang="en"), _iri(fig, DCTERMS + "isPartOf", ds), _iri(fig, RDFS + "seeAlso", ds),
         *[_lit(fig, v + k, f"'{x}'", {int: XSD + "integer", float: XSD + "decimal", str: None}[type(x)]) for k, x in G.FIGURE_CONSTANTS.items()],
     ]
@@ -83,7 +87,7 @@ _LINE = f"'<' || s || '> <' || p || '> ' || {_TERM} || ' .'"
 
 @_query(f"SELECT * FROM {_GRAPH}")
 def build_graph(spark, sf_dir):
-    return G.build_graph(registered(_kept(spark, sf_dir)), PARAMS, AT)
+    return built(spark, sf_dir)
 
 
 @_query(rf"""SELECT count(*) AS n, bit_xor(h) AS "xor", CAST(sum(CAST(h AS HUGEINT)) AS VARCHAR) AS total FROM (SELECT ('0x' || substr(md5(line), 1, 15))::BIGINT AS h FROM (SELECT DISTINCT
@@ -197,6 +201,117 @@ def undocumented_predicates(spark, sf_dir):
     return V.undocumented_terms(used, V.build_vocabulary(spark, N).where(F.col("p") == LABEL).select(F.col("s").alias("term")))
 
 
+# cuts by template, around many groups at once
+def _template_sql(made: list[str], where: str = "TRUE") -> str:
+    return f"SELECT DISTINCT fs, t.* FROM (SELECT '{N.data}fs_' || key AS fs, unnest([{', '.join(made)}]) AS t FROM dated WHERE the_id % 10 = 1 AND {where}) WHERE t.o IS NOT NULL"
+
+
+def _made_sql(name: str) -> list[str]:
+    """The statements of a cut, from the columns of the dated groups."""
+    v, d = N.vocab, N.data
+    fs, place, ts, row, act = f"'{d}fs_' || key", f"'{d}loc_ds_' || the_id", f"'{d}ts_' || key", f"'{d}plotrow_' || key", f"'{d}act_dating_' || key"
+    model, agent, ds, trs = _q(d + "DatingModel_v1"), _q(d + "exporter"), _q(DATASET), _q(d + "trs_year")
+    begin, end = f"{ts} || '_begin'", f"{ts} || '_end'"
+    decimal, whole, year = XSD + "decimal", XSD + "integer", XSD + "gYear"
+    if name == "group":
+        return [
+            _iri(fs, TYPE, _q(v + "Findspot")), _lit(fs, LABEL, "the_findspot"), _iri(fs, CRM + "P89_falls_within", place), _iri(fs, CRM + "P4_has_time-span", ts),
+            _iri(place, TYPE, _q(v + "DiscoverySite")), _lit(place, LABEL, "the_site", lang="en"), _iri(ts, TYPE, _q(v + "FindspotDating")),
+            _lit(ts, v + "nStamps", "count_stamps", whole), _lit(ts, v + "sigmaYears", "sigma_eff", decimal), _lit(ts, v + "kFactor", "k_eff", decimal), _lit(ts, v + "qInterval", "q_interval", decimal),
+            _iri(ts, TIME + "hasBeginning", begin), _iri(ts, TIME + "hasEnd", end), _iri(begin, TYPE, _q(TIME + "Instant")), _iri(end, TYPE, _q(TIME + "Instant")),
+            _lit(begin, TIME + "inXSDgYear", _gyear_sql("eff_start"), year), _lit(end, TIME + "inXSDgYear", _gyear_sql("eff_end"), year),
+            _iri(row, TYPE, _q(v + "PlotRow")), _iri(row, v + "renders", ts), _lit(row, v + "uncStartYears", "unc_start_years", whole),
+        ]
+    if name == "time-chain":
+        position = f"{begin} || '_pos'"
+        return [
+            _iri(ts, TIME + "hasBeginning", begin), _lit(ts, CRM + "P82a_begin_of_the_begin", _gyear_sql("eff_start"), year), _iri(begin, TYPE, _q(TIME + "Instant")), _iri(begin, TIME + "inTimePosition", position),
+            _lit(begin, TIME + "inXSDgYear", _gyear_sql("eff_start"), year), _iri(position, TYPE, _q(TIME + "TimePosition")), _lit(position, TIME + "numericPosition", "eff_start", decimal), _iri(position, TIME + "hasTRS", trs),
+            _iri(trs, TYPE, _q(TIME + "TRS")), _lit(trs, LABEL, "'signed year scale'", lang="en"), _iri(trs, SKOS + "closeMatch", "'http://www.opengis.net/def/uom/ISO-8601/0/Gregorian'"),
+        ]
+    return [
+        _iri(ts, TYPE, _q(v + "FindspotDating")), _iri(ts, PROV + "wasGeneratedBy", act), _iri(ts, PROV + "wasDerivedFrom", ds), _iri(act, TYPE, _q(v + "DatingActivity")), _iri(act, PROV + "used", model), _iri(act, PROV + "used", ds),
+        _iri(act, CRM + "P33_used_specific_technique", model), _iri(act, PROV + "wasAssociatedWith", agent), _iri(act, CRM + "P14_carried_out_by", agent), _iri(model, TYPE, _q(v + "DatingModel")),
+        *[_lit(model, v + k, f"'{x}'", decimal) for k, x in (("kMin", "0.5"), ("kMax", "1.5"), ("tau", "20.0"), ("referenceLength", "20.0"))], _lit(model, v + "eraConvention", "'historical'"),
+        _iri(agent, TYPE, _q(PROV + "SoftwareAgent")), _lit(agent, LABEL, "'exporter'", lang="en"), _iri(ds, TYPE, _q(DCAT + "Dataset")), _lit(ds, DCTERMS + "title", _q(ABOUT["title"]), lang="en"),
+    ]
+
+
+def _seeds(spark, sf_dir) -> DataFrame:
+    """The groups of every tenth site."""
+    keyed = G.build_keys(_kept(spark, sf_dir), check=False).where("the_id % 10 = 1")
+    return keyed.select(F.concat(F.lit(f"{N.data}fs_"), "key").alias("fs"))
+
+
+@_query(_template_sql(_made_sql("group"), "q_interval IS NOT NULL AND unc_start_years IS NOT NULL"))
+def template_group(spark, sf_dir):
+    """Groups whose sharpness is undefined have no cut, as the pattern asks for it."""
+    return Q.cuts(graph(spark, sf_dir), _seeds(spark, sf_dir), "group")
+
+
+@_query(_template_sql(_made_sql("time-chain")))
+def template_time_chain(spark, sf_dir):
+    return Q.cuts(graph(spark, sf_dir), _seeds(spark, sf_dir), "time-chain")
+
+
+@_query(_template_sql(_made_sql("provenance")))
+def template_provenance(spark, sf_dir):
+    return Q.cuts(graph(spark, sf_dir), _seeds(spark, sf_dir), "provenance")
+
+
+def _supers(name: str) -> set[str]:
+    above = dict(V.CLASSES)
+    for a, b in V.EXTERNAL_AXIOMS:
+        above.setdefault(a, []).append(b)
+    found, left = set(), [name]
+    while left:
+        for x in above.get(left.pop(), []):
+            if x not in found:
+                found.add(x)
+                left.append(x)
+    return found | {name}
+
+
+@_query(_template_sql([*[_iri(f"'{N.data}fs_' || key", TYPE, _q(V.iri(c, N))) for c in sorted(_supers("Findspot"))], _lit(f"'{N.data}fs_' || key", LABEL, "the_findspot")]))
+def template_types(spark, sf_dir):
+    """Every type a group carries once the types are inferred."""
+    full = entailment.materialise_types(graph(spark, sf_dir), entailment.superclass_closure(V.class_edges(spark, N)))
+    return Q.cuts(full, _seeds(spark, sf_dir), "types")
+
+
+# metadata of the graph, vocabulary, capped rows, reports
+@_query("SELECT '0.5' AS \"kMin\", '1.5' AS \"kMax\", '20.0' AS tau, '1.0' AS w, count(*) AS n FROM dated")
+def qry_model(spark, sf_dir):
+    t = graph(spark, sf_dir)
+    return Q.model(t).crossJoin(P.count_solutions(P.match(t, ("?act", PROV + "used", N.data + "DatingModel_v1"))))
+
+
+@_query(f"SELECT term, count(*) AS n FROM (SELECT p AS term FROM {_GRAPH} UNION ALL SELECT o FROM {_GRAPH} WHERE p = '{TYPE}') WHERE term IN ({', '.join(_q(V.iri(x, N)) for x in [*V.CLASSES, *[p for p, _, _ in V.PROPERTIES]])}) GROUP BY term")
+def vocabulary_in_use(spark, sf_dir):
+    """How often the graph uses each class and property that its vocabulary declares."""
+    declared = V.build_vocabulary(spark, N).where(F.col("p") == TYPE).select(F.col("s").alias("term"))
+    t = graph(spark, sf_dir)
+    used = t.select(F.col("p").alias("term")).unionByName(t.where(F.col("p") == TYPE).select(F.col("o").alias("term")))
+    return used.join(declared, "term", "left_semi").groupBy("term").agg(F.count("*").alias("n"))
+
+
+@_query("SELECT count(*) AS shown, sum(held) AS held, (SELECT count(*) FROM customer) AS total FROM (SELECT 1 AS held FROM customer LIMIT 100)")
+def preview_rows(spark, sf_dir):
+    """At most so many rows, all of them rows of the whole, beside the true total."""
+    rows = P.match(_tree(spark, sf_dir), ("?c", "nation", "?n"))
+    shown, total = P.preview(rows, 100)
+    held = shown.join(rows.withColumn("there", F.lit(1)), ["c", "n"], "left").agg(F.count("*").alias("shown"), F.sum("there").alias("held"))
+    return held.crossJoin(total)
+
+
+@_query("SELECT unnest(['dated-findspots', 'era-and-scale', 'external-identifiers', 'findspots-per-site', 'provenance', 'two-quality-axes']) AS query, (SELECT count(*) FROM dated) AS datings")
+def catalogue_is_not_empty(spark, sf_dir):
+    """The catalogue's queries over this graph; one without a row would be an error."""
+    t = graph(spark, sf_dir)
+    names = Q.require_non_empty(t, {k: q for k, q in Q.CATALOGUE.items() if k != "crm-only"})
+    return spark.createDataFrame([(x,) for x in names], "query string").crossJoin(P.count_solutions(P.match(t, ("?ts", TYPE, N.vocab + "FindspotDating"))).withColumnRenamed("n", "datings"))
+
+
 # entailment over the class tree
 @_query("SELECT 'g#count_' || sha256(cls) AS s, cls, CAST(n AS VARCHAR) AS entities FROM (SELECT 'n' || c_nationkey AS cls, count(DISTINCT c_custkey) AS n FROM customer WHERE c_custkey % 7 <> 0 AND c_nationkey < 5 GROUP BY 1)")
 def described_classes(spark, sf_dir):
@@ -334,6 +449,14 @@ def verdict(spark, sf_dir):
     return C.verdict(C.all_checks(changed(spark, sf_dir)))
 
 
+@_query(f"SELECT key, status, n_offenders FROM {_CHECKS}")
+def report_round_trip(spark, sf_dir):
+    """The checks written as a report and read again."""
+    path = scratch_path(spark, "report")
+    writers.write_report(C.all_checks(changed(spark, sf_dir)), path)
+    return spark.read.json(path).select("key", "status", "n_offenders")
+
+
 @_query("SELECT 'a' AS key, CASE WHEN count(*) = 1000 THEN 'pass' ELSE 'warn' END AS status, CAST(0 AS BIGINT) AS n_offenders, count(*) || ' rows, expected 1000' AS detail FROM dated UNION ALL SELECT 'k', 'fail', 2, 'missing: bearing, depth'")
 def input_checks(spark, sf_dir):
     df = _kept(spark, sf_dir)
