@@ -7,11 +7,11 @@ triples are all frequent. As every occurrence of a phrase is one of each of its
 
 In a task, a HAT-trie holds the counts: a shallow trie over word ids (the first word, then also the second), under it
 hash containers of the words that remain. A container that grows large bursts into containers by its next word. When the
-trie holds `LIMIT` entries, its largest subtrees are spilled as sorted runs until half of it is left. A run is a row: the
-first word, and the words that follow and their counts as arrays. Spark deals the runs out by prefix and sorts them, and
-each prefix partition is merged as a stream, which puts out the frequent phrases alone. A prefix is the first word; of
-those with a thousandth of all words or more (a thousand at most) it is the word and a slot by the next one, so that a
-frequent word's runs are spread.
+trie holds `LIMIT` entries, its largest subtrees are spilled as sorted runs until half of it is left. Prefixes are dealt
+out to `PARTS` times as many prefix partitions as Spark shuffles to, by the first word's hash (of words with a thousandth
+of all words or more, a thousand at most, by the first two words', so that a frequent word is spread). A run's part of a
+prefix partition is one row of arrays. Spark brings the rows of a partition together, where they are merged as a stream,
+which puts out the frequent phrases alone.
 
 What a pass knows of the frequent phrases before is a bit table of a size that is bounded (`FILTER_BITS`), whatever the
 corpus: each is entered twice, strangers that pass by chance are counted too and go with the rare ones after the merge.
@@ -40,7 +40,8 @@ TOP = 2000
 COVERED = 100  # percent of a phrase's occurrences that a longer one has to hold to replace it
 LIMIT = 500_000  # entries of a trie, and words of a task's table
 BURST = 4096  # entries of a container
-HOT, SLOTS = 1000, 64  # a word with a HOT-th of all words has so many slots
+HOT = 1000  # a word with a HOT-th of all words is dealt out by the next word too
+PARTS = 16  # prefix partitions for each partition of a shuffle
 RUN = 1 << 14  # entries of a run's row
 TOGETHER = 1 << 20  # entries that are merged together
 FILTER_BITS = 27  # a bit table has at most 2 ** FILTER_BITS bits
@@ -54,7 +55,7 @@ _KINDS[[ord(c) for c in ".,;:!?\n\x0b\x0c\r"]] = _END
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[0x41:0x5B] += 32
 
-RUNS = "w1 bigint, slot int, rest binary, counts binary"
+RUNS = "part int, grams binary, counts binary"
 
 
 def _stretches(kinds: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -202,37 +203,34 @@ class HatTrie:
             if own.size > self.burst and own.counts is not None and self.width > 2:
                 own.split()
 
-    def spilled(self, down_to: int, hot: frozenset[int] = frozenset()) -> Iterator[pa.RecordBatch]:
-        """RUNS: takes whole subtrees out, the largest first, until `down_to` entries are left; each is a sorted run, or
-        one for each slot if its word is hot."""
-        taken = []
+    def spilled(self, down_to: int, parts: int, hot: frozenset[int] = frozenset()) -> Iterator[pa.RecordBatch]:
+        """RUNS: takes whole subtrees out, the largest first, until `down_to` entries are left, as one run by prefix
+        partition and, within it, in order."""
+        keys: list[bytes] = []
+        counts: list[int] = []
+        firsts, sizes = [], []
         for first in sorted(self.root, key=lambda x: -self.root[x].size):
             if self.size <= down_to:
                 break
-            self.size -= self.root[first].size
-            taken.append((first, self.root.pop(first)))
-        out: list[tuple[int, int, bytes, bytes]] = []
-        held = 0
-        for first, own in sorted(taken, key=lambda x: x[0]):
-            keys, n = own.entries()
-            rest, counts = np.frombuffer(b"".join(keys), np.uint64).reshape(len(keys), -1), np.array(n, np.int64)
-            slot = (rest[:, 0] % np.uint64(SLOTS)).astype(np.int64) if first in hot else np.zeros(len(keys), np.int64)
-            order = np.lexsort((*rest.T[::-1], slot))
-            rest, counts, slot = rest[order], counts[order], slot[order]
-            edges = np.flatnonzero(np.concatenate(([True], slot[1:] != slot[:-1], [True]))).tolist()
-            for a, b in zip(edges, edges[1:]):
-                out += [(first, int(slot[a]), rest[i : min(b, i + RUN)].tobytes(), counts[i : min(b, i + RUN)].tobytes()) for i in range(a, b, RUN)]
-            held += len(keys)
-            if held >= 100_000:
-                yield self._runs(out)
-                out, held = [], 0
-        if out:
-            yield self._runs(out)
-
-    @staticmethod
-    def _runs(rows: list[tuple[int, int, bytes, bytes]]) -> pa.RecordBatch:
-        first, slot, rest, counts = zip(*rows)
-        return pa.RecordBatch.from_arrays([pa.array(np.array(first, np.uint64).view(np.int64)), pa.array(slot, pa.int32()), pa.array(rest, pa.binary()), pa.array(counts, pa.binary())], names=["w1", "slot", "rest", "counts"])
+            own = self.root.pop(first)
+            self.size -= own.size
+            rest, n = own.entries()
+            keys += rest
+            counts += n
+            firsts.append(first)
+            sizes.append(len(rest))
+        if not keys:
+            return
+        rows = np.empty((len(keys), self.width), np.uint64)
+        rows[:, 0] = np.repeat(np.array(firsts, np.uint64), sizes)
+        rows[:, 1:] = np.frombuffer(b"".join(keys), np.uint64).reshape(len(keys), -1)
+        second = np.where(np.repeat([f in hot for f in firsts], sizes), rows[:, 1], np.uint64(0))
+        part = (mixed(rows[:, 0] ^ mixed(second)) % np.uint64(parts)).astype(np.int32)
+        order = np.lexsort((*rows.T[::-1], part))
+        rows, part, n = rows[order], part[order], np.array(counts, np.int64)[order]
+        edges = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1], [True]))).tolist()
+        cuts = [(i, min(b, i + RUN)) for a, b in zip(edges, edges[1:]) for i in range(a, b, RUN)]
+        yield pa.RecordBatch.from_arrays([pa.array(part[[i for i, _ in cuts]]), pa.array([rows[i:j].tobytes() for i, j in cuts], pa.binary()), pa.array([n[i:j].tobytes() for i, j in cuts], pa.binary())], names=["part", "grams", "counts"])
 
 
 def distinct_rows(rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -255,8 +253,8 @@ def distinct_rows(rows: np.ndarray, counts: np.ndarray | None = None) -> tuple[n
 
 
 def merged_runs(runs: DataFrame, width: int, min_count: int) -> DataFrame:
-    """w, n of the phrases that all runs together have min_count times. The runs of a prefix meet in one partition and
-    stand together in it; prefixes are summed some at a time, and one with very many runs keeps its distinct phrases only."""
+    """w, n of the phrases that all runs together have min_count times. The rows of a prefix partition stand together and
+    are summed some at a time; small partitions together, and of a large one only the distinct phrases are kept."""
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -273,25 +271,21 @@ def merged_runs(runs: DataFrame, width: int, min_count: int) -> DataFrame:
             return pa.RecordBatch.from_arrays([lists, pa.array(counts)], names=["w", "n"])
 
         for batch in batches:
-            for first, slot, rest, counts in zip(*(c.to_pylist() for c in batch.columns)):
+            for part, grams, counts in zip(*(c.to_pylist() for c in batch.columns)):
                 if size >= bound:
                     rows, sums = summed()
-                    if (first, slot) != last:
+                    if part != last:
                         yield out(rows, sums)
                         held, size, bound = [], 0, TOGETHER
                     else:
                         held, size, bound = [(rows, sums)], len(rows), max(TOGETHER, 2 * len(rows))
-                counts = np.frombuffer(counts, np.int64)
-                rows = np.empty((len(counts), width), np.uint64)
-                rows[:, 0] = np.array(first, np.int64).view(np.uint64)
-                rows[:, 1:] = np.frombuffer(rest, np.uint64).reshape(len(counts), -1)
-                held.append((rows, counts))
-                size += len(counts)
-                last = first, slot
+                held.append((np.frombuffer(grams, np.uint64).reshape(-1, width), np.frombuffer(counts, np.int64)))
+                size += len(held[-1][1])
+                last = part
         if held:
             yield out(*summed())
 
-    return runs.repartition("w1", "slot").sortWithinPartitions("w1", "slot").mapInArrow(merge, "w array<bigint>, n bigint")
+    return runs.repartition("part").sortWithinPartitions("part").mapInArrow(merge, "w array<bigint>, n bigint")
 
 
 def _slices(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[tuple[Words, pa.Array]]:
@@ -337,6 +331,7 @@ def _word_counts(rows: DataFrame, salt: int) -> DataFrame:
 def _phrase_counts(rows: DataFrame, salt: int, known: BitTable, hot: frozenset[int], sizes: range, min_count: int, limit: int) -> DataFrame:
     """The counts, at least min_count, of phrases of some sizes whose parts of one word less than the least are in `known`."""
     part, width = sizes.start - 1, sizes.stop - 1
+    parts = PARTS * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = HatTrie(width, limit)
@@ -361,8 +356,8 @@ def _phrase_counts(rows: DataFrame, salt: int, known: BitTable, hot: frozenset[i
                             grams[:, i] = ids[at + i]
                         trie.add(*distinct_rows(grams))
                         if trie.size >= limit:
-                            yield from trie.spilled(limit // 2, hot)
-        yield from trie.spilled(0, hot)
+                            yield from trie.spilled(limit // 2, parts, hot)
+        yield from trie.spilled(0, parts, hot)
 
     return merged_runs(rows.mapInArrow(run, RUNS), width, min_count)
 

@@ -91,15 +91,16 @@ def test_hat_trie_counts_and_spills():
     rng = random.Random(1)
     trie, wanted, got = collocations.HatTrie(4, limit=400, burst=10), collections.Counter(), collections.Counter()
 
+    of = collections.defaultdict(set)
+
     def take(batches):
         for b in batches:
-            for first, slot, rest, counts in zip(*(c.to_pylist() for c in b.columns)):
-                first %= 2**64
-                rows = [(first, *r) for r in np.frombuffer(rest, np.uint64).reshape(-1, 3).tolist()]
+            for part, grams, counts in zip(*(c.to_pylist() for c in b.columns)):
+                rows = [tuple(r) for r in np.frombuffer(grams, np.uint64).reshape(-1, 4).tolist()]
                 assert rows == sorted(rows)  # a run is sorted
-                assert slot == 0 if first != 2 else {r[1] % collocations.SLOTS for r in rows} == {slot}
                 for k, n in zip(rows, np.frombuffer(counts, np.int64).tolist()):
                     got[k] += n
+                    of[k].add(part)
 
     for _ in range(40):
         rows = np.array([[rng.choice([1, 2, 2**63 + 5]), rng.randrange(30), rng.randrange(3), rng.choice([0, 2**64 - 1])] for _ in range(60)], np.uint64)
@@ -107,11 +108,13 @@ def test_hat_trie_counts_and_spills():
         trie.add(*collocations.distinct_rows(rows))
         assert trie.size == sum(c.size for c in trie.root.values())
         if trie.size >= trie.limit:
-            take(trie.spilled(trie.limit // 2, frozenset([2])))
+            take(trie.spilled(trie.limit // 2, 10, frozenset([2])))
             assert trie.size <= trie.limit // 2
     assert any(c.counts is None for c in trie.root.values())  # some have burst
-    take(trie.spilled(0, frozenset([2])))
-    assert got == wanted
+    take(trie.spilled(0, 10, frozenset([2])))
+    assert got == wanted and all(len(p) == 1 for p in of.values())
+    places = {first: {p for k, parts in of.items() for p in parts if k[0] == first} for first in (1, 2)}
+    assert len(places[1]) == 1 and len(places[2]) > 5  # a hot word is spread
 
 
 def test_span_hashes_tell_spans_apart():
