@@ -7,6 +7,7 @@ from stratigraph.operators.vocabulary import LAYERS, RELATIONS, build_vocabulary
 from stratigraph.params import PREFIXES, TYPE, Names
 from stratigraph.plans import catalogue, driver_data
 from stratigraph.sources import readers, writers
+from stratigraph.sources.scratch import stored
 
 SF = "/root/testdata/sf0.001"
 T = "s string, p string, o string, o_kind string, o_dt string, o_lang string"
@@ -19,7 +20,7 @@ def dated(spark):
 
 @pytest.fixture(scope="module")
 def graph(spark, dated):
-    return triples.build_graph(dated, driver_data.PARAMS, driver_data.AT, about={"title": 'a "title"\n'}).cache()
+    return stored(triples.build_graph(dated, driver_data.PARAMS, driver_data.AT, about={"title": 'a "title"\n'}), "graph")
 
 
 def test_graph_is_a_set_in_any_order(spark, dated, graph):
@@ -147,3 +148,51 @@ def test_cuts(graph):
         assert build(graph, seed).count() > 1
     types, rest = entailment.fold_types(graph)
     assert types.count() > 0 and rest.where(F.col("p") == TYPE).isEmpty()
+
+
+def test_cuts_by_template_for_many_seeds(spark, graph):
+    """All seeds in one plan give what each seed gives alone; triples keep datatype and language."""
+    seeds = graph.where(f"p = '{TYPE}' and o like '%#Findspot'").select(F.col("s").alias("fs"))
+    there, first = {tuple(r) for r in graph.select(*T.replace(" string", "").split(", ")).collect()}, seeds.agg(F.min("fs").alias("fs"))
+    for name in ("group", "time-chain", "provenance", "types"):
+        every = [tuple(r) for r in catalogue.cuts(graph, seeds.unionByName(seeds), name).collect()]
+        assert every and len(every) == len(set(every))
+        alone = [tuple(r) for r in catalogue.cuts(graph, first, name).collect()]
+        assert set(alone) == {r for r in every if r[0] == min(x[0] for x in every)} and len({r[0] for r in every}) > 1
+        assert {r[1:] for r in every if not r[2].endswith(("#type", "#used"))} <= there
+    assert catalogue.cuts(graph, spark.createDataFrame([("nobody",)], "fs string"), "group").isEmpty()
+
+
+def test_optionals_of_templates(spark):
+    t = spark.createDataFrame([("a", "p", "b", "iri", None, None), ("b", "q", "1", "lit", "int", None), ("b", "q", "x", "lit", None, "en"), ("c", "p", "d", "iri", None, None)], T)
+    template = P.Template([("?s", "p", "?o")], [[("?o", "q", "?v")]], [("?s", "is", "?v"), ("?s", "p", "?o"), ("?v", "of", "?s")])
+    got = {tuple(r) for r in P.construct_for(t, spark.createDataFrame([("a",), ("c",), ("z",)], "s string"), template).collect()}
+    assert {r[1:] for r in got if r[2] == "is"} == {("a", "is", "1", "lit", "int", None), ("a", "is", "x", "lit", None, "en")}
+    assert {r[1:4] for r in got if r[2] == "p"} == {("a", "p", "b"), ("c", "p", "d")}
+    with pytest.raises(ValueError, match="shares no variable"):
+        P.extended(spark.createDataFrame([("a",)], "z string"), t, [("?s", "p", "?o")])
+
+
+@pytest.mark.parametrize("most", [1, 7, 10_000])
+def test_concatenation_in_parts(spark, most):
+    rows = [("big", f"v{i % 90:02}") for i in range(100)] + [("small", "x"), ("none", None), (None, "y")]
+    df = spark.createDataFrame(rows, "k string, v string").repartition(5)
+    got = {(r.k, r.part): r.names for r in P.group_concat_parts(df, ["k"], "v", "|", most).where("k is not null").collect()}
+    wanted = {}
+    for k in ("big", "small"):
+        values = sorted(v for x, v in rows if x == k)
+        wanted |= {(k, i // most): "|".join(values[i : i + most]) for i in range(0, len(values), most)}
+    assert got == wanted
+
+
+def test_graph_with_everything(spark, dated):
+    """Geometry, references and metadata are in the graph if they are given."""
+    placed = dated.withColumns({"long": F.lit(7.5), "lat": F.when(F.col("the_id") == 1, 50.0)})
+    refs = spark.createDataFrame([(r.the_site, r.the_findspot) for r in dated.limit(2).collect()] + [("no", "where")], "the_site string, the_findspot string")
+    about = {"title": "t", "rights": "r", "license": "http://l", "basis": "b", "model": "m"}
+    full = triples.build_graph(placed, driver_data.PARAMS, driver_data.AT, geometry=True, references=refs, about=about)
+    plain = triples.build_graph(dated, driver_data.PARAMS, driver_data.AT)
+    more = full.select("s", "p", "o").subtract(plain.select("s", "p", "o")).collect()
+    last = lambda x: x.rpartition("/")[2].rpartition("#")[2]
+    assert sorted(last(r.p) for r in more) == sorted(["hasGeometry", "asWKT", "calibratedAgainst", "calibratedAgainst", "title", "rights", "license", "calibrationBasis", "label"])
+    assert [r.o for r in more if r.p.endswith("asWKT")] == ["<http://www.opengis.net/def/crs/EPSG/0/4326> POINT(7.5 50.0)"]
