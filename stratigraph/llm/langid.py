@@ -7,7 +7,7 @@ centroid with the highest cosine, and it is rejected where it has no letter or l
 off, the rows' beginnings of each length are measured too, in bands that double.
 
 The model is fitted on a bounded sample of labelled rows: at most `sample` rows in all, the same number for each
-language, chosen by hash of the id. Prediction reads every whole text and nothing but the text.
+language, chosen by hash of the id; of more languages than that the most frequent ones are learned. Prediction reads every whole text and nothing but the text.
 
 Defined cases: a null text or one without a letter is `und` with score 0; without any labelled row every text is
 `und`; a null or repeated doc_id is just another row.
