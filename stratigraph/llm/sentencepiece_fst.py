@@ -2,17 +2,22 @@
 
 A model file is compiled once per worker:
 
-* the normaliser (dummy prefix, white space to its mark); it maps a text to one text, so it is applied as built-in
-  replacements and not kept as states;
+* the normaliser as a sequential transducer: from its start an arc without input puts out the dummy prefix, and then each
+  character is copied and each space becomes the mark. One that also takes out superfluous spaces has a third state, in
+  which a gap has been read and nothing put out yet;
 * the pieces as a trie whose arcs consume characters, put out an id at a piece's end and lead back to the root, with byte
   fallback for characters that no piece holds;
+* their composition: where the normaliser puts out one character for each one read, each arc of the trie gets the
+  characters that the normaliser maps to its own, and texts are read as they are. Otherwise a text is composed with the
+  normaliser first;
 * for BPE models an acceptor of neighbouring pieces, since no weight of a piece alone can express merging by rank: an arc
   weighs 0 where merging the two neighbours' characters by rank gives these two pieces again, else infinity. A
   segmentation is the one that merging produces exactly if all its neighbours pass, so the only path of finite weight is
   the BPE encoding. In unigram models an arc weighs minus its piece's score.
 
 The composition with an input is never built whole: the shortest path in the tropical semiring (min, +) is searched from
-state to state, in one way for both kinds of model. Where no piece crosses a boundary (before a white-space mark, or
+state to state, in one way for both kinds of model. The queue of states is a heap in unigram models; in BPE models, whose
+finite weights are all 0, it has one bucket and is a stack. Where no piece crosses a boundary (before a white-space mark, or
 between two characters that no piece holds side by side; both read off the pieces) paths pass through one state, so the
 parts are solved by themselves and remembered, in a memory of bounded size.
 
@@ -39,6 +44,7 @@ from .common import small_batches, text_batches, whole_id
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+GAPS = " " + MARK  # what stands between words of a text, or of what the normaliser has put out
 REMEMBERED = 300_000  # parts a worker keeps, of at most 48 characters
 WEIGHTS = 1_000_000  # of arcs that a worker keeps
 
@@ -46,6 +52,51 @@ _INF = float("inf")
 _CUT = "\x1f"  # stands between parts in the quick cut; texts that hold it are cut by the pattern
 
 
+class Normaliser:
+    """A sequential transducer: `arcs[state][character]` is what is put out and the next state; ANY stands for all
+    characters without an arc of their own, each of which follows what is put out, and NONE for an arc without input."""
+
+    START, TEXT, GAP = 0, 1, 2
+    ANY, NONE = "any", ""
+
+    def __init__(self, prefix: bool, collapse: bool):
+        start, text, gap, mark = self.START, self.TEXT, self.GAP, MARK if prefix else ""
+        if collapse:  # one mark for a gap, none at the ends
+            self.arcs = {start: {" ": ("", start), self.ANY: (mark, text)}, text: {" ": ("", gap), self.ANY: ("", text)}, gap: {" ": ("", gap), self.ANY: (MARK, text)}}
+        else:
+            self.arcs = {start: {self.NONE: (mark, text)}, text: {" ": (MARK, text), self.ANY: ("", text)}}
+        #: One character is put out for each one read, in one state: the arcs compose with others one by one.
+        self.letterwise = not collapse
+        self.prefix = self.arcs[start].get(self.NONE, ("", start))[0]
+
+    def image(self, c: str) -> str:
+        """What stands for a character within a text."""
+        out, _ = self.arcs[self.TEXT].get(c, (c, 0))
+        return out
+
+    def preimage(self, c: str) -> list[str]:
+        """The characters within a text that `c` can stand for."""
+        return [x for x in sorted({c, *self.arcs[self.TEXT]} - {self.ANY}) if self.image(x) == c]
+
+    def compose(self, text: str) -> str:
+        """What the path that reads the text puts out."""
+        if not text:
+            return ""
+        out, state, arcs = [], self.START, self.arcs
+        if self.NONE in arcs[state]:
+            put, state = arcs[state][self.NONE]
+            out.append(put)
+        for c in text:
+            arc = arcs[state].get(c)
+            if arc is None:
+                put, state = arcs[state][self.ANY]
+                out += (put, c)
+            else:
+                put, state = arc
+                out.append(put)
+        return "".join(out)
+
+
 class Transducer:
     def __init__(self, model: bytes):
         from sentencepiece import sentencepiece_model_pb2
@@ -56,7 +107,7 @@ class Transducer:
         if spec.precompiled_charsmap:
             raise ValueError("only models with the identity character map are compiled")
         self.bpe = proto.trainer_spec.model_type == 2
-        self.prefix, self.collapse = spec.add_dummy_prefix, spec.remove_extra_whitespaces
+        self.prefix, self.normaliser = spec.add_dummy_prefix, Normaliser(spec.add_dummy_prefix, spec.remove_extra_whitespaces)
         kinds = type(proto.pieces[0]) if proto.pieces else None
         self.pieces: dict[str, int] = {}
         self.score: list[float] = []
@@ -91,22 +142,28 @@ class Transducer:
             for c in piece:
                 node = node.setdefault(c, {})
             node[""] = i
+        preimage = {c: self.normaliser.preimage(c) for p in usable for c in p} if self.normaliser.letterwise else {}
+        self.compose(self.trie, preimage)
         self.worst = 0.0 if self.bpe else 10.0 - min(self.score)  # of byte fallback
         self.alphabet = {c for p in self.pieces for c in p}
-        self.pairs = {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)}
+        #: Neighbouring characters of a text that some piece holds side by side.
+        self.pairs = {x + y for a, b in {p[i : i + 2] for p in self.pieces for i in range(len(p) - 1)} for x in preimage.get(a, a) for y in preimage.get(b, b)}
         self.falls_apart = not any(MARK in p.lstrip(MARK) for p in self.pieces)
         edges = "".join(re.escape(c) for c in "\n\t\r" if c not in self.alphabet)
         #: One part: marks and what follows up to the next mark, or characters that no piece holds.
-        self.part = re.compile(f"[{edges}]+|{MARK}*[^{MARK}{edges}]+|{MARK}+" if edges else f"{MARK}*[^{MARK}]+|{MARK}+")
+        self.part = re.compile(f"[{edges}]+|[{GAPS}]*[^{GAPS}{edges}]+|[{GAPS}]+" if edges else f"[{GAPS}]*[^{GAPS}]+|[{GAPS}]+")
         self.known: dict[str, bytes] = {}
 
-    def normalise(self, text: str) -> str:
-        """Dummy prefix, spaces to marks; with `remove_extra_whitespaces` one mark for a run of spaces, none at the ends."""
-        if self.collapse:
-            text = re.sub(" +", " ", text.strip(" "))
-        if not text:
-            return ""
-        return (" " * self.prefix + text).replace(" ", MARK)
+    def compose(self, trie: dict, preimage: dict[str, list[str]]) -> None:
+        """The trie composed with the normaliser: an arc is taken by all characters that the normaliser maps to its own."""
+        ahead = [trie]
+        while ahead:
+            node = ahead.pop()
+            for c, onward in [(c, x) for c, x in node.items() if c]:
+                ahead.append(onward)
+                if preimage.get(c, [c]) != [c]:
+                    del node[c]
+                    node |= dict.fromkeys(preimage[c], onward)
 
     # BPE: which neighbours merging leaves apart
     def merged(self, text: str) -> list[str]:
@@ -165,7 +222,7 @@ class Transducer:
                 j += 1
 
     def fallback(self, c: str) -> list[int]:
-        raw = c.encode("utf-8", "surrogatepass")
+        raw = (self.normaliser.image(c) if self.normaliser.letterwise else c).encode("utf-8", "surrogatepass")
         return [self.byte_id[b] for b in raw] if all(b in self.byte_id for b in raw) else [self.unknown]
 
     def weight(self, last: int, piece: int) -> float:
@@ -184,10 +241,11 @@ class Transducer:
         in a unigram model, and in a BPE model all but one of them are infinitely far, as the start of a text has one
         encoding; so one state a position is enough. No arc weighs less than nothing, so states are taken by weight and a
         position's first state is its nearest; in a BPE model all finite weights are equal, and the longest arc of the
-        newest state is taken first. Weights are worked out when an arc is taken.
+        newest state is taken first. Of equally short paths the last piece is the longer one. Weights are worked out when
+        an arc is taken.
         """
         trie, weight, known, bpe, n = self.trie, self.weight, self.weights, self.bpe, len(text)
-        ahead: list[tuple[float, int, int, int, int]] = []  # weight, end, piece, start, piece before
+        ahead: list[tuple[float, int, int, int, int]] = []  # weight, end, start, piece, piece before
         way: dict[int, tuple[int, int]] = {}
         here, at, last, start = 0.0, 0, -1, 0
         while True:
@@ -204,16 +262,16 @@ class Transducer:
                 if piece is not None:
                     single |= end == at + 1
                     if bpe:
-                        ahead.append((here, end, piece, at, last))
+                        ahead.append((here, end, at, piece, last))
                     else:
-                        heappush(ahead, (here + weight(last, piece), end, piece, at, last))
+                        heappush(ahead, (here + weight(last, piece), end, at, piece, last))
             if not single:  # byte fallback
                 if bpe:
-                    ahead.append((here, at + 1, -2, at, last))
+                    ahead.append((here, at + 1, at, -2, last))
                 else:
-                    heappush(ahead, (here + self.worst, at + 1, -2, at, last))
+                    heappush(ahead, (here + self.worst, at + 1, at, -2, last))
             while True:  # the next state that hasn't been reached
-                here, at, piece, start, last = ahead.pop() if bpe else heappop(ahead)
+                here, at, start, piece, last = ahead.pop() if bpe else heappop(ahead)
                 if at in way:
                     continue
                 if bpe and piece >= 0 and last >= 0:
@@ -233,7 +291,7 @@ class Transducer:
     def solved(self, part: str) -> bytes:
         """The ids of a part, which falls into smaller ones where no piece holds both of two neighbouring characters."""
         pairs = self.pairs
-        inner = [] if part.lstrip(MARK).isalpha() else [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in pairs]
+        inner = [] if part.lstrip(GAPS).isalpha() else [i for i in range(1, len(part)) if part[i - 1 : i + 1] not in pairs]
         cuts = [0, *inner, len(part)]
         out = []
         for a, b in zip(cuts, cuts[1:]):
@@ -257,14 +315,16 @@ class Transducer:
         """The ids as little-endian 32-bit integers."""
         if not text:
             return b""
-        if not self.falls_apart or self.collapse:
-            normal = self.normalise(text)
-            parts = self.part.findall(normal) if self.falls_apart else [normal]
-        elif "  " in text or MARK in text or _CUT in text or text[0] == " " or "\n" in self.alphabet:
-            parts = self.part.findall(self.normalise(text))
-        else:  # the same parts, cut by the built-in split: one mark before each word, each line's end by itself
-            start = MARK if self.prefix else ""
-            parts = (start + text).replace(" ", _CUT + MARK).replace("\n", _CUT + "\n" + _CUT).split(_CUT)
+        if self.normaliser.letterwise:  # the dummy prefix is read as what stands for it
+            text = " " + text if self.normaliser.prefix else text
+        else:
+            text = self.normaliser.compose(text)
+        if not self.falls_apart:
+            parts = [text]
+        elif MARK in text or "  " in text or _CUT in text or "\n" in self.alphabet:
+            parts = self.part.findall(text)
+        else:  # the same parts, cut by the built-in split: one space before each word, each line's end by itself
+            parts = text.replace(" ", _CUT + " ").replace("\n", _CUT + "\n" + _CUT).split(_CUT)
         found = list(map(self.known.get, parts))
         try:
             return b"".join(found)

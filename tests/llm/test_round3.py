@@ -275,3 +275,40 @@ def test_decontamination_in_many_blocks(spark):
     one, many = (decontamination.contamination(decontamination.find_matches(table(spark, docs), bench, window=4, block_words=b)) for b in (10**6, 10))
     order = lambda df: sorted((r.doc_id, r.n_hit, r.n_items, r.items_sha256) for r in df.collect())
     assert order(one) == order(many) and any(r[1] for r in order(one))
+
+
+# 8
+def _unigram(prefix: bool, collapse: bool):
+    from sentencepiece import sentencepiece_model_pb2 as pb
+
+    proto = pb.ModelProto()
+    kinds = pb.ModelProto.SentencePiece
+    own = [("▁", -3), ("a", -2), ("b", -2.125), ("ab", -3), ("▁a", -2.5), ("bb", -3.5), ("▁▁", -4), ("b▁a", -5.25), (".", -3.25)]  # exact in binary, so that ties are
+    for piece, score, kind in [("<unk>", 0, kinds.UNKNOWN), ("<s>", 0, kinds.CONTROL), ("</s>", 0, kinds.CONTROL), *[(f"<0x{b:02X}>", 0, kinds.BYTE) for b in range(256)], *[(p, x, kinds.NORMAL) for p, x in own]]:
+        proto.pieces.add(piece=piece, score=score, type=kind)
+    proto.trainer_spec.model_type, proto.trainer_spec.byte_fallback = 1, True
+    proto.normalizer_spec.name, proto.normalizer_spec.add_dummy_prefix, proto.normalizer_spec.remove_extra_whitespaces = "identity", prefix, collapse
+    return proto.SerializeToString()
+
+
+@pytest.mark.parametrize("prefix", [True, False])
+@pytest.mark.parametrize("collapse", [True, False])
+def test_normaliser_composed_with_pieces(prefix, collapse):
+    """The compiled normaliser puts out what the library's does, and the composition gives its ids."""
+    import sentencepiece
+
+    model = _unigram(prefix, collapse)
+    t, library = sentencepiece_fst.Transducer(model), sentencepiece.SentencePieceProcessor(model_proto=model)
+    rng = random.Random(5)
+    for k in range(600):
+        text = "".join(rng.choice("aabb  .\né" if k % 2 else "ab ") for _ in range(rng.randint(0, 14)))
+        assert t.normaliser.compose(text) == library.normalize(text)
+        assert np.frombuffer(t.encode(text), "<i4").tolist() == library.encode(text), text
+
+
+def test_composed_arcs():
+    n = sentencepiece_fst.Normaliser(True, False)
+    assert n.letterwise and n.preimage("▁") == [" ", "▁"] and n.preimage(" ") == [] and n.preimage("a") == ["a"] and n.image(" ") == "▁"
+    assert not sentencepiece_fst.Normaliser(True, True).letterwise
+    t = sentencepiece_fst.Transducer(_unigram(True, False))
+    assert t.trie[" "] is t.trie["▁"] and t.trie["b"][" "] is t.trie["b"]["▁"] and " " not in t.trie["a"]
