@@ -273,7 +273,7 @@ def read_texts(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, percent: int = SIMILARITY, halves: int = HALVES, half_rows: int = HALF_ROWS, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: one row for each row of `docs`."""
-    small_batches(docs.sparkSession)
+    small_batches(docs.sparkSession, "8m")  # pairs carry two texts a row
     docs = docs.select(whole_id("doc_id").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row_key", row_key())
     marks = written(sketches(docs, shingle, Sketch(halves, half_rows)), "sketches")
     some = marks.where("n_shingles > 0 and doc_id is not null")

@@ -17,6 +17,21 @@ def test_pipeline_stages(spark):
     assert last.count() == sizes[3] and last.where("not exact").isEmpty()
 
 
+def test_pipeline_with_ids_of_text(spark):
+    """Ids that aren't whole numbers are null ids; their rows stay."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").withColumn("doc_id", F.col("doc_id").cast("string"))
+    odd = spark.createDataFrame([("x1", "a walk along the river in the morning with my brother", "en", "s", 0), ("2.5", None, "en", "s", 0)], "doc_id string, text string, lang string, source string, n_chars long").select(*docs.columns)
+    docs = docs.unionByName(odd).cache()
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf).cache()
+    left = {r.doc_id for r in docs.collect()}
+    numbers = spark.read.parquet(f"{sf}/documents.parquet")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        numbers = stage(spark, numbers, sf).cache()
+    assert left - {"x1", "2.5"} == {str(r.doc_id) for r in numbers.collect()} and "x1" in left
+
+
 def test_pipeline_of_nothing(spark):
     sf = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{sf}/documents.parquet").limit(0)
