@@ -3,7 +3,8 @@
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and its decisions take effect: rejected
 languages go, repeated lines are cut, one document of each near-duplicate group stays, contaminated documents go. All
 but the last return the columns of `docs`. Rows are told apart by doc_id and text, so repeated rows and null ids pass
-through as defined by the operators; columns of any other name are carried along.
+through as defined by the operators (an id that isn't a whole number is a null id); columns of any other name are carried
+along.
 """
 
 from __future__ import annotations
@@ -12,14 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stratigraph.llm import decontamination, langid, line_dedup, minhash, sentencepiece_fst
-from stratigraph.llm.common import written
+from stratigraph.llm.common import whole_id, written
 
 
 def _without(docs: DataFrame, gone: DataFrame) -> DataFrame:
     """`docs` without the rows whose doc_id and text hash are in `gone` (doc_id, row_key)."""
     gone = written(gone.distinct(), "gone")  # its size is known to the planner, which broadcasts it only if small
     gone = gone.select(F.col("doc_id").alias("__gone_id"), F.col("row_key").alias("__gone_key"))
-    return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__gone_key")), "left_anti")
+    return docs.join(gone, whole_id("doc_id").eqNullSafe(F.col("__gone_id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__gone_key")), "left_anti")
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +41,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     one document to the operator and share its group, so they stay or go together."""
     found = minhash.near_duplicates(docs)
     gone = written(found.where("not kept").select("doc_id").distinct(), "copies").select(F.col("doc_id").alias("__gone_id"))
-    return docs.join(gone, F.col("doc_id").cast("bigint") == F.col("__gone_id"), "left_anti")
+    return docs.join(gone, whole_id("doc_id") == F.col("__gone_id"), "left_anti")
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
