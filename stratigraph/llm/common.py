@@ -59,11 +59,11 @@ def text_batches(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.R
             yield batch.slice(start, step)
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Texts can be long: unless the session has a setting of its own, fewer rows go to Python at once."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if spark.conf.get(key) == "10000":
-        spark.conf.set(key, "2000")
+def small_batches(spark: SparkSession, size: str | None = None) -> None:
+    """Texts can be long: unless the session has settings of its own, fewer rows (and bytes, with `size`) go to Python at once."""
+    for key, usual, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "2000"), ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", size)):
+        if value and spark.conf.get(key) == usual:
+            spark.conf.set(key, value)
 
 
 def whole_id(name: str):
