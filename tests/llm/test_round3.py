@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from stratigraph.llm import byte_bpe, chat, collocations, decontamination, fill_in_middle, hashing, html_text, langid, line_dedup, minhash, sentencepiece_fst, suffix_dedup, topk
+from stratigraph.llm.common import small_batches
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 DOCS = "doc_id bigint, text string, lang string, n int, w1 string, id string"  # columns that clash with names the operators use
@@ -312,3 +313,23 @@ def test_composed_arcs():
     assert not sentencepiece_fst.Normaliser(True, True).letterwise
     t = sentencepiece_fst.Transducer(_unigram(True, False))
     assert t.trie[" "] is t.trie["▁"] and t.trie["b"][" "] is t.trie["b"]["▁"] and " " not in t.trie["a"]
+
+
+def test_small_batches(spark):
+    """Settings that are at their defaults, set or not, are lowered; the session's own stay."""
+    rows, size = (f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes"))
+    before = {k: spark.conf.get(k) for k in (rows, size)}
+    try:
+        for k in before:
+            spark.conf.unset(k)
+        small_batches(spark)
+        assert (spark.conf.get(rows), spark.conf.get(size)) == ("2000", "67108864b")
+        small_batches(spark, "8m")
+        assert (spark.conf.get(rows), spark.conf.get(size)) == ("2000", "8m")
+        spark.conf.set(rows, "500")
+        spark.conf.set(size, "1m")
+        small_batches(spark, "8m")
+        assert (spark.conf.get(rows), spark.conf.get(size)) == ("500", "1m")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
