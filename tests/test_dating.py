@@ -1,5 +1,6 @@
 """Golden values and properties of the dating operators."""
 
+import itertools
 import math
 import random
 
@@ -115,3 +116,14 @@ def test_checks_find_bad_rows(spark):
         if key in "hnfr":
             assert all(v[0] == "pass" for k, v in status.items() if k != key), status
     assert checks.verdict(checks.checked(df.withColumn("k_eff", F.lit(9.0)), checks.row_checks())).first().verdict == "error"
+
+
+def test_deviation_of_half_a_year_rounds_up_in_any_order(spark):
+    """Four ends whose deviation is 57.5, in all orders: a running variance rounds some of them to 57."""
+    ends = [154, 128, 170, 41]
+    orders = list(itertools.permutations(ends))
+    obs = [(1, "A", f"s{g}", f"m{x}", "d", i, "Θ", "Σ") for g, order in enumerate(orders) for i, x in enumerate(order)]
+    src = [(f"m{x}", 1000 - x, 1000 + x) for x in ends]
+    df = dating.date_groups(spark.createDataFrame(obs, OBS).coalesce(1), spark.createDataFrame(src, "pottername string, datemin int, datemax int"))
+    found = {tuple(r) for r in df.select("unc_start_years", "unc_end_years", "unc_start_years_exact", "sigma_eff").collect()}
+    assert found == {(58, 58, 57.5, 76.747)}
