@@ -7,6 +7,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from stratigraph.functions import exprs
 from stratigraph.operators import checks, dating, figures
 from stratigraph.params import DatingParams, params_df
 from stratigraph.plans import driver_data
@@ -127,3 +128,15 @@ def test_deviation_of_half_a_year_rounds_up_in_any_order(spark):
     df = dating.date_groups(spark.createDataFrame(obs, OBS).coalesce(1), spark.createDataFrame(src, "pottername string, datemin int, datemax int"))
     found = {tuple(r) for r in df.select("unc_start_years", "unc_end_years", "unc_start_years_exact", "sigma_eff").collect()}
     assert found == {(58, 58, 57.5, 76.747)}
+
+
+def test_what_rounds_to_zero_from_below_keeps_its_sign(spark):
+    x = spark.range(1).select(*[exprs.round_signed(F.lit(v), 1) for v in (-0.04, 0.04, -0.25, 0.0)]).first()
+    assert [str(v) for v in x] == ["-0.0", "0.0", "-0.3", "0.0"]
+
+
+def test_start_just_before_zero_reads_minus_zero(spark):
+    """Middle 0.02, sigma 0.04, k 1.5: the interval is -0.04 to 0.08."""
+    stats = spark.createDataFrame([("A", "x", 2, -4.0, 4.04, 1.0, 1.0, 1.4, 0.04, -4, -3, 3, 5, None, None, None, None)], "the_site string, the_findspot string, count_stamps long, _ma double, _mb double, _sa double, _sb double, _sab double, _sigma double, min_datemin int, max_datemin int, min_datemax int, max_datemax int, n_dies long, n_stamps_die long, die_repetition double, _k double")
+    row = dating.project_dated(stats, DatingParams()).select(F.col("eff_start").cast("string"), F.col("eff_end").cast("string"), F.col("midpoint_year").cast("string")).first()
+    assert tuple(row) == ("-0.0", "0.1", "0.02")
