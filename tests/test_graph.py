@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from stratigraph.operators import compare, entailment, triples
 from stratigraph.operators import patterns as P
 from stratigraph.operators.vocabulary import LAYERS, RELATIONS, build_vocabulary, class_edges, iri, layer_edges, properties, undocumented_terms, vocab_usage
-from stratigraph.params import PREFIXES, TYPE, Names
+from stratigraph.params import CRM, PREFIXES, TYPE, Names
 from stratigraph.plans import catalogue, driver_data
 from stratigraph.sources import readers, writers
 from stratigraph.sources.scratch import stored
@@ -196,3 +196,14 @@ def test_graph_with_everything(spark, dated):
     last = lambda x: x.rpartition("/")[2].rpartition("#")[2]
     assert sorted(last(r.p) for r in more) == sorted(["hasGeometry", "asWKT", "calibratedAgainst", "calibratedAgainst", "title", "rights", "license", "calibrationBasis", "label"])
     assert [r.o for r in more if r.p.endswith("asWKT")] == ["<http://www.opengis.net/def/crs/EPSG/0/4326> POINT(7.5 50.0)"]
+
+
+def test_patterns_read_their_own_branch(spark, dated):
+    """By predicate it is the same graph, and a pattern scans the groups once, for its predicate (or type) alone."""
+    keyed = stored(triples.keyed_groups(dated), "keyed")
+    made = triples.Graph(driver_data.PARAMS, driver_data.AT)
+    parts, whole = made.by_predicate(keyed), made.whole(keyed)
+    assert parts.exceptAll(whole).isEmpty() and whole.exceptAll(parts).isEmpty()
+    for pattern in (("?fs", CRM + "P4_has_time-span", "?ts"), ("?ts", TYPE, driver_data.N.vocab + "FindspotDating")):
+        plan = P.match(parts, pattern)._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Relation [") == 1 and "Union" not in plan
