@@ -113,6 +113,18 @@ def test_bundle_reaches_public_classes(spark, dated, graph):
     assert entailment.unanchored_instances(graph.unionByName(bundle.select(graph.columns)), "http://www.cidoc-crm.org/", ["http://www.w3.org/2002/07/owl#Class", "http://www.w3.org/2002/07/owl#ObjectProperty", "http://www.w3.org/2002/07/owl#DatatypeProperty", "http://www.w3.org/2002/07/owl#Ontology"]).isEmpty()
 
 
+def test_bundle_stores_only_what_is_small(spark, dated, graph, monkeypatch):
+    """Data is never stored again, and what data and vocabulary both say comes once."""
+    rows, vocab = [], build_vocabulary(spark)
+    monkeypatch.setattr(entailment, "stored", lambda df, *more: (out := stored(df, *more), rows.append(out.count()))[0])
+    about = f"{Names().data}loc_ds_", iri("DiscoverySite", Names()), "http://example.org/bundle", [iri("Findspot", Names())]
+    bundle = entailment.build_bundle(graph, vocab, *about)
+    assert catalogue.crm_only(bundle).count() == dated.count()
+    assert max(rows) < graph.count() / 5
+    n = bundle.count()
+    assert n == bundle.distinct().count() == entailment.build_bundle(graph.unionByName(vocab.limit(3)), vocab, *about).count()
+
+
 def test_closure_of_cycles_and_diamonds(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a"), ("d", "a"), ("a", "e")], "sub string, sup string")
     found = {(r.cls, r.sup) for r in entailment.superclass_closure(edges).collect()}
