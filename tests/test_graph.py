@@ -185,6 +185,17 @@ def test_optionals_of_templates(spark):
         P.extended(spark.createDataFrame([("a",)], "z string"), t, [("?s", "p", "?o")])
 
 
+def test_many_solutions_of_few_values_do_not_meet(spark):
+    """What all seeds share (an agent) is joined as a small table, not by a shuffle over its one value."""
+    rows = [x for i in range(300) for x in ((f"a{i}", "by", "agent", "iri", None, None), (f"a{i}", "label", f"A {i}", "lit", None, "en"))]
+    t = spark.createDataFrame([*rows, ("agent", "label", "the agent", "lit", None, "en"), ("agent", "home", "x", "iri", None, None)], T)
+    template = P.Template([("?s", "by", "?ag"), ("?ag", "label", "?name")], [[("?ag", "home", "?h")], [("?ag", "mail", "?m")]], [("?s", "by", "?ag"), ("?ag", "label", "?name"), ("?ag", "home", "?h"), ("?ag", "mail", "?m")])
+    found = P.construct_for(t, spark.createDataFrame([(f"a{i}",) for i in range(0, 300, 3)], "s string"), template)
+    assert "hashpartitioning(ag#" not in found._jdf.queryExecution().executedPlan().toString()
+    got = {tuple(r) for r in found.collect()}
+    assert got == {(f"a{i}", *x) for i in range(0, 300, 3) for x in ((f"a{i}", "by", "agent", "iri", None, None), ("agent", "label", "the agent", "lit", None, "en"), ("agent", "home", "x", "iri", None, None))}
+
+
 @pytest.mark.parametrize("most", [1, 7, 10_000])
 def test_concatenation_in_parts(spark, most):
     rows = [("big", f"v{i % 90:02}") for i in range(100)] + [("small", "x"), ("none", None), (None, "y")]
