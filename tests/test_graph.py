@@ -230,3 +230,26 @@ def test_patterns_read_their_own_branch(spark, dated):
     for pattern in (("?fs", CRM + "P4_has_time-span", "?ts"), ("?ts", TYPE, driver_data.N.vocab + "FindspotDating")):
         plan = P.match(parts, pattern)._jdf.queryExecution().optimizedPlan().toString()
         assert plan.count("Relation [") == 1 and "Union" not in plan
+
+
+def test_plans_of_patterns_are_short_and_send_no_side(spark):
+    """A query plans the branches of its patterns alone, and no side that grows with the groups goes through the driver."""
+    t = driver_data.graph(spark, SF)
+    for query, most in ((catalogue.crm_path_count, 8), (catalogue.dated_findspots, 40), (catalogue.figure_rows, 60), (lambda g: catalogue.one_instance(g, "Brand"), 40)):
+        plan = query(t)._jdf.queryExecution()
+        assert plan.analyzed().toString().count("Relation [") <= most
+        assert "BroadcastExchange" not in plan.executedPlan().toString()
+    hub = catalogue.era_and_scale(t)._jdf.queryExecution()  # the year scale alone is sent
+    assert hub.analyzed().toString().count("Relation [") <= 40 and hub.executedPlan().toString().count("BroadcastHashJoin") == 1
+
+
+def test_branches_hold_the_whole_graph(spark, dated):
+    keyed = stored(triples.keyed_groups(dated), "keyed")
+    made = triples.Graph(driver_data.PARAMS, driver_data.AT)
+    parts, whole = made.branches(keyed), made.by_predicate(keyed)
+    for p in [r.p for r in whole.select("p").distinct().collect()][:6] + [TYPE, driver_data.LABEL]:
+        one, other = parts.of([p]), whole.where(F.col("p") == p)
+        assert one.count() == other.count() and one.exceptAll(other).isEmpty()
+    assert parts.of(["nothing"]).isEmpty()
+    kind = Names().vocab + "Findspot"
+    assert P.match(parts, ("?s", TYPE, kind)).count() == P.match(whole, ("?s", TYPE, kind)).count() == dated.count()
