@@ -91,7 +91,7 @@ _MASKED = rf"""regexp_replace(regexp_replace(regexp_replace(l, '"\d{{4}}-\d\d-\d
 
 @_query(f"SELECT count(*) AS n, sha256(string_agg(line, chr(10) ORDER BY line)) AS sha256 FROM (SELECT DISTINCT {_MASKED} AS line FROM (SELECT {_LINE} AS l FROM {_GRAPH}))")
 def graph_digest(spark, sf_dir):
-    """The SHA-256 of all lines in order (one leaf here; of more than 262,144 lines it is the root of a tree)."""
+    """The SHA-256 of all lines in order, as one stream."""
     return compare.graph_digest(built(spark, sf_dir))
 
 

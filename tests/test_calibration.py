@@ -124,3 +124,21 @@ def test_gates(spark):
     assert keys(df.withColumn("p_w", F.when(F.col("the_id") == 1, 2.0).otherwise(1.0)), expected=241) == ["k", "a", "p"]
     assert keys(df.withColumn("p_w", F.when(F.col("the_id") != 1, 1.0))) == ["k", "p"]
     assert sorted(keys(df)) == sorted(["k", "p", "c", "d", "h", "h'", "n", "f", "r", "i", "i'"])
+
+
+@pytest.mark.parametrize("pack", [1, 40, 1 << 14])
+def test_digest_of_the_whole_stream(spark, pack):
+    """One SHA-256 of all distinct lines in order, across packs and ranges."""
+    lines = [f"line {random.Random(i).random()} é" for i in range(300)] + ["", "x", "Z", "ﬀ", "𝄞"]
+    rows = spark.createDataFrame([(x,) for x in lines + lines[:30]], "line string").repartition(5)
+    wanted = hashlib.sha256("\n".join(sorted(set(lines), key=str.encode)).encode()).hexdigest()
+    assert compare.digest_stream(rows, pack).first() == (len(set(lines)), wanted)
+    assert compare.digest_stream(rows.where("false"), pack).first() == (0, hashlib.sha256(b"").hexdigest())
+    assert compare.digest_stream(rows.where("line = ''"), pack).first() == (1, hashlib.sha256(b"").hexdigest())
+
+
+def test_digest_of_more_lines_than_a_leaf(spark):
+    """A graph of over 262,144 lines has the digest of its lines, not one of digests."""
+    t = spark.range(270_000).select(F.concat(F.lit("s"), "id").alias("s"), F.lit("p").alias("p"), F.lit("o").alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("o_dt"), F.lit(None).cast("string").alias("o_lang"))
+    wanted = hashlib.sha256("\n".join(sorted(f"<s{i}> <p> <o> ." for i in range(270_000))).encode()).hexdigest()
+    assert compare.graph_digest(t).first() == (270_000, wanted)
