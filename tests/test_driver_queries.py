@@ -67,3 +67,9 @@ def test_names_that_share_a_fragment(spark, tmp_path):
             names = [d[0] for d in result.description]
             wanted = sorted(tuple(plain(r[names.index(c)]) for c in sorted(names)) for r in result.fetchall())
             assert sorted(tuple(plain(r[c]) for c in sorted(names)) for r in df.collect()) == wanted, name
+
+
+def test_vocabulary_in_use_reads_the_graph_once(spark):
+    """Every predicate and type in one pass, and not a scan for each branch."""
+    plan = driver_graph.vocabulary_in_use(spark, SF)._jdf.queryExecution().analyzed().toString()
+    assert plan.count("Relation [") <= 20
